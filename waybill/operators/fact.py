@@ -13,14 +13,69 @@ from waybill.operators.rules import DROPOFF, PICKUP
 from waybill.profile import UNASSIGNED_RATE_CODE, Profile
 
 
+FACT_COLUMNS = (
+    "vendor_id", "rate_code_id", "payment_type_id", "pickup_location_id", "dropoff_location_id",
+    "pickup_datetime", "dropoff_datetime", "pickup_hour", "pickup_day_name",
+    "pickup_day_of_week", "is_weekend", "time_window", "duration_minutes",
+    "trip_distance_miles", "effective_speed_mph", "passenger_count", "fare_amount", "extra",
+    "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "congestion_surcharge",
+    "airport_fee", "cbd_congestion_fee", "total_amount", "revenue_per_minute",
+    "is_intra_borough", "is_airport_trip", "is_cbd_involved",
+)
+
+
+def trip_measures(trips: DataFrame, profile: Profile) -> DataFrame:
+    """One row per passing trip with every fact column that needs no dimension.
+
+    This is all the KPI tables read, so computing one of them straight from raw trips
+    pays for no zone lookup it does not use.
+    """
+    airports = profile.airport_zone_ids
+    rated = measure(passing(trips, profile)).selectExpr(
+        "*",
+        "duration_seconds / 60D AS raw_minutes",
+        f"{ieee_ratio('total_amount', '(duration_seconds / 60D)')} AS raw_rate",
+    )
+    return rated.selectExpr(
+        "VendorID AS vendor_id",
+        f"coalesce(RatecodeID, {UNASSIGNED_RATE_CODE}) AS rate_code_id",
+        "payment_type AS payment_type_id",
+        "PULocationID AS pickup_location_id",
+        "DOLocationID AS dropoff_location_id",
+        f"{PICKUP} AS pickup_datetime",
+        f"{DROPOFF} AS dropoff_datetime",
+        f"{hour_of(PICKUP)} AS pickup_hour",
+        f"{day_name(PICKUP)} AS pickup_day_name",
+        f"{iso_weekday(PICKUP)} AS pickup_day_of_week",
+        f"{is_weekend(PICKUP)} AS is_weekend",
+        f"{time_window(PICKUP)} AS time_window",
+        f"{round_half('raw_minutes', 2)} AS duration_minutes",
+        f"{round_half('trip_distance', 2)} AS trip_distance_miles",
+        f"{round_half('effective_speed_mph', 2)} AS effective_speed_mph",
+        "passenger_count",
+        "fare_amount",
+        "extra",
+        "mta_tax",
+        "tip_amount",
+        "tolls_amount",
+        "improvement_surcharge",
+        "coalesce(congestion_surcharge, 0D) AS congestion_surcharge",
+        "coalesce(Airport_fee, 0D) AS airport_fee",
+        "coalesce(cbd_congestion_fee, 0D) AS cbd_congestion_fee",
+        "total_amount",
+        f"{round_half('raw_rate', 3)} AS revenue_per_minute",
+        f"coalesce({in_zones('PULocationID', airports)}"
+        f" OR {in_zones('DOLocationID', airports)}, FALSE) AS is_airport_trip",
+    )
+
+
 def trip_fact(trips: DataFrame, dim_zones: DataFrame, profile: Profile) -> DataFrame:
-    """One row per passing trip, without the surrogate key.
+    """The fact without its surrogate key: trip measures plus the zone flags.
 
     The zone dimension is joined twice (pickup, dropoff) and carries no broadcast
     hint: it is broadcast when its known size is under the session threshold, and
     merge-joined with adaptive skew splitting otherwise.
     """
-    airports = profile.airport_zone_ids
 
     def side(prefix: str) -> DataFrame:
         return dim_zones.selectExpr(
@@ -29,47 +84,16 @@ def trip_fact(trips: DataFrame, dim_zones: DataFrame, profile: Profile) -> DataF
             f"is_manhattan_cbd AS {prefix}_cbd",
         )
 
-    rated = measure(passing(trips, profile)).selectExpr(
-        "*",
-        "duration_seconds / 60D AS raw_minutes",
-        f"{ieee_ratio('total_amount', '(duration_seconds / 60D)')} AS raw_rate",
-    )
     return (
-        rated.join(side("pu"), F.expr("PULocationID = pu_id"), "left")
-        .join(side("do"), F.expr("DOLocationID = do_id"), "left")
+        trip_measures(trips, profile)
+        .join(side("pu"), F.expr("pickup_location_id = pu_id"), "left")
+        .join(side("do"), F.expr("dropoff_location_id = do_id"), "left")
         .selectExpr(
-            "VendorID AS vendor_id",
-            f"coalesce(RatecodeID, {UNASSIGNED_RATE_CODE}) AS rate_code_id",
-            "payment_type AS payment_type_id",
-            "PULocationID AS pickup_location_id",
-            "DOLocationID AS dropoff_location_id",
-            f"{PICKUP} AS pickup_datetime",
-            f"{DROPOFF} AS dropoff_datetime",
-            f"{hour_of(PICKUP)} AS pickup_hour",
-            f"{day_name(PICKUP)} AS pickup_day_name",
-            f"{iso_weekday(PICKUP)} AS pickup_day_of_week",
-            f"{is_weekend(PICKUP)} AS is_weekend",
-            f"{time_window(PICKUP)} AS time_window",
-            f"{round_half('raw_minutes', 2)} AS duration_minutes",
-            f"{round_half('trip_distance', 2)} AS trip_distance_miles",
-            f"{round_half('effective_speed_mph', 2)} AS effective_speed_mph",
-            "passenger_count",
-            "fare_amount",
-            "extra",
-            "mta_tax",
-            "tip_amount",
-            "tolls_amount",
-            "improvement_surcharge",
-            "coalesce(congestion_surcharge, 0D) AS congestion_surcharge",
-            "coalesce(Airport_fee, 0D) AS airport_fee",
-            "coalesce(cbd_congestion_fee, 0D) AS cbd_congestion_fee",
-            "total_amount",
-            f"{round_half('raw_rate', 3)} AS revenue_per_minute",
+            "*",
             "coalesce(pu_borough = do_borough, FALSE) AS is_intra_borough",
-            f"coalesce({in_zones('PULocationID', airports)}"
-            f" OR {in_zones('DOLocationID', airports)}, FALSE) AS is_airport_trip",
             "coalesce(pu_cbd OR do_cbd, FALSE) AS is_cbd_involved",
         )
+        .select(*FACT_COLUMNS)
     )
 
 

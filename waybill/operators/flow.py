@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions.numeric import ratio, round_half, text
+from waybill.functions.ordering import sorted_small
 from waybill.profile import FlowLimits
 
 # Flow states.
@@ -61,9 +62,10 @@ def zone_flow(
         f" WHEN net_passenger_flow < {-limits.critical} THEN {text(SURPLUS)}"
         f" ELSE {text(BALANCED)} END"
     )
-    return netted.selectExpr(
+    table = netted.selectExpr(
         *counted.columns,
         "net_passenger_flow",
         f"{round_half('raw_ratio', 3)} AS flow_ratio",
         f"{state} AS operational_status",
-    ).orderBy(F.expr("abs(net_passenger_flow)").desc(), "location_id", *by)
+    )
+    return sorted_small(table, F.expr("abs(net_passenger_flow)").desc(), "location_id", *by)

@@ -61,21 +61,25 @@ class Workbench:
     def fact(self) -> DataFrame:
         return fact.trip_fact(self.trips, self.dim_zones, PROFILE)
 
+    @cached_property
+    def measures(self) -> DataFrame:
+        return fact.trip_measures(self.trips, PROFILE)
+
     @cached_property
     def m1(self) -> DataFrame:
-        return kpis.speed_index(self.fact, self.dim_zones)
+        return kpis.speed_index(self.measures, self.dim_zones)
 
     @cached_property
     def m2(self) -> DataFrame:
-        return kpis.revenue_productivity(self.fact, self.dim_zones)
+        return kpis.revenue_productivity(self.measures, self.dim_zones)
 
     @cached_property
     def m3(self) -> DataFrame:
-        return kpis.zone_flow_imbalance(self.fact, self.dim_zones, PROFILE)
+        return kpis.zone_flow_imbalance(self.measures, self.dim_zones, PROFILE)
 
     @cached_property
     def m4(self) -> DataFrame:
-        return kpis.airport_corridors(self.fact, PROFILE)
+        return kpis.airport_corridors(self.measures, PROFILE)
 
     @cached_property
     def m5(self) -> DataFrame:
@@ -83,7 +87,7 @@ class Workbench:
 
     @cached_property
     def m6(self) -> DataFrame:
-        return kpis.executive_summary(self.fact)
+        return kpis.executive_summary(self.measures)
 
     @property
     def flags(self) -> list[str]:
@@ -111,12 +115,12 @@ class Workbench:
         return gate.audit(gate.vendor_rollup(self.trips, strict), strict)
 
     def usage(self, dim, key: str) -> DataFrame:
-        return fact.key_usage(dim(self.spark, PROFILE), key, self.fact, key)
+        return fact.key_usage(dim(self.spark, PROFILE), key, self.measures, key)
 
     def orphans(self) -> DataFrame:
         spark = self.spark
         return fact.orphan_keys(
-            self.fact,
+            self.measures,
             {
                 "vendor_id": (dimensions.vendors(spark, PROFILE), "vendor_id"),
                 "rate_code_id": (dimensions.rate_codes(spark, PROFILE), "rate_code_id"),
@@ -201,19 +205,19 @@ _QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
     "dim_rate_codes": lambda w: w.usage(dimensions.rate_codes, "rate_code_id"),
     "dim_payment_types": lambda w: w.usage(dimensions.payment_types, "payment_type_id"),
     "dim_zones": lambda w: w.dim_zones,
-    "fct_calendar": lambda w: w.fact.select("pickup_datetime", *_CALENDAR),
-    "fct_money": lambda w: w.fact.select(*_MONEY),
+    "fct_calendar": lambda w: w.measures.select("pickup_datetime", *_CALENDAR),
+    "fct_money": lambda w: w.measures.select(*_MONEY),
     "fct_flags": lambda w: w.fact.select(*_ZONE_FLAGS),
     "fct_full": lambda w: w.fact,
-    "fct_preview": lambda w: profiling.preview(fact.with_trip_id(w.fact)),
+    "fct_preview": lambda w: profiling.preview(fact.with_trip_id(w.measures)),
     "fct_surrogate_key_check": Workbench.trip_id_check,
     "build_counts": Workbench.build_counts,
     "fk_orphans": Workbench.orphans,
     "m1_speed": lambda w: w.m1,
-    "m1_head": lambda w: w.m1.limit(10),
+    "m1_head": lambda w: w.m1.orderBy(*kpis.speed_order()).limit(10),
     "m2_revenue": lambda w: w.m2,
     "m3_flow": lambda w: w.m3,
-    "m3_flow_by_band": lambda w: flow.zone_flow(w.dim_zones, w.fact, BAND_FLOW, ["time_window"]),
+    "m3_flow_by_band": lambda w: flow.zone_flow(w.dim_zones, w.measures, BAND_FLOW, ["time_window"]),
     "m4_corridors": lambda w: w.m4,
     "m5_vendor_trust": lambda w: w.m5,
     "m6_executive": lambda w: w.m6,
@@ -222,7 +226,7 @@ _QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
     "null_rows_revenue": lambda w: profiling.null_rows_revenue(w.trips),
     "zero_second_trips": lambda w: profiling.zero_second_trips(w.trips),
     "extreme_outlier": lambda w: profiling.extreme_outlier(w.trips),
-    "card_tip_share": lambda w: profiling.card_tip_share(w.fact),
+    "card_tip_share": lambda w: profiling.card_tip_share(w.measures),
     "cash_zero_tip_share": lambda w: profiling.cash_zero_tip_share(w.trips),
     "kpi_cards": lambda w: report.kpi_cards(w.m6, w.audit),
     "speed_series": lambda w: report.speed_series(w.m1),

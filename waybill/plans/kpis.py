@@ -7,10 +7,11 @@ origin-destination counts (zone flow). Vendor trust comes from the gate's rollup
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waybill.functions.numeric import ExactTotal, percent, round_half, text
+from waybill.functions.ordering import sorted_small
 from waybill.functions.temporal import window_rank
 from waybill.operators.cells import summarise, value_cells
 from waybill.operators.flow import zone_flow
@@ -75,38 +76,38 @@ def speed_index_of(cells: DataFrame) -> DataFrame:
         cells = cells.filter("pickup_is_known")
     keys = ["pickup_borough", "time_window"]
     points = {"p10": 0.1, "p50": 0.5, "p90": 0.9}
-    return (
-        summarise(cells, keys, SPEED, SPEED_INDEX, points)
-        .selectExpr(
-            *keys,
-            "n AS trip_count",
-            f"{round_half('minutes_mean', 1)} AS avg_duration_min",
-            f"{round_half('miles_mean', 2)} AS avg_distance_miles",
-            f"{round_half('p50', 2)} AS median_speed_mph",
-            f"{round_half('p10', 2)} AS p10_speed_mph",
-            f"{round_half('p90', 2)} AS p90_speed_mph",
-        )
-        .orderBy(F.asc_nulls_last("pickup_borough"), F.expr(window_rank("time_window")))
+    table = summarise(cells, keys, SPEED, SPEED_INDEX, points).selectExpr(
+        *keys,
+        "n AS trip_count",
+        f"{round_half('minutes_mean', 1)} AS avg_duration_min",
+        f"{round_half('miles_mean', 2)} AS avg_distance_miles",
+        f"{round_half('p50', 2)} AS median_speed_mph",
+        f"{round_half('p10', 2)} AS p10_speed_mph",
+        f"{round_half('p90', 2)} AS p90_speed_mph",
     )
+    return sorted_small(table, *speed_order())
+
+
+def speed_order() -> list[Column]:
+    """By borough, then time window in report order."""
+    return [F.asc_nulls_last("pickup_borough"), F.expr(window_rank("time_window")).asc()]
 
 
 def revenue_productivity(fact: DataFrame, dim_zones: DataFrame) -> DataFrame:
     keys = ["pickup_borough", "is_weekend", "time_window"]
     rows = with_pickup_borough(fact, dim_zones).selectExpr("*", CARD_TIP_PCT)
-    return (
-        summarise(value_cells(rows, keys, RATE, REVENUE), keys, RATE, REVENUE, {"p50": 0.5})
-        .selectExpr(
-            *keys,
-            "n AS trip_count",
-            f"{round_half('spend_total', 2)} AS total_gross_revenue",
-            f"{round_half('spend_mean', 2)} AS avg_fare_per_trip",
-            f"{round_half('earnings_mean', 2)} AS avg_revenue_per_active_min",
-            f"{round_half('p50', 2)} AS median_revenue_per_active_min",
-            f"{round_half('tips_mean', 2)} AS avg_tip_amount",
-            f"{round_half('card_tips_mean', 1)} AS avg_cc_tip_pct",
-        )
-        .orderBy(*[F.asc_nulls_last(k) for k in keys])
+    cells = value_cells(rows, keys, RATE, REVENUE)
+    table = summarise(cells, keys, RATE, REVENUE, {"p50": 0.5}).selectExpr(
+        *keys,
+        "n AS trip_count",
+        f"{round_half('spend_total', 2)} AS total_gross_revenue",
+        f"{round_half('spend_mean', 2)} AS avg_fare_per_trip",
+        f"{round_half('earnings_mean', 2)} AS avg_revenue_per_active_min",
+        f"{round_half('p50', 2)} AS median_revenue_per_active_min",
+        f"{round_half('tips_mean', 2)} AS avg_tip_amount",
+        f"{round_half('card_tips_mean', 1)} AS avg_cc_tip_pct",
     )
+    return sorted_small(table, *[F.asc_nulls_last(k) for k in keys])
 
 
 def zone_flow_imbalance(fact: DataFrame, dim_zones: DataFrame, profile: Profile) -> DataFrame:
@@ -123,7 +124,7 @@ def airport_corridors_of(cells: DataFrame) -> DataFrame:
     shared = summarise(cells, ["airport_corridor"], SPEED, CORRIDOR, {"p50": 0.5}).selectExpr(
         "*", f"{percent('n', 'sum(n) OVER (PARTITION BY 0)')} AS share"
     )
-    return shared.selectExpr(
+    table = shared.selectExpr(
         "airport_corridor",
         "n AS total_trips",
         f"{round_half('share', 2)} AS pct_of_all_trips",
@@ -135,7 +136,8 @@ def airport_corridors_of(cells: DataFrame) -> DataFrame:
         f"{round_half('airport_fees_mean', 2)} AS avg_airport_fee",
         f"{round_half('tolls_mean', 2)} AS avg_tolls",
         f"{round_half('earnings_mean', 2)} AS avg_revenue_per_min",
-    ).orderBy(F.desc("total_trips"), "airport_corridor")
+    )
+    return sorted_small(table, F.desc("total_trips"), "airport_corridor")
 
 
 def vendor_trust(rollup: DataFrame, dim_vendors: DataFrame) -> DataFrame:
@@ -159,7 +161,7 @@ def vendor_trust(rollup: DataFrame, dim_vendors: DataFrame) -> DataFrame:
             f"{percent('quarantined_records', 'total_records_received')} AS quarantine_share",
         )
     )
-    return shared.selectExpr(
+    table = shared.selectExpr(
         "vendor_name",
         "total_records_received",
         "passed_records",
@@ -170,7 +172,10 @@ def vendor_trust(rollup: DataFrame, dim_vendors: DataFrame) -> DataFrame:
         "non_positive_fare_count",
         "short_duration_count",
         "implausible_speed_count",
-    ).orderBy(F.desc("total_records_received"), F.asc_nulls_last("vendor_name"))
+    )
+    return sorted_small(
+        table, F.desc("total_records_received"), F.asc_nulls_last("vendor_name")
+    )
 
 
 def executive_summary(fact: DataFrame) -> DataFrame:

@@ -85,9 +85,10 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with their order, customer zone and supplier zone.
 
     Orders meet customers before they meet line items, so the largest table is
-    exchanged once per key it joins on and never for the customer key. No side is
-    hinted: the planner broadcasts what fits its threshold, merge-joins the rest and
-    splits skewed keys.
+    exchanged once per key it joins on and never for the customer key. Line items and
+    orders are both facts, so that join is always a merge join, which spills and whose
+    skewed keys adaptive execution splits; the other sides are broadcast while they
+    fit the planner's threshold and merge-joined beyond it.
     """
     placed = (
         _table(spark, folder, "orders")
@@ -99,12 +100,12 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
     )
     return (
         _items(_table(spark, folder, "lineitem"))
-        .join(placed, F.expr("l_orderkey = o_orderkey"))
+        .join(placed.hint("merge"), F.expr("l_orderkey = o_orderkey"))
         .join(shippers, F.expr("l_suppkey = s_suppkey"))
         .selectExpr(
             "VendorID",
-            "timestampadd(SECOND, offset, o_orderdate) AS tpep_pickup_datetime",
-            "timestampadd(SECOND, offset + seconds, o_orderdate) AS tpep_dropoff_datetime",
+            "o_orderdate + offset * INTERVAL '1' SECOND AS tpep_pickup_datetime",
+            "o_orderdate + (offset + seconds) * INTERVAL '1' SECOND AS tpep_dropoff_datetime",
             "passenger_count",
             "trip_distance",
             "RatecodeID",
