@@ -143,13 +143,11 @@ class Workbench:
 
     def quarantine_roundtrip(self) -> DataFrame:
         path, label = sinks.scratch_folder(self.spark) + "/quarantine", PROFILE.period.label
-        sinks.write_batch(gate.quarantined(self.trips, PROFILE), path, label)
-        return sinks.read_batch(self.spark, path, label)
+        return sinks.write_batch(gate.quarantined(self.trips, PROFILE), path, label)
 
     def fact_roundtrip(self) -> DataFrame:
         path, label = sinks.scratch_folder(self.spark) + "/fct_trips", PROFILE.period.label
-        sinks.write_batch(fact.with_trip_id(self.fact), path, label)
-        return sinks.read_batch(self.spark, path, label).drop("trip_id")
+        return sinks.write_batch(fact.with_trip_id(self.fact), path, label).drop("trip_id")
 
     def kpi_roundtrip(self) -> DataFrame:
         out, label, name = sinks.scratch_folder(self.spark), PROFILE.period.label, "metric_1"

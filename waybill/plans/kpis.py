@@ -1,8 +1,9 @@
 """The KPI tables.
 
-Three aggregations of the fact feed five of them: speed cells (speed index,
-corridors, executive summary), revenue cells (revenue productivity) and
-origin-destination counts (zone flow). Vendor trust comes from the gate's rollup.
+Four aggregations of the fact feed five of them: speed cells by borough (speed index),
+speed cells by corridor (corridors and executive summary), revenue cells (revenue
+productivity) and origin-destination counts (zone flow). Vendor trust comes from the
+gate's rollup.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ SPEED_INDEX = [MINUTES, MILES]
 CORRIDOR = [MILES, MINUTES, SPEND, AIRPORT_FEES, TOLLS, EARNINGS]
 EXECUTIVE = [SPEND, MILES, MINUTES, EARNINGS, CONGESTION, AIRPORT_FEES]
 REVENUE = [SPEND, EARNINGS, TIPS, CARD_TIPS]
-ALL_SPEED_TOTALS = [MINUTES, MILES, EARNINGS, SPEND, TOLLS, AIRPORT_FEES, CONGESTION]
+CORRIDOR_AND_EXECUTIVE = [*CORRIDOR, CONGESTION]
 
 
 def corridor(profile: Profile) -> str:
@@ -50,32 +51,16 @@ def corridor(profile: Profile) -> str:
     return f"CASE {cases} ELSE {text(profile.other_corridor)} END AS airport_corridor"
 
 
-def with_pickup_borough(fact: DataFrame, dim_zones: DataFrame, how: str = "inner") -> DataFrame:
+def with_pickup_borough(fact: DataFrame, dim_zones: DataFrame) -> DataFrame:
     side = dim_zones.selectExpr(
-        "location_id AS pickup_location_id", "borough AS pickup_borough", "TRUE AS pickup_is_known"
+        "location_id AS pickup_location_id", "borough AS pickup_borough"
     )
-    return fact.join(side, "pickup_location_id", how)
-
-
-def speed_cells(fact: DataFrame, dim_zones: DataFrame, profile: Profile) -> DataFrame:
-    """One scan of the fact for the speed index, the corridors and the summary."""
-    rows = with_pickup_borough(fact, dim_zones, "left").selectExpr("*", corridor(profile))
-    keys = ["pickup_is_known", "pickup_borough", "time_window", "airport_corridor"]
-    return value_cells(rows, keys, SPEED, ALL_SPEED_TOTALS)
+    return fact.join(side, "pickup_location_id")
 
 
 def speed_index(fact: DataFrame, dim_zones: DataFrame) -> DataFrame:
-    rows = with_pickup_borough(fact, dim_zones)
-    return speed_index_of(
-        value_cells(rows, ["pickup_borough", "time_window"], SPEED, SPEED_INDEX)
-    )
-
-
-def speed_index_of(cells: DataFrame) -> DataFrame:
-    if "pickup_is_known" in cells.columns:
-        cells = cells.filter("pickup_is_known")
-    keys = ["pickup_borough", "time_window"]
-    points = {"p10": 0.1, "p50": 0.5, "p90": 0.9}
+    keys, points = ["pickup_borough", "time_window"], {"p10": 0.1, "p50": 0.5, "p90": 0.9}
+    cells = value_cells(with_pickup_borough(fact, dim_zones), keys, SPEED, SPEED_INDEX)
     table = summarise(cells, keys, SPEED, SPEED_INDEX, points).selectExpr(
         *keys,
         "n AS trip_count",
@@ -114,6 +99,12 @@ def zone_flow_imbalance(fact: DataFrame, dim_zones: DataFrame, profile: Profile)
     return zone_flow(dim_zones, fact, profile.flow)
 
 
+def corridor_cells(fact: DataFrame, profile: Profile) -> DataFrame:
+    """One scan of the fact for both the corridors and the executive summary."""
+    rows = fact.selectExpr("*", corridor(profile))
+    return value_cells(rows, ["airport_corridor"], SPEED, CORRIDOR_AND_EXECUTIVE)
+
+
 def airport_corridors(fact: DataFrame, profile: Profile) -> DataFrame:
     rows = fact.selectExpr("*", corridor(profile))
     return airport_corridors_of(value_cells(rows, ["airport_corridor"], SPEED, CORRIDOR))

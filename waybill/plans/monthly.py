@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 
 from waybill.operators import dimensions, gate
 from waybill.operators.fact import trip_fact, with_trip_id
@@ -15,7 +18,7 @@ from waybill.sources import readers, sinks
 
 @dataclass(frozen=True)
 class Published:
-    """What a run wrote, and its audit row (the only figures it brings together)."""
+    """Where a run wrote what, and its audit row."""
 
     folder: str
     label: str
@@ -23,6 +26,14 @@ class Published:
     kpis: dict[str, str]
 
 
+def _together(spark: SparkSession, *actions: Callable[[], object]) -> list:
+    """Submit independent Spark actions at once, so that the tail of one does not idle
+    the cluster; the first failure is raised."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+        return [action.result() for action in running]
+
+
 def run_month(
     profile: Profile,
     trips: DataFrame,
@@ -45,40 +56,57 @@ def run_month(
     trips = readers.conform_trips(trips)
     if stage_input:
         trips = sinks.staged(trips, scratch, "trips")
+    dim_vendors = dimensions.vendors(spark, profile)
+
+    def write_audit() -> tuple[DataFrame, DataFrame]:
+        rollup = sinks.staged(gate.vendor_rollup(trips, profile), scratch, "vendor_rollup")
+        audit_row = gate.audit(rollup, profile)
+        sinks.write_report(gate.audit_report(audit_row, profile), out, readers.AUDIT, label)
+        return rollup, audit_row
+
+    def write_quarantine() -> None:
+        path = f"{out}/quarantine/quarantined_trips"
+        sinks.write_batch(gate.quarantined(trips, profile), path, label)
+
+    def write_dimensions() -> None:
+        sinks.write_dimension(dim_vendors, f"{out}/processed/dim_vendors")
+        for name, dim in (
+            ("dim_rate_codes", dimensions.rate_codes(spark, profile)),
+            ("dim_payment_types", dimensions.payment_types(spark, profile)),
+        ):
+            sinks.write_dimension(dim, f"{out}/processed/{name}")
 
-    rollup = sinks.staged(gate.vendor_rollup(trips, profile), scratch, "vendor_rollup")
-    audit_row = gate.audit(rollup, profile)
-    sinks.write_report(gate.audit_report(audit_row, profile), out, readers.AUDIT, label)
-    sinks.write_batch(
-        gate.quarantined(trips, profile), f"{out}/quarantine/quarantined_trips", label
+    def write_fact() -> tuple[DataFrame, DataFrame]:
+        dim_zones = sinks.write_dimension(
+            dimensions.zones(zones, profile), f"{out}/processed/dim_zones"
+        )
+        fact = with_trip_id(trip_fact(trips, dim_zones, profile))
+        return sinks.write_batch(fact, f"{out}/processed/fct_trips", label), dim_zones
+
+    (rollup, audit_row), _, _, (fact, dim_zones) = _together(
+        spark, write_audit, write_quarantine, write_dimensions, write_fact
     )
 
-    dims = {
-        "dim_zones": dimensions.zones(zones, profile),
-        "dim_vendors": dimensions.vendors(spark, profile),
-        "dim_rate_codes": dimensions.rate_codes(spark, profile),
-        "dim_payment_types": dimensions.payment_types(spark, profile),
+    def write_corridors_and_executive() -> list[str]:
+        cells = sinks.staged(kpis.corridor_cells(fact, profile), scratch, "corridor_cells")
+        return [
+            sinks.write_kpi(kpis.airport_corridors_of(cells), out, readers.CORRIDORS, label),
+            sinks.write_kpi(kpis.executive_summary_of(cells), out, readers.EXECUTIVE, label),
+        ]
+
+    tables = {
+        readers.SPEED: lambda: kpis.speed_index(fact, dim_zones),
+        readers.REVENUE: lambda: kpis.revenue_productivity(fact, dim_zones),
+        readers.FLOW: lambda: kpis.zone_flow_imbalance(fact, dim_zones, profile),
+        readers.TRUST: lambda: kpis.vendor_trust(rollup, dim_vendors),
     }
-    for name, dim in dims.items():
-        sinks.write_dimension(dim, f"{out}/processed/{name}")
-    dim_zones = spark.read.parquet(f"{out}/processed/dim_zones")
-    fact_path = f"{out}/processed/fct_trips"
-    sinks.write_batch(with_trip_id(trip_fact(trips, dim_zones, profile)), fact_path, label)
-    fact = sinks.read_batch(spark, fact_path, label)
-
-    cells = sinks.staged(kpis.speed_cells(fact, dim_zones, profile), scratch, "speed_cells")
-    tables = dict(
-        zip(
-            readers.KPI_TABLES,
-            (
-                kpis.speed_index_of(cells),
-                kpis.revenue_productivity(fact, dim_zones),
-                kpis.zone_flow_imbalance(fact, dim_zones, profile),
-                kpis.airport_corridors_of(cells),
-                kpis.vendor_trust(rollup, dims["dim_vendors"]),
-                kpis.executive_summary_of(cells),
-            ),
-        )
+    pair, *single = _together(
+        spark,
+        write_corridors_and_executive,
+        *[
+            lambda name=name, table=table: sinks.write_kpi(table(), out, name, label)
+            for name, table in tables.items()
+        ],
     )
-    paths = {name: sinks.write_kpi(table, out, name, label) for name, table in tables.items()}
+    paths = dict(zip((readers.CORRIDORS, readers.EXECUTIVE, *tables), (*pair, *single)))
     return Published(out, label, audit_row, paths)

@@ -40,16 +40,13 @@ ZONE_COLUMNS = {
     "service_zone": "string",
 }
 # Names of the published tables.
+SPEED = "metric_1_congestion_speed"
+REVENUE = "metric_2_revenue_productivity"
+FLOW = "metric_3_zone_flow_imbalance"
+CORRIDORS = "metric_4_airport_corridor"
+TRUST = "metric_5_data_trust_vendor"
 EXECUTIVE = "executive_summary_kpis"
 AUDIT = "validation_audit_report"
-KPI_TABLES = (
-    "metric_1_congestion_speed",
-    "metric_2_revenue_productivity",
-    "metric_3_zone_flow_imbalance",
-    "metric_4_airport_corridor",
-    "metric_5_data_trust_vendor",
-    EXECUTIVE,
-)
 
 
 class MissingOutput(FileNotFoundError):

@@ -32,18 +32,21 @@ def staged(df: DataFrame, folder: str, name: str) -> DataFrame:
     """
     path = f"{folder}/{name}"
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_batch(df: DataFrame, path: str, label: str) -> None:
-    """Replace one month's partition of a Parquet table and leave the others."""
+def write_batch(df: DataFrame, path: str, label: str) -> DataFrame:
+    """Replace one month's partition of a Parquet table, leave the others, and return
+    what was written."""
+    batch = df.withColumn(BATCH, F.lit(label))
     (
-        df.withColumn(BATCH, F.lit(label))
-        .write.mode("overwrite")
+        batch.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BATCH)
         .parquet(path)
     )
+    table = df.sparkSession.read.schema(batch.schema).parquet(path)
+    return table.filter(F.col(BATCH) == label).drop(BATCH)
 
 
 def read_batch(spark: SparkSession, path: str, label: str) -> DataFrame:
@@ -51,8 +54,9 @@ def read_batch(spark: SparkSession, path: str, label: str) -> DataFrame:
     return spark.read.parquet(path).filter(F.col(BATCH) == label).drop(BATCH)
 
 
-def write_dimension(df: DataFrame, path: str) -> None:
+def write_dimension(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def write_kpi(df: DataFrame, out: str, name: str, label: str) -> str:
