@@ -191,3 +191,22 @@ def test_report_and_long_form(make_trips, january):
     assert set(report["fde_assumptions_and_policy"].asDict()) == set(gate.AUDIT_POLICY)
     long = {r["rule"]: r["violation_count"] for r in gate.violations_long(audit, january).collect()}
     assert list(long) == keys and long["duration_under_1min"] == 1
+
+
+def test_gate_on_a_stream(spark, make_trips, january, tmp_path):
+    source, held = str(tmp_path / "in"), str(tmp_path / "held")
+    make_trips(*[row for row, _ in CASES]).write.parquet(source)
+    batch = spark.read.parquet(source)
+    stream = spark.readStream.schema(batch.schema).parquet(source)
+    query = (
+        gate.quarantined(stream, january)
+        .writeStream.format("parquet")
+        .option("path", held)
+        .option("checkpointLocation", str(tmp_path / "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    assert query.awaitTermination(120)
+    want = gate.quarantined(batch, january).select("quarantine_reasons")
+    assert spark.read.parquet(held).select("quarantine_reasons").exceptAll(want).isEmpty()
+    assert spark.read.parquet(held).count() == want.count()

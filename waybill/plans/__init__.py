@@ -1,0 +1 @@
+"""KPI tables, profiles, report series and the monthly run."""

@@ -1,0 +1 @@
+"""Inputs, provenance and outputs."""

@@ -55,8 +55,8 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def file_manifest(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
     """Size, rows, columns, row groups and SHA-256 of each Parquet file under ``path``.
 
-    Spark lists the files and spreads them over tasks; a task streams each file in
-    one-megabyte chunks, so memory does not depend on file size, and the rows come
+    Spark lists the files and packs them into tasks by size; a task streams each file
+    in one-megabyte chunks, so memory does not depend on file size, and the rows come
     from the footer instead of a scan.
     """
     listed = (
@@ -66,7 +66,7 @@ def file_manifest(spark: SparkSession, path: str, pattern: str = "*.parquet") ->
         .load(path)
         .select("path", "length")
     )
-    return listed.repartition(F.col("path")).mapInPandas(_describe, _SCHEMA)
+    return listed.mapInPandas(_describe, _SCHEMA)
 
 
 def require_rows(manifest: DataFrame) -> None:

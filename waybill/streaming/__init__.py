@@ -1,0 +1,5 @@
+"""No streaming operators: the work is monthly batches.
+
+The gate keeps no state and moves no rows, so ``gate.tag``, ``gate.clean`` and
+``gate.quarantined`` accept a ``readStream`` frame as they are.
+"""
