@@ -106,8 +106,9 @@ class Workbench:
 
     def latest_month(self) -> DataFrame:
         out = sinks.scratch_folder(self.spark)
-        sinks.write_kpi(self.m6, out, readers.EXECUTIVE, "1999_01")
-        sinks.write_kpi(self.m6, out, readers.EXECUTIVE, PROFILE.period.label)
+        summary = sinks.staged(self.m6, out, "summary")
+        for label in ("1999_01", PROFILE.period.label):
+            sinks.write_kpi(summary, out, readers.EXECUTIVE, label)
         return readers.latest_month(self.spark, out, "1970-01")
 
     def strict_audit(self) -> DataFrame:

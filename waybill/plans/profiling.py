@@ -53,9 +53,11 @@ def null_cooccurrence(trips: DataFrame) -> DataFrame:
         "payment_type", *[f"{c} IS NULL AS {p}" for c, p in zip(DISPATCH_COLUMNS, patterns)]
     )
     counts = marked.groupBy(*patterns, "payment_type").agg(F.expr("count(*) AS records"))
-    # The window covers the patterns found, not the rows.
-    share = percent("records", "sum(records) OVER (PARTITION BY 0)")
-    shared = counts.selectExpr("*", f"{share} AS share")
+    # A scalar subquery over the counts, whose exchange is reused: no second scan, and no
+    # window that would bring every pattern into one task.
+    everything = counts.agg(F.sum("records").alias("n")).scalar()
+    shared = counts.withColumn("all_records", everything)
+    shared = shared.selectExpr("*", f"{percent('records', 'all_records')} AS share")
     return shared.selectExpr(
         *counts.columns, f"{round_half('share', 2)} AS pct_of_records"
     )
