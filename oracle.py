@@ -361,7 +361,7 @@ _POLICY = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    queries = {
         "source_counts": _sql(
             "SELECT 'raw_trips' AS source, COUNT(*) AS row_count FROM raw_trips"
             " UNION ALL SELECT 'raw_zones', COUNT(*) FROM raw_zones"
@@ -521,3 +521,7 @@ def oracle_sql() -> dict[str, str]:
             + " FROM audit"
         ),
     }
+    # A whole run, read back from what it published.
+    queries["published_cards"] = queries["kpi_cards"]
+    queries["published_violations"] = queries["violation_labels"]
+    return queries

@@ -314,7 +314,7 @@ def test_report_series(spark, star, january):
     cards = report.kpi_cards(kpis.executive_summary(fact), audit).first()
     assert (cards["clean_trip_volume"], cards["clean_rate_pct"], cards["quarantined_records"]) == (4, 100.0, 0)
     assert cards["revenue_per_hour"] == round(cards["revenue_per_minute"] * 60, 2)
-    labels = {r["rule"]: r["label"] for r in report.violation_labels(audit, january).collect()}
+    labels = {r["rule"]: r["label"] for r in report.violation_labels(gate.violations_long(audit, january), january).collect()}
     assert labels["fare_over_1500"] == "Fare >$1,500" and len(labels) == 10
 
     flow = zone_flow(dim, fact, FlowLimits(min_volume=0, critical=1))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from waybill.operators import dimensions, fact, flow, gate
 from waybill.operators.rules import DROPOFF, PICKUP, trip_rules
-from waybill.plans import kpis, profiling, report
+from waybill.plans import kpis, monthly, profiling, report
 from waybill.profile import FlowLimits, Thresholds
 from waybill.sources import manifest, orders, readers, sinks
 
@@ -151,23 +151,31 @@ class Workbench:
         return sinks.write_batch(fact.with_trip_id(self.fact), path, label).drop("trip_id")
 
     def kpi_roundtrip(self) -> DataFrame:
-        out, label, name = sinks.scratch_folder(self.spark), PROFILE.period.label, "metric_1"
-        sinks.write_kpi(self.m1, out, name, label)
-        return readers.read_kpi(self.spark, out, name, label, self.m1.schema)
+        out, label = sinks.scratch_folder(self.spark), PROFILE.period.label
+        sinks.write_kpi(self.m1, out, readers.SPEED, label)
+        return readers.read_kpi(self.spark, out, readers.SPEED, label)
 
     def audit_roundtrip(self) -> DataFrame:
         out, label = sinks.scratch_folder(self.spark), PROFILE.period.label
         sinks.write_report(gate.audit_report(self.audit, PROFILE), out, readers.AUDIT, label)
-        return readers.read_audit(self.spark, out, label).select(
+        maps = {
+            "violations_by_rule": [r.audit_key for r in trip_rules(PROFILE)],
+            "fde_assumptions_and_policy": list(gate.AUDIT_POLICY),
+        }
+        return readers.read_audit(self.spark, out, label).selectExpr(
             "total_records",
             "clean_records",
             "clean_rate_pct",
             "quarantined_records",
             "quarantine_rate_pct",
-            "violations_by_rule.*",
-            "fde_assumptions_and_policy.*",
+            *[f"{column}['{key}'] AS {key}" for column, keys in maps.items() for key in keys],
         )
 
+    def published(self, series: str) -> DataFrame:
+        out = sinks.scratch_folder(self.spark)
+        monthly.run_month(PROFILE, self.trips, self.zones, out, stage_input=True)
+        return report.month_report(self.spark, out, PROFILE)[series]
+
 
 _CALENDAR = ["pickup_hour", "pickup_day_name", "pickup_day_of_week", "is_weekend", "time_window"]
 _MONEY = [
@@ -230,7 +238,9 @@ _QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
     "kpi_cards": lambda w: report.kpi_cards(w.m6, w.audit),
     "speed_series": lambda w: report.speed_series(w.m1),
     "revenue_series": lambda w: report.revenue_series(w.m2),
-    "violation_labels": lambda w: report.violation_labels(w.audit, PROFILE),
+    "violation_labels": lambda w: report.violation_labels(
+        gate.violations_long(w.audit, PROFILE), PROFILE
+    ),
     "top_sources": lambda w: report.top_sources(w.m3),
     "top_sinks": lambda w: report.top_sinks(w.m3),
     "corridor_feed": lambda w: report.corridor_feed(w.m4),
@@ -239,6 +249,8 @@ _QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
     "fact_roundtrip": Workbench.fact_roundtrip,
     "kpi_roundtrip": Workbench.kpi_roundtrip,
     "audit_roundtrip": Workbench.audit_roundtrip,
+    "published_cards": lambda w: w.published("kpi_cards"),
+    "published_violations": lambda w: w.published("violation_labels"),
 }
 
 

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.functions.labels import lookup_or_key
 from waybill.functions.numeric import ratio, round_exact, text
-from waybill.operators.gate import violations_long
 from waybill.operators.rules import trip_rules
 from waybill.profile import TRUSTED_ABOVE_PCT, WINDOW_ORDER, Profile
+from waybill.sources import readers
 
 
 def kpi_cards(executive: DataFrame, audit_row: DataFrame) -> DataFrame:
@@ -80,12 +80,10 @@ def revenue_series(revenue: DataFrame) -> DataFrame:
     return _by_window(weighed, "is_weekend", "max(rate) FILTER (WHERE {here})")
 
 
-def violation_labels(audit_row: DataFrame, profile: Profile) -> DataFrame:
-    """Violation counts under their display labels, raw key where none is known."""
+def violation_labels(violations: DataFrame, profile: Profile) -> DataFrame:
+    """(rule, violation_count) with display labels, the raw key where none is known."""
     labels = {r.audit_key: r.label for r in trip_rules(profile)}
-    return violations_long(audit_row, profile).selectExpr(
-        "*", f"{lookup_or_key('rule', labels)} AS label"
-    )
+    return violations.selectExpr("*", f"{lookup_or_key('rule', labels)} AS label")
 
 
 def _top_flow(flow: DataFrame, sign: str, rows: int) -> DataFrame:
@@ -130,3 +128,30 @@ def vendor_feed(trust: DataFrame) -> DataFrame:
         "non_positive_fare_count",
         "short_duration_count",
     )
+
+
+def month_report(
+    spark: SparkSession,
+    out: str,
+    profile: Profile,
+    boroughs: Sequence[str] | None = None,
+) -> dict[str, DataFrame]:
+    """Every report series from what a run published for the profile's period.
+
+    Raises ``MissingOutput`` where that period was never run.
+    """
+    label = profile.period.label
+    audit = readers.read_audit(spark, out, label)
+    tables = {name: readers.read_kpi(spark, out, name, label) for name in readers.PUBLISHED}
+    rates = audit.drop("violations_by_rule", "fde_assumptions_and_policy")
+    violations = audit.selectExpr("explode(violations_by_rule) AS (rule, violation_count)")
+    return {
+        "kpi_cards": kpi_cards(tables[readers.EXECUTIVE], rates),
+        "speed_series": speed_series(tables[readers.SPEED], boroughs),
+        "revenue_series": revenue_series(tables[readers.REVENUE]),
+        "violation_labels": violation_labels(violations, profile),
+        "top_sources": top_sources(tables[readers.FLOW]),
+        "top_sinks": top_sinks(tables[readers.FLOW]),
+        "corridor_feed": corridor_feed(tables[readers.CORRIDORS]),
+        "vendor_feed": vendor_feed(tables[readers.TRUST]),
+    }

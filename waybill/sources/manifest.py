@@ -2,54 +2,63 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.sources.readers import IncompleteSource
 
+if TYPE_CHECKING:
+    import pandas as pd
+
 _SCHEMA = (
     "file_name string, file_path string, file_size_bytes bigint, num_rows bigint,"
     " num_columns int, num_row_groups int, schema_columns array<string>, sha256 string,"
     " status string"
 )
-_CHUNK = 1 << 20
-
-
-def _filesystem(path: str):
-    from pyarrow import fs
-
-    scheme, _, rest = path.partition(":")
-    if scheme in ("s3a", "s3n"):
-        path = f"s3:{rest}"
-    elif scheme == "file":
-        path = "/" + rest.lstrip("/")
-    return fs.FileSystem.from_uri(path)
-
-
-def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.parquet as pq
-
-    for batch in batches:
-        rows = []
-        for path, size in zip(batch["path"], batch["length"]):
-            system, name = _filesystem(path)
-            digest = hashlib.sha256()
-            with system.open_input_stream(name) as stream:
-                while chunk := stream.read(_CHUNK):
-                    digest.update(chunk)
-            with system.open_input_file(name) as handle:
-                footer = pq.ParquetFile(handle)
-                meta, columns = footer.metadata, footer.schema_arrow.names
-            status = "VERIFIED_COMPLETE" if meta.num_rows else "EMPTY"
-            rows.append(
-                (name.rsplit("/", 1)[-1], path, size, meta.num_rows, len(columns),
-                 meta.num_row_groups, columns, digest.hexdigest(), status)
-            )
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in _SCHEMA.split(", ")])
+_COLUMNS = [field.split()[0] for field in _SCHEMA.split(", ")]
+
+
+def _describer(columns: list[str], chunk_bytes: int = 1 << 20):
+    """The per-task function, closed over what it needs so that executors run it
+    without this package installed."""
+
+    def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import hashlib
+
+        import pandas as pd
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        def locate(path: str):
+            scheme, _, rest = path.partition(":")
+            if scheme in ("s3a", "s3n"):
+                path = f"s3:{rest}"
+            elif scheme == "file":
+                path = "/" + rest.lstrip("/")
+            return fs.FileSystem.from_uri(path)
+
+        for batch in batches:
+            rows = []
+            for path, size in zip(batch["path"], batch["length"]):
+                system, name = locate(path)
+                digest = hashlib.sha256()
+                with system.open_input_stream(name) as stream:
+                    while chunk := stream.read(chunk_bytes):
+                        digest.update(chunk)
+                with system.open_input_file(name) as handle:
+                    footer = pq.ParquetFile(handle)
+                    meta, names = footer.metadata, footer.schema_arrow.names
+                rows.append(
+                    (name.rsplit("/", 1)[-1], path, size, meta.num_rows, len(names),
+                     meta.num_row_groups, names, digest.hexdigest(),
+                     "VERIFIED_COMPLETE" if meta.num_rows else "EMPTY")
+                )
+            yield pd.DataFrame(rows, columns=columns)
+
+    return describe
 
 
 def file_manifest(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
@@ -66,7 +75,7 @@ def file_manifest(spark: SparkSession, path: str, pattern: str = "*.parquet") ->
         .load(path)
         .select("path", "length")
     )
-    return listed.mapInPandas(_describe, _SCHEMA)
+    return listed.mapInPandas(_describer(_COLUMNS), _SCHEMA)
 
 
 def require_rows(manifest: DataFrame) -> None:

@@ -47,6 +47,38 @@ CORRIDORS = "metric_4_airport_corridor"
 TRUST = "metric_5_data_trust_vendor"
 EXECUTIVE = "executive_summary_kpis"
 AUDIT = "validation_audit_report"
+# Columns of the published tables.
+PUBLISHED = {
+    SPEED: "pickup_borough string, time_window string, trip_count bigint,"
+    " avg_duration_min double, avg_distance_miles double, median_speed_mph double,"
+    " p10_speed_mph double, p90_speed_mph double",
+    REVENUE: "pickup_borough string, is_weekend boolean, time_window string,"
+    " trip_count bigint, total_gross_revenue double, avg_fare_per_trip double,"
+    " avg_revenue_per_active_min double, median_revenue_per_active_min double,"
+    " avg_tip_amount double, avg_cc_tip_pct double",
+    FLOW: "location_id int, borough string, zone_name string, total_pickups bigint,"
+    " total_dropoffs bigint, net_passenger_flow bigint, flow_ratio double,"
+    " operational_status string",
+    CORRIDORS: "airport_corridor string, total_trips bigint, pct_of_all_trips double,"
+    " avg_distance_miles double, avg_duration_min double, median_speed_mph double,"
+    " avg_total_fare double, total_revenue double, avg_airport_fee double, avg_tolls double,"
+    " avg_revenue_per_min double",
+    TRUST: "vendor_name string, total_records_received bigint, passed_records bigint,"
+    " quarantined_records bigint, trust_score_pct double, quarantine_rate_pct double,"
+    " zero_dist_count bigint, non_positive_fare_count bigint, short_duration_count bigint,"
+    " implausible_speed_count bigint",
+    EXECUTIVE: "clean_trip_volume bigint, total_passenger_expenditure_usd double,"
+    " overall_avg_trip_fare_usd double, overall_avg_distance_miles double,"
+    " overall_avg_duration_minutes double, overall_median_speed_mph double,"
+    " overall_avg_revenue_per_active_min double,"
+    " total_mta_congestion_surcharge_collected double,"
+    " total_airport_access_fees_collected double",
+}
+AUDIT_COLUMNS = (
+    "total_records bigint, clean_records bigint, clean_rate_pct double,"
+    " quarantined_records bigint, quarantine_rate_pct double,"
+    " violations_by_rule map<string, bigint>, fde_assumptions_and_policy map<string, string>"
+)
 
 
 class MissingOutput(FileNotFoundError):
@@ -116,14 +148,16 @@ def _read_or_fail(read, path: str, label: str) -> DataFrame:
         raise MissingOutput(f"no output for {label} at {path}; run that month first") from error
 
 
-def read_kpi(spark: SparkSession, out: str, name: str, label: str, schema) -> DataFrame:
+def read_kpi(spark: SparkSession, out: str, name: str, label: str) -> DataFrame:
     """One published KPI table."""
-    read = spark.read.schema(schema).option("header", True).csv
+    read = spark.read.schema(PUBLISHED[name]).option("header", True).csv
     return _read_or_fail(read, f"{out}/outputs/{name}_{label}.csv", label)
 
 
 def read_audit(spark: SparkSession, out: str, label: str) -> DataFrame:
-    return _read_or_fail(spark.read.json, f"{out}/outputs/{AUDIT}_{label}.json", label)
+    """One published audit; rules and policy notes as maps."""
+    read = spark.read.schema(AUDIT_COLUMNS).json
+    return _read_or_fail(read, f"{out}/outputs/{AUDIT}_{label}.json", label)
 
 
 def latest_month(spark: SparkSession, out: str, default: str) -> DataFrame:
