@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from waybill.operators.gate import AUDIT_POLICY
+from waybill.profile import PAYMENT_TYPES, RATE_CODES, VENDORS
+
 _FLAGS = {
     "flag_out_of_period": (
         "tpep_pickup_datetime < TIMESTAMP '1996-01-01' OR"
@@ -29,7 +32,7 @@ _STRICT = {
     "min_s": 300, "max_s": 3000, "min_mi": 1.0, "max_mi": 8.0, "max_mph": 40.0,
     "min_fare": 5.0, "max_total": 90.0, "lo": 3, "hi": 20,
 }
-# flag -> (tag, audit key, label)
+# Flag -> (tag, audit key, label).
 _NAMES = {
     "flag_out_of_period": ("OUT_OF_PERIOD", "out_of_period", "Out of Period"),
     "flag_negative_duration": ("NEGATIVE_DURATION", "negative_duration", "Negative Dur"),
@@ -93,29 +96,18 @@ measured AS (
   FROM timed
 )"""
 
-_VENDORS = {
-    1: "Creative Mobile Technologies (CMT)", 2: "VeriFone Inc. (VTS)",
-    6: "Pilot Provider Alpha", 7: "Pilot Provider Beta",
-}
-_RATES = {
-    1: "Standard Rate", 2: "JFK Airport Flat Rate", 3: "Newark Airport",
-    4: "Nassau / Westchester", 5: "Negotiated Fare", 6: "Group Ride",
-    99: "Special / Out of Area Rate",
-}
-_PAYMENTS = {
-    0: "Unspecified / Void", 1: "Credit Card", 2: "Cash", 3: "No Charge", 4: "Dispute",
-    5: "Unknown", 6: "Voided Trip",
-}
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
 
 
-def _values(entries: dict[int, str]) -> str:
-    return ", ".join(f"({k}, '{v}')" for k, v in entries.items())
+def _values(entries) -> str:
+    return ", ".join(f"({k}, {_quoted(v)})" for k, v in entries.items())
 
 
 _STAR = f"""
-dim_vendors(vendor_id, vendor_name) AS (VALUES {_values(_VENDORS)}),
-dim_rate_codes(rate_code_id, rate_description) AS (VALUES {_values(_RATES)}),
-dim_payment_types(payment_type_id, payment_description) AS (VALUES {_values(_PAYMENTS)}),
+dim_vendors(vendor_id, vendor_name) AS (VALUES {_values(VENDORS)}),
+dim_rate_codes(rate_code_id, rate_description) AS (VALUES {_values(RATE_CODES)}),
+dim_payment_types(payment_type_id, payment_description) AS (VALUES {_values(PAYMENT_TYPES)}),
 dim_zones AS (
   SELECT LocationID::INTEGER AS location_id, Borough AS borough, Zone AS zone_name, service_zone,
     LocationID IN (1, 2, 3, 4, 5) AS is_manhattan_cbd,
@@ -352,14 +344,6 @@ def _top(sign: str) -> str:
     )
 
 
-# The policy notes are literal text of the audit report.
-_POLICY = {
-    "passenger_count_nulls": "Preserved in clean dataset for operational and revenue KPIs; excluded only for per-passenger metrics. Dropping 29.2% of nulls would severely bias trip volume.",
-    "ratecode_id_nulls": "Mapped to ''Unassigned / Digital Dispatch'' rather than dropping.",
-    "quarantine_policy": "Records failing physical travel laws (speed > 85mph, negative fares, duration < 1m) are segregated to quarantine parquet with diagnostic tags for vendor SLA reviews.",
-}
-
-
 def oracle_sql() -> dict[str, str]:
     queries = {
         "source_counts": _sql(
@@ -517,7 +501,7 @@ def oracle_sql() -> dict[str, str]:
         "kpi_roundtrip": _sql("SELECT * FROM m1"),
         "audit_roundtrip": _sql(
             "SELECT *, "
-            + ", ".join(f"'{text}' AS {name}" for name, text in _POLICY.items())
+            + ", ".join(f"{_quoted(text)} AS {name}" for name, text in AUDIT_POLICY.items())
             + " FROM audit"
         ),
     }

@@ -48,7 +48,7 @@ def test_trip_files_conform(spark, make_trips, tmp_path):
     narrow.drop("VendorID", "passenger_count").withColumnsRenamed(
         {"v": "VendorID", "p": "passenger_count"}
     ).write.parquet(path)
-    trips = readers.read_trips(spark, path)
+    trips = manifest.verified_trips(spark, path)
     assert trips.columns == list(readers.TRIP_COLUMNS)
     assert dict(trips.dtypes)["passenger_count"] == "bigint"
     with pytest.raises(readers.IncompleteSource, match="tip_amount"):
@@ -68,9 +68,10 @@ def test_manifest(spark, tmp_path):
     assert (one["file_size_bytes"], one["num_rows"], one["num_row_groups"]) == (len(data), 5000, 5)
     assert (one["schema_columns"], one["num_columns"]) == (["a", "b"], 2)
     assert (one["status"], rows["none.parquet"]["status"]) == ("VERIFIED_COMPLETE", "EMPTY")
-    with pytest.raises(readers.IncompleteSource, match="none.parquet"):
-        manifest.require_rows(listed)
-    manifest.require_rows(listed.filter("num_rows > 0"))
+    footers = manifest.file_manifest(spark, str(tmp_path), hashed=False).drop("sha256")
+    assert sorted(footers.collect()) == sorted(listed.drop("sha256").collect())
+    with pytest.raises(readers.IncompleteSource, match="holds no rows"):
+        manifest.verified_trips(spark, str(tmp_path / "none.parquet"))
 
 
 def test_manifest_task_needs_no_package(tmp_path):

@@ -8,7 +8,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.sources.readers import IncompleteSource
+from waybill.sources.readers import IncompleteSource, read_trips
 
 if TYPE_CHECKING:
     import pandas as pd
@@ -21,7 +21,7 @@ _SCHEMA = (
 _COLUMNS = [field.split()[0] for field in _SCHEMA.split(", ")]
 
 
-def _describer(columns: list[str], chunk_bytes: int = 1 << 20):
+def _describer(columns: list[str], hashed: bool = True, chunk_bytes: int = 1 << 20):
     """The per-task function, closed over what it needs so that executors run it
     without this package installed."""
 
@@ -44,16 +44,19 @@ def _describer(columns: list[str], chunk_bytes: int = 1 << 20):
             rows = []
             for path, size in zip(batch["path"], batch["length"]):
                 system, name = locate(path)
-                digest = hashlib.sha256()
-                with system.open_input_stream(name) as stream:
-                    while chunk := stream.read(chunk_bytes):
-                        digest.update(chunk)
+                digest = None
+                if hashed:
+                    running = hashlib.sha256()
+                    with system.open_input_stream(name) as stream:
+                        while chunk := stream.read(chunk_bytes):
+                            running.update(chunk)
+                    digest = running.hexdigest()
                 with system.open_input_file(name) as handle:
                     footer = pq.ParquetFile(handle)
                     meta, names = footer.metadata, footer.schema_arrow.names
                 rows.append(
                     (name.rsplit("/", 1)[-1], path, size, meta.num_rows, len(names),
-                     meta.num_row_groups, names, digest.hexdigest(),
+                     meta.num_row_groups, names, digest,
                      "VERIFIED_COMPLETE" if meta.num_rows else "EMPTY")
                 )
             yield pd.DataFrame(rows, columns=columns)
@@ -61,12 +64,14 @@ def _describer(columns: list[str], chunk_bytes: int = 1 << 20):
     return describe
 
 
-def file_manifest(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+def file_manifest(
+    spark: SparkSession, path: str, pattern: str = "*.parquet", hashed: bool = True
+) -> DataFrame:
     """Size, rows, columns, row groups and SHA-256 of each Parquet file under ``path``.
 
     Spark lists the files and packs them into tasks by size; a task streams each file
     in one-megabyte chunks, so memory does not depend on file size, and the rows come
-    from the footer instead of a scan.
+    from the footer instead of a scan. Without ``hashed`` only footers are read.
     """
     listed = (
         spark.read.format("binaryFile")
@@ -75,10 +80,12 @@ def file_manifest(spark: SparkSession, path: str, pattern: str = "*.parquet") ->
         .load(path)
         .select("path", "length")
     )
-    return listed.mapInPandas(_describer(_COLUMNS), _SCHEMA)
+    return listed.mapInPandas(_describer(_COLUMNS, hashed), _SCHEMA)
 
 
-def require_rows(manifest: DataFrame) -> None:
-    empty = manifest.filter(F.col("num_rows") == 0).select("file_path").first()
-    if empty:
-        raise IncompleteSource(f"{empty['file_path']} holds no rows")
+def verified_trips(spark: SparkSession, path: str) -> DataFrame:
+    """Trips from ``path``, refused if its files hold no rows by their footers."""
+    footers = file_manifest(spark, path, hashed=False)
+    if not footers.agg(F.sum("num_rows")).first()[0]:
+        raise IncompleteSource(f"{path} holds no rows")
+    return read_trips(spark, path)
