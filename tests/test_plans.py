@@ -99,14 +99,16 @@ def test_line_items_meet_orders_by_merge(spark):
     assert "SortMergeJoin Inner" in plan
 
 
-def test_hot_order_is_split(spark, tmp_path):
-    """A third of all line items on one order: adaptive execution splits it, nothing is lost."""
+@pytest.mark.parametrize("hot", ["l_orderkey", "l_suppkey"])
+def test_hot_key_is_split(spark, tmp_path, hot):
+    """A third of all line items on one order or supplier, tables past any broadcast:
+    adaptive execution splits the hot key and nothing is lost."""
     for name, schema in orders.TABLES.items():
         frame = spark.read.schema(schema).parquet(f"{DATA}/{name}.parquet")
         if name == "lineitem":
             frame = frame.crossJoin(spark.range(40)).selectExpr(
-                "IF(id % 3 = 0, 7L, l_orderkey) AS l_orderkey",
-                *[c for c in frame.columns if c != "l_orderkey"],
+                f"IF(id % 3 = 0, 7L, {hot}) AS {hot}",
+                *[c for c in frame.columns if c != hot],
             ).repartition(8)
         frame.write.parquet(f"{tmp_path}/{name}.parquet")
     settings = {
@@ -115,6 +117,7 @@ def test_hot_order_is_split(spark, tmp_path):
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.shuffle.partitions": "32",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
     }
     saved = {k: spark.conf.get(k) for k in settings}
     try:

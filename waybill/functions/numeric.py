@@ -71,7 +71,7 @@ def ieee_ratio(numerator: str, denominator: str) -> str:
 
 
 _LOW_BITS = 20
-_LIMIT = 1e12
+_GRID_LIMIT, _MONEY_LIMIT = 1e6, 1e9
 
 
 @dataclass(frozen=True)
@@ -85,7 +85,8 @@ class ExactTotal:
     * otherwise millionths, in a high and a low long lane, so that trillions of
       rows do not overflow.
 
-    NaN, infinities and values of 1e12 and more go to a double lane of their own.
+    NaN, infinities and values no single trip should have (a million on a grid, a
+    billion otherwise) go to a double lane of their own, so that no cast or lane fails.
     The lanes are ordinary sums: they combine before the shuffle and can be summed
     again over any coarser key (``again``).
     """
@@ -100,7 +101,8 @@ class ExactTotal:
 
     @property
     def _lanes(self) -> dict[str, str]:
-        tame = f"abs({self.value}) < {number(_LIMIT)}"
+        limit = _MONEY_LIMIT if self.digits is None else _GRID_LIMIT
+        tame = f"abs({self.value}) < {number(limit)}"
         units = f"CAST(rint(IF({tame}, {self.value}, NULL) * {self._scale}) AS BIGINT)"
         if self.digits is None:
             fixed = {
