@@ -162,6 +162,8 @@ def test_two_months_and_a_rerun(spark, make_trips, make_zones, tmp_path):
     assert sinks.read_batch(spark, fact_path, "2026_02").count() > 0
     held = sinks.read_batch(spark, held_path, LABEL)
     assert held.count() == audit["quarantined_records"] and len(held.columns) == 34
+    files = [f for f in os.listdir(f"{held_path}/batch_month={LABEL}") if f.endswith(".parquet")]
+    assert len(files) == 1
     assert held.filter("total_violations = 0 OR quarantine_reasons = ''").count() == 0
 
     report = readers.read_audit(spark, out, LABEL).first()

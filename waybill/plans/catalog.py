@@ -144,7 +144,9 @@ class Workbench:
 
     def quarantine_roundtrip(self) -> DataFrame:
         path, label = sinks.scratch_folder(self.spark) + "/quarantine", PROFILE.period.label
-        return sinks.write_batch(gate.quarantined(self.trips, PROFILE), path, label)
+        return sinks.write_batch(
+            gate.quarantined(self.trips, PROFILE), path, label, rebalance=True
+        )
 
     def fact_roundtrip(self) -> DataFrame:
         path, label = sinks.scratch_folder(self.spark) + "/fct_trips", PROFILE.period.label

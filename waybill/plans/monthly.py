@@ -66,7 +66,7 @@ def run_month(
 
     def write_quarantine() -> None:
         path = f"{out}/quarantine/quarantined_trips"
-        sinks.write_batch(gate.quarantined(trips, profile), path, label)
+        sinks.write_batch(gate.quarantined(trips, profile), path, label, rebalance=True)
 
     def write_dimensions() -> None:
         sinks.write_dimension(dim_vendors, f"{out}/processed/dim_vendors")

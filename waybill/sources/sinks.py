@@ -35,10 +35,16 @@ def staged(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_batch(df: DataFrame, path: str, label: str) -> DataFrame:
+def write_batch(df: DataFrame, path: str, label: str, *, rebalance: bool = False) -> DataFrame:
     """Replace one month's partition of a Parquet table, leave the others, and return
-    what was written."""
+    what was written.
+
+    ``rebalance`` exchanges the rows into files of the advisory size. Use it where a
+    filter leaves each task little, so that the table is not one sliver per task.
+    """
     batch = df.withColumn(BATCH, F.lit(label))
+    if rebalance:
+        batch = batch.hint("rebalance")
     (
         batch.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
