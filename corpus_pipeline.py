@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from waybill.llm import mixing, packing, quality, simhash, substring
 from waybill.sources.sinks import scratch_folder, staged
@@ -26,8 +27,9 @@ def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that an earlier document has, too."""
-    return substring.without_repeats(docs)
+    """Texts without the passages that an earlier document has, too; ``n_chars`` follows."""
+    left = substring.without_repeats(docs)
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

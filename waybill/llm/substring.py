@@ -148,30 +148,31 @@ def remaining(spans: DataFrame) -> DataFrame:
     return spans.mapInArrow(per_batch(run, types), "doc_id long, n_kept long, kept string")
 
 
+def outcome(found: dict[str, DataFrame]) -> DataFrame:
+    """(doc_id, n_kept, kept) of every document that loses words, once an id."""
+    none = found["copies"].select("doc_id", F.lit(0).cast("long").alias("n_kept"), F.lit("").alias("kept"))
+    return remaining(found["spans"]).unionByName(none).dropDuplicates(["doc_id"])
+
+
 def without_repeats(docs: DataFrame, *, width: int = WINDOW, scratch: str | None = None) -> DataFrame:
     """``docs`` with the repeated words taken out of their texts; other rows stay untouched.
 
     A text that loses words has its remaining ones joined by one space. A document that
     loses all of them goes, since nothing of it is left.
     """
-    found = repeated_spans(docs, width=width, scratch=scratch)
-    rest = remaining(found["spans"]).dropDuplicates(["doc_id"])
-    gone = found["copies"].unionByName(rest.filter("n_kept = 0").select("doc_id")).distinct()
-    changed = rest.filter("n_kept > 0").select(F.col("doc_id").alias("changed_id"), "kept")
-    stays = docs.join(gone.withColumnRenamed("doc_id", "gone_id"), docs["doc_id"] == F.col("gone_id"), "left_anti")
-    text = F.coalesce(changed["kept"], docs["text"]).alias("text")
-    return stays.join(changed, docs["doc_id"] == changed["changed_id"], "left").select(
-        *(text if c == "text" else docs[c] for c in docs.columns)
-    )
+    scratch = scratch or scratch_folder(docs.sparkSession)
+    rest = outcome(repeated_spans(docs, width=width, scratch=scratch))
+    rest = rest.select(F.col("doc_id").alias("changed_id"), "n_kept", "kept")
+    joined = docs.join(rest, docs["doc_id"] == rest["changed_id"], "left")
+    joined = joined.filter(rest["n_kept"].isNull() | (rest["n_kept"] > 0))
+    text = F.coalesce(rest["kept"], docs["text"]).alias("text")
+    return joined.select(*(text if c == "text" else docs[c] for c in docs.columns))
 
 
 def op8_substring(spark: SparkSession, folder: str) -> DataFrame:
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     found = repeated_spans(docs)
-    left = remaining(found["spans"]).select("doc_id", "n_kept", F.sha2("kept", 256).alias("sha"))
-    none = F.sha2(F.lit(""), 256)
-    left = left.unionByName(found["copies"].select("doc_id", F.lit(0).cast("long").alias("n_kept"), none.alias("sha")))
-    left = left.dropDuplicates(["doc_id"])
+    left = outcome(found).select("doc_id", "n_kept", F.sha2("kept", 256).alias("sha"))
     kept = F.coalesce("n_kept", "n_words")
     return found["summaries"].join(left, "doc_id", "left").select(
         "doc_id", "n_words", (F.col("n_words") - kept).alias("n_removed"), F.coalesce("sha", "whole").alias("kept_sha256")
