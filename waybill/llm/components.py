@@ -24,9 +24,10 @@ def components(edges: DataFrame, scratch: str) -> DataFrame:
     while mark[0]:
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root"))
+        least = staged(least, scratch, f"least-{at}")
         above = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("root").alias("b"))
         above = staged(_downward(above), scratch, f"edges-{at + 1}")
-        least = above.groupBy("a").agg(F.min("b").alias("root"))
+        least = staged(above.groupBy("a").agg(F.min("b").alias("root")), scratch, f"least-{at + 1}")
         below = above.join(least, "a").select(F.col("b").alias("a"), F.col("root").alias("b"))
         below = below.unionByName(least.select("a", F.col("root").alias("b")))
         at += 2

@@ -104,6 +104,8 @@ def near_duplicates(
     classes = each.join(linked, "bits", "left").select(
         "bits", F.coalesce("component_id", "least").alias("component_id")
     )
+    # Written, both sides of the join are plain shuffles and a hot fingerprint can be split.
+    classes = staged(classes, scratch, "classes")
     return prints.join(classes, "bits").select("doc_id", "bits", "component_id")
 
 
