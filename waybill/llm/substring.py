@@ -91,14 +91,15 @@ def repeated_spans(docs: DataFrame, *, width: int = WINDOW, scratch: str | None
     Windows are anchored at the least hash of their half-length runs; a window whose anchor
     occurs in one document only occurs there only, so it is counted without a shuffle. All
     others are counted in Spark by their 95-bit hash. Least ids are aggregated before each
-    shuffle and joined back, so a passage in a third of all rows is split by adaptive
-    execution. Rows that repeat an id are one document; a null id is never earlier or
+    shuffle, written and joined back, so a passage in a third of all rows is split by
+    adaptive execution. Rows that repeat an id are one document; a null id is never earlier or
     later than another, so its row keeps all words. Null and blank texts have no words.
     """
     scratch = scratch or scratch_folder(docs.sparkSession)
     base = staged(summaries(docs, width), scratch, "summaries")
     long = base.filter((F.col("n_words") >= width) & F.col("doc_id").isNotNull())
     first = long.groupBy("whole").agg(F.min("doc_id").alias("first_id"))
+    first = staged(first, scratch, "first")
     judged = long.join(first, "whole").select(
         "doc_id", "anchors", (F.col("doc_id") > F.col("first_id")).alias("copy")
     )
@@ -106,13 +107,13 @@ def repeated_spans(docs: DataFrame, *, width: int = WINDOW, scratch: str | None
     copies = judged.filter("copy").select("doc_id").distinct()
     anchors = judged.filter("NOT copy").select("doc_id", F.explode("anchors").alias("anchor"))
     met = anchors.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    met = met.filter("lo < hi").select("anchor")
+    met = staged(met.filter("lo < hi").select("anchor"), scratch, "shared")
     shared = anchors.join(met, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     suspects = staged(texts.join(shared, "doc_id"), scratch, "suspects")
     windows = candidate_windows(suspects, width)
     seen = windows.groupBy("hash", "check").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    seen = seen.filter("lo < hi").select("hash", "check", "lo")
+    seen = staged(seen.filter("lo < hi").select("hash", "check", "lo"), scratch, "repeated")
     hits = windows.join(seen, ["hash", "check"]).filter("doc_id > lo").select("doc_id", "at")
     order = Window.partitionBy("doc_id").orderBy("at")
     apart = F.col("at") - F.lag("at").over(order) > width
