@@ -70,9 +70,9 @@ def _distinct(vectors: DataFrame, keep: int) -> DataFrame:
     usable = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = vectors.select("vec_id", double.alias("embedding")).filter("embedding IS NOT NULL AND vec_id IS NOT NULL")
     some = some.filter(usable & F.exists("embedding", lambda x: x != 0)).withColumn("hash", F.xxhash64("embedding"))
-    nth = F.row_number().over(Window.partitionBy("hash", "embedding").orderBy("vec_id"))
+    nth = F.dense_rank().over(Window.partitionBy("hash", "embedding").orderBy("vec_id"))
     few = some.withColumn("nth", nth).filter(F.col("nth") <= keep)
-    return few.groupBy("hash", "embedding").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+    return few.groupBy("hash", "embedding").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))
 
 
 def _on_curves(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -127,13 +127,14 @@ def estimate(
     share, accuracy = SHARE, dict.fromkeys(names, (ON_GOOD, ON_BAD))
     for _ in range(rounds):
         p = _posterior(share, accuracy)
-        good, bad = F.col("n") * p, F.col("n") * (1 - p)
-        sums = [F.sum("n").alias("n"), F.sum(good).alias("good")]
+        weighed = patterns.withColumn("good", F.col("n") * p).withColumn("bad", F.col("n") - F.col("good"))
+        sums = [F.sum("n").alias("n"), F.sum("good").alias("good")]
         for c in names:
-            for kind, weight, right in (("good", good, 1), ("bad", bad, -1)):
+            for kind, right in (("good", 1), ("bad", -1)):
+                weight = F.col(kind)
                 sums.append(F.sum(F.when(F.col(c) == right, weight).otherwise(0.0)).alias(f"right_{kind}_{c}"))
                 sums.append(F.sum(F.when(F.col(c) != 0, weight).otherwise(0.0)).alias(f"cast_{kind}_{c}"))
-        row = patterns.agg(*sums).first()
+        row = weighed.agg(*sums).first()
         if not row["n"]:
             break
 
