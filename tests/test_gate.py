@@ -11,7 +11,7 @@ from waybill.operators import gate
 from waybill.operators.rules import passing_condition, trip_rules
 from waybill.profile import Profile, Thresholds
 
-T0 = datetime(2026, 1, 15, 10)
+T0 = datetime(2026, 1, 22, 10)
 
 
 def lasting(seconds: float, **changes) -> dict:
@@ -21,26 +21,17 @@ def lasting(seconds: float, **changes) -> dict:
 
 
 FIXTURE = [
+    (lasting(30, trip_distance=0.3), "DURATION_UNDER_1MIN"),
+    (lasting(90_000, trip_distance=20.0), "DURATION_OVER_24H"),
     (trip(), ""),
     (
         trip(
-            tpep_pickup_datetime=T0 + timedelta(minutes=15), tpep_dropoff_datetime=T0,
-            trip_distance=2.0, fare_amount=12.0, total_amount=15.5,
+            tpep_pickup_datetime=datetime(2026, 2, 3, 8), total_amount=0.0,
+            tpep_dropoff_datetime=datetime(2026, 2, 3, 8, 40),
         ),
-        "NEGATIVE_DURATION; DURATION_UNDER_1MIN",
+        "OUT_OF_PERIOD; NON_POSITIVE_FARE",
     ),
-    (
-        lasting(1200, VendorID=2, trip_distance=3.0, fare_amount=-15.0, total_amount=-16.5),
-        "NON_POSITIVE_FARE",
-    ),
-    (
-        trip(
-            VendorID=2, tpep_pickup_datetime=datetime(2025, 12, 31, 23, 50),
-            tpep_dropoff_datetime=datetime(2026, 1, 1, 0, 5), trip_distance=1.5,
-        ),
-        "OUT_OF_PERIOD",
-    ),
-    (lasting(600, trip_distance=0.0, fare_amount=8.0, total_amount=9.5), "DISTANCE_UNDER_MIN"),
+    (lasting(900, trip_distance=0.01), "DISTANCE_UNDER_MIN"),
 ]
 
 

@@ -47,7 +47,7 @@ def test_trip_files_conform(spark, make_trips, tmp_path):
     )
     narrow.drop("VendorID", "passenger_count").withColumnsRenamed(
         {"v": "VendorID", "p": "passenger_count"}
-    ).write.parquet(path)
+    ).coalesce(1).write.parquet(path)
     trips = manifest.verified_trips(spark, path)
     assert trips.columns == list(readers.TRIP_COLUMNS)
     assert dict(trips.dtypes)["passenger_count"] == "bigint"
@@ -140,6 +140,24 @@ def _tables(spark, out: str, label: str) -> dict:
     return read
 
 
+def test_a_rerun_replaces_whatever_is_left(spark, make_trips, tmp_path):
+    trips, path = make_trips(trip(), trip()), str(tmp_path / "t")
+    sinks.write_batch(trips, path, LABEL)
+    sinks.write_batch(trips.limit(1), path, "2026_02")
+    for rows in (trips.limit(0), trips, trips.limit(1)):
+        written = sinks.write_batch(rows, path, LABEL, rebalance=True)
+        assert written.count() == sinks.read_batch(spark, path, LABEL).count() == rows.count()
+    assert sinks.read_batch(spark, path, "2026_02").count() == 1
+
+
+def test_one_empty_file_is_refused(make_trips, tmp_path):
+    path = str(tmp_path / "trips")
+    make_trips(trip()).write.parquet(path)
+    make_trips(trip()).limit(0).write.mode("append").parquet(path)
+    with pytest.raises(readers.IncompleteSource, match="holds no rows"):
+        manifest.verified_trips(make_trips().sparkSession, path)
+
+
 def test_two_months_and_a_rerun(spark, make_trips, make_zones, tmp_path):
     out, zones = str(tmp_path), make_zones()
     january, february = Profile.month("2026-01"), Profile.month("2026-02")

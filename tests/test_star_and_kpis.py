@@ -23,7 +23,7 @@ from waybill.plans import kpis, profiling, report
 from waybill.profile import FlowLimits
 from waybill.sources.readers import source_counts
 
-T0 = datetime(2026, 1, 15, 10)
+T0 = datetime(2026, 1, 22, 10)
 
 
 @pytest.fixture
@@ -345,7 +345,7 @@ def test_profiles(star, january, make_zones):
     assert tuple(profiling.zero_second_trips(trips).first()) == (1, 1)
     assert profiling.extreme_outlier(trips).first()["trip_distance"] == 99.0
     assert tuple(profiling.cash_zero_tip_share(trips).first()) == (3, 2, 66.67)
-    assert tuple(profiling.card_tip_share(fact).first()) == (1, 20.0)
+    assert tuple(profiling.card_tip_share(fact).first()) == (1, 23.5)
     counts = {r["source"]: r["row_count"] for r in source_counts(trips, make_zones()).collect()}
     assert counts == {"raw_trips": 8, "raw_zones": 265}
 

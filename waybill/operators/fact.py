@@ -114,7 +114,8 @@ def orphan_keys(
 
     ``references`` maps a fact column to (dimension, dimension key). One scan: every
     row is unfolded into its keys and counted per key before the shuffle, so a hot
-    key costs no more than a rare one. NULL keys reference nothing.
+    key costs no more than a rare one. NULL keys reference nothing. Every foreign key has
+    a row, also over an empty fact.
     """
     pairs = ", ".join(f"{text(c)}, CAST({c} AS BIGINT)" for c in references)
     used = (
@@ -128,7 +129,7 @@ def orphan_keys(
             f"{text(column)} AS foreign_key", f"CAST({key} AS BIGINT) AS key_id", "TRUE AS found"
         ).distinct()
         known = part if known is None else known.unionByName(part)
-    return (
+    counted = (
         used.join(known, ["foreign_key", "key_id"], "left")
         .selectExpr("*", "key_id IS NOT NULL AND found IS NULL AS is_orphan")
         .groupBy("foreign_key")
@@ -138,6 +139,9 @@ def orphan_keys(
             F.expr("count_if(is_orphan) AS orphan_keys"),
         )
     )
+    names = ", ".join(text(c) for c in references)
+    every = fact.sparkSession.sql(f"SELECT explode(array({names})) AS foreign_key")
+    return every.join(counted, "foreign_key", "left").na.fill(0)
 
 
 def key_usage(dim: DataFrame, key: str, fact: DataFrame, foreign_key: str) -> DataFrame:

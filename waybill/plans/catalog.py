@@ -96,7 +96,7 @@ class Workbench:
     # Queries with more to them than one call.
 
     def manifest_summary(self) -> DataFrame:
-        return manifest.file_manifest(self.spark, self.folder).selectExpr(
+        return manifest.file_manifest(self.spark, self.folder, hashed=False).selectExpr(
             "file_name",
             "num_rows",
             "num_columns",

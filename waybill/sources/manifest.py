@@ -84,8 +84,9 @@ def file_manifest(
 
 
 def verified_trips(spark: SparkSession, path: str) -> DataFrame:
-    """Trips from ``path``, refused if its files hold no rows by their footers."""
+    """Trips from ``path``, refused if any of its files holds no rows by its footer."""
     footers = file_manifest(spark, path, hashed=False)
-    if not footers.agg(F.sum("num_rows")).first()[0]:
-        raise IncompleteSource(f"{path} holds no rows")
+    least = footers.agg(F.min(F.struct("num_rows", "file_path"))).first()[0]
+    if least is None or not least["num_rows"]:
+        raise IncompleteSource(f"{least["file_path"] if least else path} holds no rows")
     return read_trips(spark, path)

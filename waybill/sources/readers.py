@@ -161,7 +161,8 @@ def read_audit(spark: SparkSession, out: str, label: str) -> DataFrame:
 
 
 def latest_month(spark: SparkSession, out: str, default: str) -> DataFrame:
-    """Month of the executive summary written last, or ``default``."""
+    """Month of the executive summary written last, or ``default``; of those written at the
+    same time, the latest month."""
     files = f"{out}/outputs/{EXECUTIVE}_*.csv"
     try:
         listed = spark.read.format("text").load(files)
@@ -171,6 +172,6 @@ def latest_month(spark: SparkSession, out: str, default: str) -> DataFrame:
         return spark.sql(f"SELECT {text(default)} AS month")
     month = month_of_file("_metadata.file_path", EXECUTIVE)
     newest = listed.agg(
-        F.expr(f"max_by({month}, _metadata.file_modification_time) AS month")
+        F.expr(f"max(struct(_metadata.file_modification_time, {month} AS month)).month AS month")
     )
     return newest.selectExpr(f"coalesce(month, {text(default)}) AS month")

@@ -30,29 +30,27 @@ def staged(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _batch_folder(path: str, label: str) -> str:
+    return f"{path}/{BATCH}={label}"
+
+
 def write_batch(df: DataFrame, path: str, label: str, *, rebalance: bool = False) -> DataFrame:
     """Replace one month's partition of a Parquet table, leave the others, and return
     what was written.
 
-    ``rebalance`` exchanges the rows into files of the advisory size. Use it where a
-    filter leaves each task little, so that the table is not one sliver per task.
+    The partition's folder itself is overwritten, so a month whose rows are all gone becomes
+    an empty partition instead of keeping the rows of an earlier run. ``rebalance`` exchanges
+    the rows into files of the advisory size. Use it where a filter leaves each task little,
+    so that the table is not one sliver per task.
     """
-    batch = df.withColumn(BATCH, F.lit(label))
-    if rebalance:
-        batch = batch.hint("rebalance")
-    (
-        batch.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH)
-        .parquet(path)
-    )
-    table = df.sparkSession.read.schema(batch.schema).parquet(path)
-    return table.filter(F.col(BATCH) == label).drop(BATCH)
+    batch = df.hint("rebalance") if rebalance else df
+    batch.write.mode("overwrite").parquet(_batch_folder(path, label))
+    return df.sparkSession.read.schema(df.schema).parquet(_batch_folder(path, label))
 
 
 def read_batch(spark: SparkSession, path: str, label: str) -> DataFrame:
     """One month's partition, without the partition column."""
-    return spark.read.parquet(path).filter(F.col(BATCH) == label).drop(BATCH)
+    return spark.read.parquet(_batch_folder(path, label))
 
 
 def write_dimension(df: DataFrame, path: str) -> DataFrame:
