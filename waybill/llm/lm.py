@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.llm.common import mixed, rolling, values, word_hashes
-from waybill.sources.sinks import scratch_folder, staged
 
 ORDER = 2
 BACKOFF = 0.4
@@ -40,12 +39,31 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return key[first], np.add.reduceat(count, first) if len(first) else count
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """The numbers' bytes, all lowest ones first: planes of zeros vanish in the shuffle."""
+    return numbers.view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+
+
+def _numbers(planes: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.frombuffer(planes, np.uint8).reshape(size, -1).T.copy().view(kind).ravel()
+
+
+def _steps(key: np.ndarray) -> bytes:
+    """Sorted n-grams as planes of their differences."""
+    return _planes(np.diff(key, prepend=np.uint64(0)))
+
+
+def _keys(steps: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(steps, np.uint64), dtype=np.uint64)
+
+
 def _pieces(key: np.ndarray, count: np.ndarray, parts: int) -> Iterator[tuple[int, bytes, bytes]]:
     """Sorted n-grams cut by their leading bits into the parts of the count tables."""
     part = ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
     for p in np.unique(part):
         a, b = np.searchsorted(part, [p, p + 1])
-        yield int(p), key[a:b].tobytes(), count[a:b].astype(np.uint32).tobytes()
+        yield int(p), _steps(key[a:b]), _planes(count[a:b].astype(np.uint32))
 
 
 def block_counts(docs: DataFrame, parts: int, order: int = ORDER) -> DataFrame:
@@ -94,8 +112,8 @@ def totals(counted: DataFrame) -> DataFrame:
 
     def answer(table: pa.Table) -> pa.Table:
         blocks = np.array(table.column("block").to_pylist())
-        keys = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("grams")]
-        counts = [np.frombuffer(x.as_py(), np.uint32).astype(np.int64) for x in table.column("counts")]
+        keys = [_keys(x.as_py()) for x in table.column("grams")]
+        counts = [_numbers(x.as_py(), np.uint32).astype(np.int64) for x in table.column("counts")]
         key, count = _merged(keys, counts)
         out = []
         for block in np.unique(blocks):
@@ -104,7 +122,7 @@ def totals(counted: DataFrame) -> DataFrame:
             at = np.searchsorted(key, own)
             more = count[at] > n
             if more.any():
-                out.append((int(block), own[more].tobytes(), count[at][more].tobytes()))
+                out.append((int(block), _steps(own[more]), _planes(count[at][more])))
         columns = zip(*out, strict=True) if out else ([], [], [])
         return pa.table([pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)], names=list(types))
 
@@ -129,8 +147,8 @@ def _others(grams: list[np.ndarray], told: tuple[np.ndarray, np.ndarray]) -> np.
 def _scored(docs: pa.Table, told: pa.Table, order: int) -> pa.Table:
     ids, texts = docs.column("doc_id"), docs.column("text")
     grams = [_grams(t.as_py() and t.as_py().encode(), order) for t in texts]
-    keys = [np.frombuffer(x.as_py(), np.uint64) for x in told.column("grams")]
-    counts = [np.frombuffer(x.as_py(), np.int64) for x in told.column("counts")]
+    keys = [_keys(x.as_py()) for x in told.column("grams")]
+    counts = [_numbers(x.as_py(), np.int64) for x in told.column("counts")]
     known = _merged(keys, counts) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
     words = int(known[1][0]) if len(known[0]) and known[0][0] == _WORDS else sum(len(g[0]) for g in grams)
     ends = [np.cumsum([len(g[n]) for g in grams]) for n in range(order)]
@@ -160,7 +178,7 @@ _TYPES = {
 }
 
 
-def score(docs: DataFrame, *, order: int = ORDER, block: Column | None = None, scratch: str | None = None) -> DataFrame:
+def score(docs: DataFrame, *, order: int = ORDER, block: Column | None = None) -> DataFrame:
     """(doc_id, n_words, log_prob, score, n_backed_off, n_unseen) per row of ``docs``.
 
     Each text is scored by the n-grams of all other rows: a word's probability is the
@@ -174,12 +192,11 @@ def score(docs: DataFrame, *, order: int = ORDER, block: Column | None = None, s
     no words, log_prob 0 and a null score; rows with a null id form a block; rows that repeat
     an id are documents of their own, so copies support each other.
     """
-    scratch = scratch or scratch_folder(docs.sparkSession)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     block = F.floor(F.col("doc_id") / BLOCK) if block is None else block
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(block, F.lit(-1)).cast("long").alias("block"))
     counted = block_counts(rows, max(LEAST, -(-size // PART)), order)
-    told = staged(totals(counted), scratch, "totals")
+    told = totals(counted)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         return _scored(left, right, order)
