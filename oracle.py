@@ -2,13 +2,41 @@
 
 from __future__ import annotations
 
-from waybill.operators.gate import AUDIT_POLICY
-from waybill.profile import PAYMENT_TYPES, RATE_CODES, VENDORS
+# Restated here, so that a wrong entry in the package shows.
+# Dictionaries of the trip feed.
+_VENDORS = {
+    1: "Creative Mobile Technologies (CMT)",
+    2: "VeriFone Inc. (VTS)",
+    6: "Pilot Provider Alpha",
+    7: "Pilot Provider Beta",
+}
+_RATE_CODES = {
+    1: "Standard Rate",
+    2: "JFK Airport Flat Rate",
+    3: "Newark Airport",
+    4: "Nassau / Westchester",
+    5: "Negotiated Fare",
+    6: "Group Ride",
+    99: "Special / Out of Area Rate",
+}
+_PAYMENT_TYPES = {
+    0: "Unspecified / Void",
+    1: "Credit Card",
+    2: "Cash",
+    3: "No Charge",
+    4: "Dispute",
+    5: "Unknown",
+    6: "Voided Trip",
+}
+_POLICY = {
+    "passenger_count_nulls": "Kept; left out of per-passenger figures only.",
+    "ratecode_id_nulls": "Mapped to rate code 99.",
+    "quarantine_policy": "Trips that break a rule are set apart with their reasons.",
+}
 
 _FLAGS = {
     "flag_out_of_period": (
-        "tpep_pickup_datetime < TIMESTAMP '1996-01-01' OR"
-        " tpep_pickup_datetime >= TIMESTAMP '2001-01-01'"
+        "tpep_pickup_datetime < TIMESTAMP '{start}' OR tpep_pickup_datetime >= TIMESTAMP '{end}'"
     ),
     "flag_negative_duration": "tpep_dropoff_datetime < tpep_pickup_datetime",
     "flag_duration_too_short": "duration_seconds < {min_s}",
@@ -27,8 +55,11 @@ _FLAGS = {
 _DEFAULTS = {
     "min_s": 60, "max_s": 86400, "min_mi": 0.05, "max_mi": 150.0, "max_mph": 85.0,
     "min_fare": 0.0, "max_total": 1500.0, "lo": 1, "hi": 23,
+    "start": "1996-01-01", "end": "2001-01-01",
 }
+_DECEMBER = {**_DEFAULTS, "start": "1997-12-01", "end": "1998-01-01"}
 _STRICT = {
+    **_DEFAULTS,
     "min_s": 300, "max_s": 3000, "min_mi": 1.0, "max_mi": 8.0, "max_mph": 40.0,
     "min_fare": 5.0, "max_total": 90.0, "lo": 3, "hi": 20,
 }
@@ -105,9 +136,9 @@ def _values(entries) -> str:
 
 
 _STAR = f"""
-dim_vendors(vendor_id, vendor_name) AS (VALUES {_values(VENDORS)}),
-dim_rate_codes(rate_code_id, rate_description) AS (VALUES {_values(RATE_CODES)}),
-dim_payment_types(payment_type_id, payment_description) AS (VALUES {_values(PAYMENT_TYPES)}),
+dim_vendors(vendor_id, vendor_name) AS (VALUES {_values(_VENDORS)}),
+dim_rate_codes(rate_code_id, rate_description) AS (VALUES {_values(_RATE_CODES)}),
+dim_payment_types(payment_type_id, payment_description) AS (VALUES {_values(_PAYMENT_TYPES)}),
 dim_zones AS (
   SELECT LocationID::INTEGER AS location_id, Borough AS borough, Zone AS zone_name, service_zone,
     LocationID IN (1, 2, 3, 4, 5) AS is_manhattan_cbd,
@@ -297,6 +328,10 @@ _M6_COLUMNS = [
 ]
 _RULE_COLUMNS = [names[1] for names in _NAMES.values()]
 _LABELS = " ".join(f"WHEN '{n[1]}' THEN '{n[2]}'" for n in _NAMES.values())
+_PREVIEW = (
+    "pickup_datetime, time_window, duration_minutes, trip_distance_miles, effective_speed_mph,"
+    " total_amount, revenue_per_minute, is_airport_trip"
+)
 _WINDOWS = ["Morning Rush (07-10)", "Midday (10-16)", "Evening Rush (16-20)", "Night / Off-Peak"]
 _RANK = "CASE time_window " + " ".join(f"WHEN '{w}' THEN {i}" for i, w in enumerate(_WINDOWS)) + " END"
 
@@ -308,7 +343,7 @@ def _usage(dim: str, key: str, extra: str) -> str:
     )
 
 
-def _orphans() -> str:
+def _orphans(facts: str = "fct") -> str:
     references = {
         "vendor_id": ("dim_vendors", "vendor_id"),
         "rate_code_id": ("dim_rate_codes", "rate_code_id"),
@@ -321,7 +356,7 @@ def _orphans() -> str:
             f"SELECT '{col}' AS foreign_key, COUNT(*) AS fact_rows,"
             f" COUNT(*) FILTER (WHERE {col} NOT IN (SELECT {key} FROM {dim})) AS orphan_rows,"
             f" COUNT(DISTINCT {col}) FILTER (WHERE {col} NOT IN (SELECT {key} FROM {dim}))"
-            f" AS orphan_keys FROM fct"
+            f" AS orphan_keys FROM {facts}"
             for col, (dim, key) in references.items()
         )
     )
@@ -501,11 +536,43 @@ def oracle_sql() -> dict[str, str]:
         "kpi_roundtrip": _sql("SELECT * FROM m1"),
         "audit_roundtrip": _sql(
             "SELECT *, "
-            + ", ".join(f"{_quoted(text)} AS {name}" for name, text in AUDIT_POLICY.items())
+            + ", ".join(f"{_quoted(text)} AS {name}" for name, text in _POLICY.items())
             + " FROM audit"
         ),
+        "dq_december": _sql("SELECT * FROM audit", _DECEMBER),
+        "fk_no_trips": _orphans("fct WHERE FALSE"),
+        "rerun_replaces": _sql(
+            "SELECT 'kept' AS label, 'clean' AS table_name, clean_records AS row_count FROM audit"
+            " UNION ALL SELECT 'kept', 'quarantine', quarantined_records FROM audit"
+            " UNION ALL SELECT 'rerun', 'clean', 0 FROM audit"
+            " UNION ALL SELECT 'rerun', 'quarantine', total_records FROM audit"
+        ),
+        "trip_folder": _sql(
+            "SELECT VendorID, COUNT(*) AS records, SUM(passenger_count)::BIGINT AS passengers,"
+            " SUM(RatecodeID)::BIGINT AS rate_codes,"
+            " SUM(PULocationID + DOLocationID)::BIGINT AS zones, SUM(Airport_fee) AS airport_fees,"
+            " SUM(cbd_congestion_fee) FILTER (WHERE VendorID % 3 <> 1) AS cbd_fees,"
+            " MAX(tpep_dropoff_datetime) AS last_dropoff FROM raw_trips GROUP BY VendorID"
+        ),
+        "zone_csv": _sql("SELECT * REPLACE (LocationID::INTEGER AS LocationID) FROM raw_zones"),
+        "published_revenue": _sql("SELECT * FROM m2"),
+        "m2_head": _sql(
+            "SELECT * FROM m2 ORDER BY pickup_borough NULLS LAST, is_weekend NULLS LAST,"
+            " time_window NULLS LAST LIMIT 10"
+        ),
+        "m4_head": _sql("SELECT * FROM m4 ORDER BY total_trips DESC, airport_corridor LIMIT 2"),
+        "m5_head": _sql(
+            "SELECT * FROM m5 ORDER BY total_records_received DESC, vendor_name NULLS LAST LIMIT 3"
+        ),
+        "fct_preview": _sql(
+            f"SELECT {_PREVIEW} FROM fct ORDER BY"
+            f" {', '.join(f'{c} NULLS FIRST' for c in _PREVIEW.split(', '))} LIMIT 5"
+        ),
     }
     # A whole run, read back from what it published.
     queries["published_cards"] = queries["kpi_cards"]
     queries["published_violations"] = queries["violation_labels"]
+    queries["published_revenue_series"] = queries["revenue_series"]
+    queries["published_flow"] = queries["top_sources"]
+    queries["published_feeds"] = queries["vendor_feed"]
     return queries

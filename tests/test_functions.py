@@ -7,11 +7,12 @@ from datetime import datetime
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.errors import ArithmeticException
 from pyspark.sql import functions as F
 
 from waybill.functions.labels import lookup_or_key, month_of_file
 from waybill.functions.numeric import (
-    ExactTotal,
+    UnitTotal,
     ieee_ratio,
     percent,
     ratio,
@@ -77,7 +78,7 @@ def test_divisions(spark):
     assert math.isnan(row["f"]) and row["g"] is None and row["h"] == 1.5
 
 
-def _totals(frame, total: ExactTotal):
+def _totals(frame, total: UnitTotal):
     lanes = frame.groupBy("k").agg(*map(F.expr, total.lanes()))
     merged = lanes.agg(*map(F.expr, total.again()))
     return merged.selectExpr(*total.results()).first()
@@ -92,16 +93,34 @@ def test_exact_total_ignores_order_and_layout(spark, digits):
     for seed, tasks in ((1, 1), (2, 7), (3, 16)):
         random.Random(seed).shuffle(values)
         frame = spark.createDataFrame([(v, i % 3) for i, v in enumerate(values)], "x double, k int")
-        row = _totals(frame.repartition(tasks), ExactTotal("x", "x", digits))
+        row = _totals(frame.repartition(tasks), UnitTotal("x", "x", digits))
         results.add((row["x_total"], row["x_mean"]))
     assert len(results) == 1
     total, mean = results.pop()
     assert total == pytest.approx(want, abs=1e-9) and mean == pytest.approx(want / 5000, abs=1e-12)
 
 
+def test_totals_beyond_a_billion_ignore_layout(spark):
+    rng = random.Random(5)
+    values = [rng.choice((1, -1)) * round(rng.uniform(1e8, 1e13), 2) for _ in range(2000)]
+    units = sum(round(v * 1e6) for v in values)
+    results = set()
+    for tasks in (1, 5, 16):
+        frame = spark.createDataFrame([(v, i % 3) for i, v in enumerate(values)], "x double, k int")
+        results.add(_totals(frame.repartition(tasks), UnitTotal("x", "x"))["x_total"])
+    assert len(results) == 1 and results.pop() == pytest.approx(units / 1e6, rel=1e-12)
+
+
+@pytest.mark.parametrize("digits", [None, 2])
+def test_a_total_that_cannot_be_held_is_an_error(spark, digits):
+    frame = spark.createDataFrame([(1e300, 0)], "x double, k int")
+    with pytest.raises(ArithmeticException):
+        _totals(frame, UnitTotal("x", "x", digits))
+
+
 @pytest.mark.parametrize("digits", [None, 2])
 def test_exact_total_keeps_wild_values(spark, digits):
-    total = ExactTotal("x", "x", digits)
+    total = UnitTotal("x", "x", digits)
 
     def of(*values):
         row = _totals(spark.createDataFrame([(v, 0) for v in values], "x double, k int"), total)

@@ -179,7 +179,7 @@ def test_report_and_long_form(make_trips, january):
     report = gate.audit_report(audit, january).first()
     keys = [r.audit_key for r in trip_rules(january)]
     assert list(report["violations_by_rule"].asDict()) == keys
-    assert set(report["fde_assumptions_and_policy"].asDict()) == set(gate.AUDIT_POLICY)
+    assert set(report["fde_assumptions_and_policy"].asDict()) == set(january.policy)
     long = {r["rule"]: r["violation_count"] for r in gate.violations_long(audit, january).collect()}
     assert list(long) == keys and long["duration_under_1min"] == 1
 

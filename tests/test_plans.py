@@ -10,7 +10,7 @@ from tests.conftest import trip
 from waybill.operators import dimensions, gate
 from waybill.operators.fact import trip_fact, trip_measures
 from waybill.plans import catalog, kpis
-from waybill.sources import orders, readers
+from waybill.sources import orders, manifest, readers
 
 DATA = "/root/testdata/sf0.001"
 
@@ -26,7 +26,7 @@ def trip_files(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("files") / "trips")
     schema = ", ".join(f"{c} {t}" for c, t in readers.TRIP_COLUMNS.items())
     spark.createDataFrame([tuple(trip().values())] * 10, schema).write.parquet(path)
-    return readers.read_trips(spark, path)
+    return manifest.verified_trips(spark, path)
 
 
 def test_rules_reach_the_scan(trip_files, january):

@@ -5,6 +5,7 @@ import os
 import random
 import subprocess
 import sys
+import time
 from datetime import datetime, timedelta
 
 import pyarrow as pa
@@ -13,10 +14,9 @@ import pytest
 from pyspark import cloudpickle
 
 from tests.conftest import trip
-from waybill.operators import gate
-from waybill.plans.monthly import run_month
+from waybill.plans.monthly import _together, run_month
 from waybill.plans.report import month_report
-from waybill.profile import Profile
+from waybill.profile import POLICY, Profile
 from waybill.sources import manifest, readers, sinks
 
 LABEL = "2026_01"
@@ -55,6 +55,42 @@ def test_trip_files_conform(spark, make_trips, tmp_path):
         readers.conform_trips(trips.drop("tip_amount"))
 
 
+def test_mixed_trip_folder(spark, make_trips, tmp_path):
+    path = str(tmp_path / "trips")
+
+    def add(frame):
+        frame.coalesce(1).write.mode("append").parquet(path)
+
+    one = make_trips(trip())
+    add(one)
+    add(one.withColumn("VendorID", one["VendorID"].cast("int")).drop("cbd_congestion_fee"))
+    add(one.withColumnRenamed("Airport_fee", "airport_fee"))
+    add(one.selectExpr("* EXCEPT (passenger_count)", "double('nan') AS passenger_count"))
+    add(one.selectExpr("* EXCEPT (passenger_count)", "2D AS passenger_count"))
+    read = manifest.verified_trips(spark, path)
+    assert dict(read.dtypes) == readers.TRIP_COLUMNS
+    counts = sorted((r["passenger_count"] or 0) for r in read.collect())
+    assert counts == [0, 1, 1, 1, 2]
+    assert read.filter("cbd_congestion_fee IS NULL").count() == 1
+    assert read.filter("Airport_fee = 0 AND VendorID = 1").count() == 5
+    add(one.drop("tip_amount"))
+    with pytest.raises(readers.IncompleteSource, match="parquet: trip columns missing: tip_amount"):
+        manifest.verified_trips(spark, path)
+
+
+def test_a_failure_cancels_the_other_actions(spark):
+    begun = time.monotonic()
+
+    def fail():
+        time.sleep(3)
+        raise KeyError("failed")
+
+    slow = spark.range(0, 10**13, numPartitions=8).selectExpr("max(hash(id))")
+    with pytest.raises(KeyError, match="failed"):
+        _together(spark, slow.collect, fail)
+    assert time.monotonic() - begun < 60
+
+
 def test_manifest(spark, tmp_path):
     table = pa.table({"a": list(range(5000)), "b": [str(i) for i in range(5000)]})
     pq.write_table(table, tmp_path / "one.parquet", row_group_size=1000)
@@ -187,7 +223,7 @@ def test_two_months_and_a_rerun(spark, make_trips, make_zones, tmp_path):
     report = readers.read_audit(spark, out, LABEL).first()
     assert report["total_records"] == 401
     assert report["violations_by_rule"]["out_of_period"] == 1
-    assert report["fde_assumptions_and_policy"] == gate.AUDIT_POLICY
+    assert report["fde_assumptions_and_policy"] == POLICY
     for name, columns in readers.PUBLISHED.items():
         header = spark.read.option("header", True).csv(f"{out}/outputs/{name}_{LABEL}.csv").columns
         assert header == [c.split()[0] for c in columns.split(", ")], name

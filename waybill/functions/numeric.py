@@ -70,25 +70,24 @@ def ieee_ratio(numerator: str, denominator: str) -> str:
     )
 
 
-_LOW_BITS = 20
-_GRID_LIMIT, _MONEY_LIMIT = 1e6, 1e9
+_LOW = 1 << 20
 
 
 @dataclass(frozen=True)
-class ExactTotal:
-    """A sum of doubles that does not depend on how rows are split or ordered.
+class UnitTotal:
+    """A sum of doubles, each rounded to a fixed unit, the same however rows are split.
 
     A plain double sum changes in its last digits with every task layout, and past
-    1e13 it no longer resolves cents. Here a value is counted in fixed units:
+    1e13 it no longer resolves cents. Here a value is counted in whole units:
 
     * ``digits`` given: the column sits on a decimal grid already, one long lane;
     * otherwise millionths, in a high and a low long lane, so that trillions of
       rows do not overflow.
 
-    NaN, infinities and values no single trip should have (a million on a grid, a
-    billion otherwise) go to a double lane of their own, so that no cast or lane fails.
-    The lanes are ordinary sums: they combine before the shuffle and can be summed
-    again over any coarser key (``again``).
+    One rule holds for all finite values; a value or sum that its lane cannot hold (about
+    9e18 without ``digits``, 9e18 units with them) is an error, never a rounded total. NaN
+    and infinities alone go to a double lane. The lanes are ordinary sums: they combine
+    before the shuffle and can be summed again over any coarser key (``again``).
     """
 
     name: str
@@ -101,18 +100,16 @@ class ExactTotal:
 
     @property
     def _lanes(self) -> dict[str, str]:
-        limit = _MONEY_LIMIT if self.digits is None else _GRID_LIMIT
-        tame = f"abs({self.value}) < {number(limit)}"
-        units = f"CAST(rint(IF({tame}, {self.value}, NULL) * {self._scale}) AS BIGINT)"
+        finite = f"abs({self.value}) < double('inf')"
+        units = f"rint(IF({finite}, {self.value}, NULL) * {self._scale})"
         if self.digits is None:
-            fixed = {
-                "high": f"shiftright({units}, {_LOW_BITS})",
-                "low": f"{units} & {(1 << _LOW_BITS) - 1}L",
-            }
+            # Scaling by a power of two is exact, so the two parts add up to the units.
+            high = f"rint({units} / {number(_LOW)})"
+            fixed = {"high": high, "low": f"{units} - {high} * {number(_LOW)}"}
         else:
             fixed = {"low": units}
-        sums = {lane: f"sum({col})" for lane, col in fixed.items()}
-        wild = f"sum(IF({tame}, NULL, {self.value}))"
+        sums = {lane: f"sum(CAST({col} AS BIGINT))" for lane, col in fixed.items()}
+        wild = f"sum(IF({finite}, NULL, {self.value}))"
         return {**sums, "wild": wild, "seen": f"count({self.value})"}
 
     def lanes(self) -> list[str]:
@@ -129,7 +126,7 @@ class ExactTotal:
         units = f"CAST({self.name}_low AS DECIMAL(20,0))"
         if self.digits is None:
             high = f"CAST({self.name}_high AS DECIMAL(20,0))"
-            units = f"({high} * CAST({1 << _LOW_BITS} AS DECIMAL(7,0)) + {units})"
+            units = f"({high} * CAST({_LOW} AS DECIMAL(7,0)) + {units})"
         total = (
             f"(coalesce(CAST({units} AS DOUBLE) / {self._scale}, 0D)"
             f" + coalesce({self.name}_wild, 0D))"

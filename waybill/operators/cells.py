@@ -17,13 +17,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.functions.numeric import ExactTotal
+from waybill.functions.numeric import UnitTotal
 
 CELL_ROWS = "cell_rows"
 
 
 def value_cells(
-    rows: DataFrame, keys: Sequence[str], value: str, totals: Sequence[ExactTotal]
+    rows: DataFrame, keys: Sequence[str], value: str, totals: Sequence[UnitTotal]
 ) -> DataFrame:
     """One row per (keys, value): row count and the lanes of every total."""
     lanes = [f"count(*) AS {CELL_ROWS}", *[lane for t in totals for lane in t.lanes()]]
@@ -34,7 +34,7 @@ def summarise(
     cells: DataFrame,
     keys: Sequence[str],
     value: str,
-    totals: Sequence[ExactTotal],
+    totals: Sequence[UnitTotal],
     quantiles: Mapping[str, float],
 ) -> DataFrame:
     """Per ``keys`` (a subset of the cell keys): ``n``, each total's ``_total`` and

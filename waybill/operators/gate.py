@@ -13,13 +13,6 @@ from waybill.functions.numeric import ratio, round_exact, text
 from waybill.operators.rules import TRIP_SECONDS, passing_condition, trip_rules
 from waybill.profile import Profile
 
-# Policy notes carried by every audit report.
-AUDIT_POLICY = {
-    "passenger_count_nulls": "Preserved in clean dataset for operational and revenue KPIs; excluded only for per-passenger metrics. Dropping 29.2% of nulls would severely bias trip volume.",
-    "ratecode_id_nulls": "Mapped to 'Unassigned / Digital Dispatch' rather than dropping.",
-    "quarantine_policy": "Records failing physical travel laws (speed > 85mph, negative fares, duration < 1m) are segregated to quarantine parquet with diagnostic tags for vendor SLA reviews.",
-}
-
 _SPEED = (
     "IF(duration_seconds > 0, try_divide(trip_distance, duration_seconds / 3600D), 0D)"
     " AS effective_speed_mph"
@@ -118,9 +111,9 @@ def audit(rollup: DataFrame, profile: Profile) -> DataFrame:
 
 
 def audit_report(audit_row: DataFrame, profile: Profile) -> DataFrame:
-    """The audit row in its nested, published form."""
+    """The audit row in its nested, published form, with the profile's policy notes."""
     keys = ", ".join(r.audit_key for r in _rules(profile))
-    notes = ", ".join(f"{text(v)} AS {k}" for k, v in AUDIT_POLICY.items())
+    notes = ", ".join(f"{text(v)} AS {k}" for k, v in profile.policy.items())
     return audit_row.selectExpr(
         "total_records",
         "clean_records",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from waybill.operators import dimensions, fact, flow, gate
 from waybill.operators.rules import DROPOFF, PICKUP, trip_rules
 from waybill.plans import kpis, monthly, profiling, report
-from waybill.profile import FlowLimits, Thresholds
+from waybill.profile import FlowLimits, Period, Thresholds
 from waybill.sources import manifest, orders, readers, sinks
 
 PROFILE = orders.ORDER_PROFILE
@@ -162,7 +162,7 @@ class Workbench:
         sinks.write_report(gate.audit_report(self.audit, PROFILE), out, readers.AUDIT, label)
         maps = {
             "violations_by_rule": [r.audit_key for r in trip_rules(PROFILE)],
-            "fde_assumptions_and_policy": list(gate.AUDIT_POLICY),
+            "fde_assumptions_and_policy": list(PROFILE.policy),
         }
         return readers.read_audit(self.spark, out, label).selectExpr(
             "total_records",
@@ -173,6 +173,71 @@ class Workbench:
             *[f"{column}['{key}'] AS {key}" for column, keys in maps.items() for key in keys],
         )
 
+    def december_audit(self) -> DataFrame:
+        """One month, whose period ends in the next year."""
+        december = replace(PROFILE, period=Period.month("1997-12"))
+        return gate.audit(gate.vendor_rollup(self.trips, december), december)
+
+    def no_trips_orphans(self) -> DataFrame:
+        empty = Workbench(self.spark, self.folder)
+        empty.trips = self.trips.filter(f"{PICKUP} < TIMESTAMP_NTZ '1900-01-01'")
+        return empty.orphans()
+
+    def rerun_replaces(self) -> DataFrame:
+        """Two labels are written, then one of them again with rows that all fail."""
+        out = sinks.scratch_folder(self.spark)
+        trips = sinks.staged(self.trips, out, "trips")
+        none_pass = replace(PROFILE, thresholds=Thresholds(min_distance_miles=1e6))
+        tables = {"clean": gate.clean, "quarantine": gate.quarantined}
+        for label, profile in (("kept", PROFILE), ("rerun", PROFILE), ("rerun", none_pass)):
+            for name, part in tables.items():
+                sinks.write_batch(part(trips, profile), f"{out}/{name}", label)
+        counts = [
+            sinks.read_batch(self.spark, f"{out}/{name}", label)
+            .agg(F.count("*").alias("row_count"))
+            .select(F.lit(label).alias("label"), F.lit(name).alias("table_name"), "row_count")
+            for label in ("kept", "rerun")
+            for name in tables
+        ]
+        return reduce(DataFrame.unionByName, counts)
+
+    def trip_folder(self) -> DataFrame:
+        """Trips written as three files that differ as published ones do, read back as one."""
+        out = sinks.scratch_folder(self.spark)
+        trips = sinks.staged(readers.conform_trips(self.trips), out, "trips")
+        as_int = [f"CAST({c} AS INT) AS {c}" for c in ("PULocationID", "DOLocationID")]
+        as_double = [
+            f"coalesce(CAST({c} AS DOUBLE), double('nan')) AS {c}"
+            for c in ("passenger_count", "RatecodeID")
+        ]
+        narrow = trips.drop("PULocationID", "DOLocationID", "cbd_congestion_fee", "Airport_fee")
+        shapes = (
+            trips,
+            trips.selectExpr(*narrow.columns, *as_int, "Airport_fee AS airport_fee"),
+            trips.selectExpr(*trips.drop("passenger_count", "RatecodeID").columns, *as_double),
+        )
+        for i, shape in enumerate(shapes):
+            shape.filter(f"VendorID % 3 = {i}").write.mode("append").parquet(f"{out}/mixed")
+        return manifest.verified_trips(self.spark, f"{out}/mixed").groupBy("VendorID").agg(
+            F.expr("count(*) AS records"),
+            F.expr("sum(passenger_count) AS passengers"),
+            F.expr("sum(RatecodeID) AS rate_codes"),
+            F.expr("sum(PULocationID) + sum(DOLocationID) AS zones"),
+            F.expr("sum(Airport_fee) AS airport_fees"),
+            F.expr("sum(cbd_congestion_fee) AS cbd_fees"),
+            F.expr("max(tpep_dropoff_datetime) AS last_dropoff"),
+        )
+
+    def zone_csv(self) -> DataFrame:
+        path = sinks.scratch_folder(self.spark) + "/zones.csv"
+        self.zones.write.option("header", True).csv(path)
+        return readers.read_zones(self.spark, path)
+
+    def published_revenue(self) -> DataFrame:
+        out, label = sinks.scratch_folder(self.spark), PROFILE.period.label
+        sinks.write_kpi(self.m2, out, readers.REVENUE, label)
+        return readers.read_kpi(self.spark, out, readers.REVENUE, label)
+
     def published(self, series: str) -> DataFrame:
         out = sinks.scratch_folder(self.spark)
         monthly.run_month(PROFILE, self.trips, self.zones, out, stage_input=True)
@@ -218,7 +283,7 @@ _QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
     "fct_money": lambda w: w.measures.select(*_MONEY),
     "fct_flags": lambda w: w.fact.select(*_ZONE_FLAGS),
     "fct_full": lambda w: w.fact,
-    "fct_preview": lambda w: profiling.preview(fact.with_trip_id(w.measures)),
+    "fct_preview": lambda w: profiling.preview(w.measures),
     "fct_surrogate_key_check": Workbench.trip_id_check,
     "build_counts": Workbench.build_counts,
     "fk_orphans": Workbench.orphans,
@@ -253,6 +318,18 @@ _QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
     "audit_roundtrip": Workbench.audit_roundtrip,
     "published_cards": lambda w: w.published("kpi_cards"),
     "published_violations": lambda w: w.published("violation_labels"),
+    "published_revenue": Workbench.published_revenue,
+    "published_revenue_series": lambda w: w.published("revenue_series"),
+    "published_flow": lambda w: w.published("top_sources"),
+    "published_feeds": lambda w: w.published("vendor_feed"),
+    "dq_december": Workbench.december_audit,
+    "fk_no_trips": Workbench.no_trips_orphans,
+    "rerun_replaces": Workbench.rerun_replaces,
+    "trip_folder": Workbench.trip_folder,
+    "zone_csv": Workbench.zone_csv,
+    "m2_head": lambda w: w.m2.limit(10),
+    "m4_head": lambda w: w.m4.limit(2),
+    "m5_head": lambda w: w.m5.limit(3),
 }
 
 

@@ -11,29 +11,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waybill.functions.numeric import ExactTotal, percent, round_half, text
+from waybill.functions.numeric import UnitTotal, percent, round_half, text
 from waybill.functions.ordering import sorted_small
 from waybill.functions.temporal import window_rank
-from waybill.operators.cells import summarise, value_cells
+from waybill.operators.cells import CELL_ROWS, summarise, value_cells
 from waybill.operators.flow import zone_flow
 from waybill.profile import CARD_PAYMENT, Profile
 
 SPEED, RATE = "effective_speed_mph", "revenue_per_minute"
 
-MINUTES = ExactTotal("minutes", "duration_minutes", digits=2)
-MILES = ExactTotal("miles", "trip_distance_miles", digits=2)
-EARNINGS = ExactTotal("earnings", RATE, digits=3)
-SPEND = ExactTotal("spend", "total_amount")
-TIPS = ExactTotal("tips", "tip_amount")
-TOLLS = ExactTotal("tolls", "tolls_amount")
-AIRPORT_FEES = ExactTotal("airport_fees", "airport_fee")
-CONGESTION = ExactTotal("congestion", "congestion_surcharge")
+MINUTES = UnitTotal("minutes", "duration_minutes", digits=2)
+MILES = UnitTotal("miles", "trip_distance_miles", digits=2)
+EARNINGS = UnitTotal("earnings", RATE, digits=3)
+SPEND = UnitTotal("spend", "total_amount")
+TIPS = UnitTotal("tips", "tip_amount")
+TOLLS = UnitTotal("tolls", "tolls_amount")
+AIRPORT_FEES = UnitTotal("airport_fees", "airport_fee")
+CONGESTION = UnitTotal("congestion", "congestion_surcharge")
 # Tip in percent of the fare, for card payments with a positive fare.
 CARD_TIP_PCT = (
     f"IF(payment_type_id = {CARD_PAYMENT} AND fare_amount > 0,"
     " try_divide(tip_amount, fare_amount) * 100D, NULL) AS card_tip_pct"
 )
-CARD_TIPS = ExactTotal("card_tips", "card_tip_pct")
+CARD_TIPS = UnitTotal("card_tips", "card_tip_pct")
 
 SPEED_INDEX = [MINUTES, MILES]
 CORRIDOR = [MILES, MINUTES, SPEND, AIRPORT_FEES, TOLLS, EARNINGS]
@@ -111,10 +111,9 @@ def airport_corridors(fact: DataFrame, profile: Profile) -> DataFrame:
 
 
 def airport_corridors_of(cells: DataFrame) -> DataFrame:
-    # The share window covers the corridors, which the profile lists: a handful of rows.
-    shared = summarise(cells, ["airport_corridor"], SPEED, CORRIDOR, {"p50": 0.5}).selectExpr(
-        "*", f"{percent('n', 'sum(n) OVER (PARTITION BY 0)')} AS share"
-    )
+    summary = summarise(cells, ["airport_corridor"], SPEED, CORRIDOR, {"p50": 0.5})
+    every = cells.agg(F.expr(f"sum({CELL_ROWS})")).scalar()
+    shared = summary.withColumn("every", every).selectExpr("*", f"{percent('n', 'every')} AS share")
     table = shared.selectExpr(
         "airport_corridor",
         "n AS total_trips",

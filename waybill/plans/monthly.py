@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
@@ -28,9 +29,19 @@ class Published:
 
 def _together(spark: SparkSession, *actions: Callable[[], object]) -> list:
     """Submit independent Spark actions at once, so that the tail of one does not idle
-    the cluster; the first failure is raised."""
+    the cluster. After a failure the jobs of the others are cancelled and it is raised."""
+    tag = f"waybill-{os.urandom(4).hex()}"
+
+    def tagged(action: Callable[[], object]) -> object:
+        spark.sparkContext.addJobTag(tag)
+        return action()
+
     with ThreadPoolExecutor(len(actions)) as pool:
-        running = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+        running = [pool.submit(inheritable_thread_target(spark)(tagged), action) for action in actions]
+        done, _ = wait(running, return_when=FIRST_EXCEPTION)
+        if any(action.exception() for action in done):
+            spark.sparkContext.cancelJobsWithTag(tag)
+            raise next(e for e in (action.exception() for action in running if action in done) if e)
         return [action.result() for action in running]
 
 
@@ -58,11 +69,8 @@ def run_month(
         trips = sinks.staged(trips, scratch, "trips")
     dim_vendors = dimensions.vendors(spark, profile)
 
-    def write_audit() -> tuple[DataFrame, DataFrame]:
-        rollup = sinks.staged(gate.vendor_rollup(trips, profile), scratch, "vendor_rollup")
-        audit_row = gate.audit(rollup, profile)
-        sinks.write_report(gate.audit_report(audit_row, profile), out, readers.AUDIT, label)
-        return rollup, audit_row
+    def stage_rollup() -> DataFrame:
+        return sinks.staged(gate.vendor_rollup(trips, profile), scratch, "vendor_rollup")
 
     def write_quarantine() -> None:
         path = f"{out}/quarantine/quarantined_trips"
@@ -83,8 +91,8 @@ def run_month(
         fact = with_trip_id(trip_fact(trips, dim_zones, profile))
         return sinks.write_batch(fact, f"{out}/processed/fct_trips", label), dim_zones
 
-    (rollup, audit_row), _, _, (fact, dim_zones) = _together(
-        spark, write_audit, write_quarantine, write_dimensions, write_fact
+    rollup, _, _, (fact, dim_zones) = _together(
+        spark, stage_rollup, write_quarantine, write_dimensions, write_fact
     )
 
     def write_corridors_and_executive() -> list[str]:
@@ -109,4 +117,7 @@ def run_month(
         ],
     )
     paths = dict(zip((readers.CORRIDORS, readers.EXECUTIVE, *tables), (*pair, *single)))
+    # Last, so that an audit never tells of a run whose tables were not all written.
+    audit_row = gate.audit(rollup, profile)
+    sinks.write_report(gate.audit_report(audit_row, profile), out, readers.AUDIT, label)
     return Published(out, label, audit_row, paths)

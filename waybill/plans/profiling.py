@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waybill.functions.numeric import ExactTotal, percent, round_half, text
+from waybill.functions.numeric import UnitTotal, percent, round_half, text
 from waybill.operators.gate import measure
 from waybill.operators.rules import DROPOFF, PICKUP, TRIP_SECONDS
 from waybill.plans.kpis import CARD_TIP_PCT, CARD_TIPS
@@ -65,7 +65,7 @@ def null_cooccurrence(trips: DataFrame) -> DataFrame:
 
 def null_rows_revenue(trips: DataFrame) -> DataFrame:
     """Rows without passenger count and the money they carry."""
-    spend = ExactTotal("spend", "total_amount")
+    spend = UnitTotal("spend", "total_amount")
     unmanned = trips.filter("passenger_count IS NULL")
     return (
         _measures(unmanned, "count(*) AS records", *spend.lanes())
@@ -115,9 +115,8 @@ def cash_zero_tip_share(trips: DataFrame) -> DataFrame:
 
 
 def preview(fact: DataFrame, rows: int = 5) -> DataFrame:
-    """Any few fact rows."""
-    return fact.select(
-        "trip_id",
+    """The first few fact rows by pickup time, then by the columns shown."""
+    columns = [
         "pickup_datetime",
         "time_window",
         "duration_minutes",
@@ -126,4 +125,5 @@ def preview(fact: DataFrame, rows: int = 5) -> DataFrame:
         "total_amount",
         "revenue_per_minute",
         "is_airport_trip",
-    ).limit(rows)
+    ]
+    return fact.select(*columns).orderBy(*columns).limit(rows)

@@ -110,6 +110,14 @@ CARD_PAYMENT = 1
 CASH_PAYMENT = 2
 TRUSTED_ABOVE_PCT = 90.0
 
+# Policy notes of the published audit reports. They speak of one feed and the
+# default thresholds; a profile of another feed brings its own.
+POLICY = {
+    "passenger_count_nulls": "Preserved in clean dataset for operational and revenue KPIs; excluded only for per-passenger metrics. Dropping 29.2% of nulls would severely bias trip volume.",
+    "ratecode_id_nulls": "Mapped to 'Unassigned / Digital Dispatch' rather than dropping.",
+    "quarantine_policy": "Records failing physical travel laws (speed > 85mph, negative fares, duration < 1m) are segregated to quarantine parquet with diagnostic tags for vendor SLA reviews.",
+}
+
 WINDOW_ORDER = tuple(label for label, _, _ in TIME_WINDOWS) + (OFF_PEAK,)
 
 
@@ -126,6 +134,7 @@ class Profile:
     corridors: tuple[tuple[int, str], ...] = CORRIDORS
     other_corridor: str = OTHER_CORRIDOR
     flow: FlowLimits = field(default_factory=FlowLimits)
+    policy: Mapping[str, str] = field(default_factory=lambda: dict(POLICY))
 
     @classmethod
     def month(cls, year_month: str, **changes) -> Profile:

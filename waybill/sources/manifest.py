@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import TYPE_CHECKING
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.sources.readers import IncompleteSource, read_trips
+from waybill.sources.readers import OPTIONAL, TRIP_COLUMNS, IncompleteSource, conform_trips
 
 if TYPE_CHECKING:
     import pandas as pd
 
 _SCHEMA = (
     "file_name string, file_path string, file_size_bytes bigint, num_rows bigint,"
-    " num_columns int, num_row_groups int, schema_columns array<string>, sha256 string,"
-    " status string"
+    " num_columns int, num_row_groups int, schema_columns array<string>,"
+    " schema_types array<string>, sha256 string, status string"
 )
 _COLUMNS = [field.split()[0] for field in _SCHEMA.split(", ")]
 
@@ -54,9 +55,10 @@ def _describer(columns: list[str], hashed: bool = True, chunk_bytes: int = 1 <<
                 with system.open_input_file(name) as handle:
                     footer = pq.ParquetFile(handle)
                     meta, names = footer.metadata, footer.schema_arrow.names
+                    types = [str(t) for t in footer.schema_arrow.types]
                 rows.append(
                     (name.rsplit("/", 1)[-1], path, size, meta.num_rows, len(names),
-                     meta.num_row_groups, names, digest,
+                     meta.num_row_groups, names, types, digest,
                      "VERIFIED_COMPLETE" if meta.num_rows else "EMPTY")
                 )
             yield pd.DataFrame(rows, columns=columns)
@@ -84,9 +86,48 @@ def file_manifest(
 
 
 def verified_trips(spark: SparkSession, path: str) -> DataFrame:
-    """Trips from ``path``, refused if any of its files holds no rows by its footer."""
-    footers = file_manifest(spark, path, hashed=False)
-    least = footers.agg(F.min(F.struct("num_rows", "file_path"))).first()[0]
-    if least is None or not least["num_rows"]:
-        raise IncompleteSource(f"{least["file_path"] if least else path} holds no rows")
-    return read_trips(spark, path)
+    """Trips of the Parquet files under ``path``, whose footers may differ.
+
+    A file that holds no rows or lacks a column other than the optional fees is refused by
+    name. The rest are scanned with the feed's types, which also reads narrower integers,
+    other cases and absent fees; files that store an integer column as doubles are scanned
+    with that type and cast. The driver gets one path per file, as for any scan.
+    """
+    required = [c.lower() for c in TRIP_COLUMNS if c not in OPTIONAL]
+    integers = [c.lower() for c, t in TRIP_COLUMNS.items() if t == "bigint"]
+    footers = file_manifest(spark, path, hashed=False).select(
+        "file_path",
+        "num_rows",
+        F.transform("schema_columns", F.lower).alias("names"),
+        F.col("schema_types").alias("types"),
+    )
+    kinds = footers.select(
+        "file_path",
+        "num_rows",
+        F.array_except(F.array(*map(F.lit, required)), "names").alias("missing"),
+        F.filter(
+            F.arrays_zip("names", "types"),
+            lambda c: c["names"].isin(integers) & c["types"].isin("float", "double"),
+        ).alias("floating"),
+    )
+    kinds = kinds.withColumn("floating", F.array_sort("floating")).groupBy("floating").agg(
+        F.min(F.struct("num_rows", "file_path")).alias("least"),
+        F.max(F.struct(F.size("missing"), "file_path", "missing")).alias("most"),
+        F.collect_list("file_path").alias("paths"),
+    )
+    found = kinds.collect()
+    if not found:
+        raise IncompleteSource(f"{path} holds no rows")
+    for kind in found:
+        if not kind["least"]["num_rows"]:
+            raise IncompleteSource(f"{kind['least']['file_path']} holds no rows")
+        if kind["most"]["missing"]:
+            lacks = ", ".join(kind["most"]["missing"])
+            raise IncompleteSource(f"{kind['most']['file_path']}: trip columns missing: {lacks}")
+
+    def scanned(kind) -> DataFrame:
+        stored = {c["names"]: c["types"] for c in kind["floating"]}
+        schema = ", ".join(f"{c} {stored.get(c.lower(), t)}" for c, t in TRIP_COLUMNS.items())
+        return conform_trips(spark.read.schema(schema).parquet(*sorted(kind["paths"])))
+
+    return reduce(DataFrame.unionByName, map(scanned, found))

@@ -22,6 +22,11 @@ ORDER_PROFILE = Profile(
     corridors=((5, "Hub 5"), (10, "Hub 10"), (15, "Hub 15")),
     other_corridor="No Hub",
     flow=FlowLimits(min_volume=2000, critical=500),
+    policy={
+        "passenger_count_nulls": "Kept; left out of per-passenger figures only.",
+        "ratecode_id_nulls": "Mapped to rate code 99.",
+        "quarantine_policy": "Trips that break a rule are set apart with their reasons.",
+    },
 )
 
 

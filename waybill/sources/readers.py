@@ -33,6 +33,8 @@ TRIP_COLUMNS = {
     "Airport_fee": "double",
     "cbd_congestion_fee": "double",
 }
+# Fees that came into the feed over the years: older files lack them.
+OPTIONAL = ("congestion_surcharge", "Airport_fee", "cbd_congestion_fee")
 ZONE_COLUMNS = {
     "LocationID": "int",
     "Borough": "string",
@@ -92,18 +94,24 @@ class IncompleteSource(ValueError):
 def conform_trips(trips: DataFrame) -> DataFrame:
     """Any trip-shaped frame with the feed's columns in the feed's types.
 
-    Published files differ in integer widths from month to month; a cast that
-    changes nothing disappears from the plan.
+    Names match in any case; a fee column that is absent is NULL. Integers that come as
+    doubles, as some tools write columns with gaps, are NULL where they are NaN. A cast
+    that changes nothing disappears from the plan.
     """
-    missing = [c for c in TRIP_COLUMNS if c not in trips.columns]
+    types = {c.lower(): t for c, t in trips.dtypes}
+    missing = [c for c in TRIP_COLUMNS if c.lower() not in types and c not in OPTIONAL]
     if missing:
         raise IncompleteSource(f"trip columns missing: {', '.join(missing)}")
-    return trips.selectExpr(*[f"CAST({c} AS {t}) AS {c}" for c, t in TRIP_COLUMNS.items()])
 
+    def conformed(column: str, wanted: str) -> str:
+        given = types.get(column.lower())
+        if given is None:
+            return f"CAST(NULL AS {wanted}) AS {column}"
+        if wanted == "bigint" and given in ("float", "double"):
+            return f"try_cast(nanvl({column}, NULL) AS {wanted}) AS {column}"
+        return f"CAST({column} AS {wanted}) AS {column}"
 
-def read_trips(spark: SparkSession, path: str) -> DataFrame:
-    """Lazy scan of Parquet trips, file or folder."""
-    return conform_trips(spark.read.parquet(path))
+    return trips.selectExpr(*[conformed(c, t) for c, t in TRIP_COLUMNS.items()])
 
 
 def read_zones(spark: SparkSession, path: str) -> DataFrame:
@@ -150,7 +158,7 @@ def _read_or_fail(read, path: str, label: str) -> DataFrame:
 
 def read_kpi(spark: SparkSession, out: str, name: str, label: str) -> DataFrame:
     """One published KPI table."""
-    read = spark.read.schema(PUBLISHED[name]).option("header", True).csv
+    read = spark.read.schema(PUBLISHED[name]).options(header=True, enforceSchema=False).csv
     return _read_or_fail(read, f"{out}/outputs/{name}_{label}.csv", label)
 
 
