@@ -22,6 +22,8 @@ HELD = 4_000_000
 _BASE = np.uint64(0x8EBC6AF09C88C6E3)
 #: Under this key the words of the whole corpus are counted.
 _WORDS = np.uint64(0)
+#: The first of the blocks of rows without an id.
+_FIRST = -(1 << 62)
 
 
 def _grams(raw: bytes | None, order: int) -> list[np.ndarray]:
@@ -39,19 +41,21 @@ def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return key[first], np.add.reduceat(count, first) if len(first) else count
 
 
-def _planes(numbers: np.ndarray) -> bytes:
-    """The numbers' bytes, all lowest ones first: planes of zeros vanish in the shuffle."""
-    return numbers.view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+def _packed(numbers: np.ndarray) -> bytes:
+    """The numbers' bytes, all lowest ones first, compressed: planes of zeros vanish."""
+    planes = numbers.view(np.uint8).reshape(len(numbers), -1).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, codec="zstd", asbytes=True)
 
 
-def _numbers(planes: bytes, kind: type) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.frombuffer(planes, np.uint8).reshape(size, -1).T.copy().view(kind).ravel()
+def _numbers(packed: bytes, kind: type) -> np.ndarray:
+    size = int.from_bytes(packed[:8], "little")
+    planes = pa.decompress(packed[8:], decompressed_size=size, codec="zstd", asbytes=True)
+    return np.frombuffer(planes, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
 
 
 def _steps(key: np.ndarray) -> bytes:
-    """Sorted n-grams as planes of their differences."""
-    return _planes(np.diff(key, prepend=np.uint64(0)))
+    """Sorted n-grams as their differences."""
+    return _packed(np.diff(key, prepend=np.uint64(0)))
 
 
 def _keys(steps: bytes) -> np.ndarray:
@@ -63,7 +67,7 @@ def _pieces(key: np.ndarray, count: np.ndarray, parts: int) -> Iterator[tuple[in
     part = ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
     for p in np.unique(part):
         a, b = np.searchsorted(part, [p, p + 1])
-        yield int(p), _steps(key[a:b]), _planes(count[a:b].astype(np.uint32))
+        yield int(p), _steps(key[a:b]), _packed(count[a:b].astype(np.uint32))
 
 
 def block_counts(docs: DataFrame, parts: int, order: int = ORDER) -> DataFrame:
@@ -104,10 +108,11 @@ def block_counts(docs: DataFrame, parts: int, order: int = ORDER) -> DataFrame:
 
 
 def totals(counted: DataFrame) -> DataFrame:
-    """(block, grams, counts): for each block its n-grams that occur outside it, too.
+    """(block, part, counts): how often each n-gram of a block occurs outside it.
 
-    Counts of one part of the table are added up and joined to the blocks that hold the
-    n-gram. What a block alone has needs no answer.
+    Counts of one part of the table are added up and answered to the blocks that hold the
+    n-gram. They stand in the order of the block's distinct n-grams in that part, which the
+    block finds again in its texts, so the n-grams themselves are not sent back.
     """
 
     def answer(table: pa.Table) -> pa.Table:
@@ -115,31 +120,25 @@ def totals(counted: DataFrame) -> DataFrame:
         keys = [_keys(x.as_py()) for x in table.column("grams")]
         counts = [_numbers(x.as_py(), np.uint32).astype(np.int64) for x in table.column("counts")]
         key, count = _merged(keys, counts)
-        out = []
-        for block in np.unique(blocks):
-            mine = np.flatnonzero(blocks == block)
+        order = np.argsort(blocks, kind="stable")
+        cuts = np.flatnonzero(np.diff(blocks[order])) + 1
+        told = []
+        for mine in np.split(order, cuts):
             own, n = _merged([keys[i] for i in mine], [counts[i] for i in mine])
-            at = np.searchsorted(key, own)
-            more = count[at] > n
-            if more.any():
-                out.append((int(block), _steps(own[more]), _planes(count[at][more])))
-        columns = zip(*out, strict=True) if out else ([], [], [])
-        return pa.table([pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)], names=list(types))
+            told.append((int(blocks[mine[0]]), _packed(count[np.searchsorted(key, own)] - n)))
+        block, outside = zip(*told, strict=True)
+        part = table.column("part")[0].as_py()
+        columns = [pa.array(block, pa.int64()), pa.array([part] * len(told), pa.int32()), pa.array(outside, pa.binary())]
+        return pa.table(columns, names=["block", "part", "counts"])
 
-    types = {"block": pa.int64(), "grams": pa.binary(), "counts": pa.binary()}
-    return counted.groupBy("part").applyInArrow(answer, "block long, grams binary, counts binary")
+    return counted.groupBy("part").applyInArrow(answer, "block long, part int, counts binary")
 
 
-def _others(grams: list[np.ndarray], told: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+def _others(grams: list[np.ndarray], key: np.ndarray, count: np.ndarray) -> np.ndarray:
     """For each n-gram of a block's documents, its count in all other documents."""
     sizes = np.array([len(x) for x in grams])
-    every = np.concatenate(grams)
-    key, at, count = np.unique(every, return_inverse=True, return_counts=True)
-    known = np.searchsorted(key, told[0])
-    known = np.minimum(known, max(len(key) - 1, 0))
-    same = key[known] == told[0] if len(key) else np.zeros(0, bool)
-    count[known[same]] = told[1][same]
-    own = np.repeat(np.arange(len(sizes)), sizes) * max(len(key), 1) + at
+    at = np.searchsorted(key, np.concatenate(grams))
+    own = np.repeat(np.arange(len(sizes)), sizes) * len(key) + at
     _, back, times = np.unique(own, return_inverse=True, return_counts=True)
     return count[at] - times[back]
 
@@ -147,12 +146,14 @@ def _others(grams: list[np.ndarray], told: tuple[np.ndarray, np.ndarray]) -> np.
 def _scored(docs: pa.Table, told: pa.Table, order: int) -> pa.Table:
     ids, texts = docs.column("doc_id"), docs.column("text")
     grams = [_grams(t.as_py() and t.as_py().encode(), order) for t in texts]
-    keys = [_keys(x.as_py()) for x in told.column("grams")]
-    counts = [_numbers(x.as_py(), np.int64) for x in told.column("counts")]
-    known = _merged(keys, counts) if keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    words = int(known[1][0]) if len(known[0]) and known[0][0] == _WORDS else sum(len(g[0]) for g in grams)
+    size = sum(len(g[0]) for g in grams)
+    key, count = np.unique(np.concatenate([x for g in grams for x in g]), return_counts=True)
+    key, count = _merged([np.array([_WORDS]), key], [np.array([size], np.int64), count])
+    parts = sorted(zip(told.column("part").to_pylist(), told.column("counts"), strict=True), key=lambda x: x[0])
+    count = count + np.concatenate([_numbers(x.as_py(), np.int64) for _, x in parts])
+    words = int(count[0])
     ends = [np.cumsum([len(g[n]) for g in grams]) for n in range(order)]
-    others = [_others([g[n] for g in grams], known) for n in range(order)]
+    others = [_others([g[n] for g in grams], key, count) for n in range(order)]
     out = []
     for i, own in enumerate(grams):
         count = [others[n][ends[n][i] - len(own[n]) : ends[n][i]] for n in range(order)]
@@ -189,12 +190,15 @@ def score(docs: DataFrame, *, order: int = ORDER, block: Column | None = None) -
     texts are scored together; by default ids that follow each other. It should hold a few
     thousand rows and lie together in the files; results do not depend on it. The tables grow
     with the corpus and are cut by hash into parts of bounded size. Null and blank texts have
-    no words, log_prob 0 and a null score; rows with a null id form a block; rows that repeat
-    an id are documents of their own, so copies support each other.
+    no words, log_prob 0 and a null score; rows without a block (a null id) are spread over
+    blocks of their own by their text; rows that repeat an id are documents of their own, so
+    copies support each other.
     """
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    block = F.floor(F.col("doc_id") / BLOCK) if block is None else block
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(block, F.lit(-1)).cast("long").alias("block"))
+    block = (F.floor(F.col("doc_id") / BLOCK) if block is None else block).cast("long")
+    lost = F.count_if(block.isNull())
+    size, lost = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), lost).first()
+    spread = F.lit(_FIRST) + F.pmod(F.xxhash64("text"), F.lit(-(-lost // BLOCK) or 1))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(block, spread).alias("block"))
     counted = block_counts(rows, max(LEAST, -(-size // PART)), order)
     told = totals(counted)
 
