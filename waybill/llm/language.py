@@ -75,15 +75,15 @@ def sample(docs: DataFrame, most: int) -> DataFrame:
     """At most ``most`` documents of each language, those whose id has the least hash.
 
     Counts by the hash's first digits tell how far to look, so that a language of any size
-    sends little more than its sample to the task that ranks it.
+    sends little more than its sample to the task that ranks it; rows meet those counts by
+    language and digits, which spreads a large language too.
     """
     drawn = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
     ids = docs.select("doc_id", "lang", drawn.alias("draw"), F.substring(drawn, 1, DIGITS).alias("part"))
     parts = ids.groupBy("lang", "part").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("lang").orderBy("part")) - F.col("n")
     parts = parts.withColumn("before", before).filter(F.col("before") < most)
-    last = parts.groupBy(F.col("lang").alias("of")).agg(F.max("part").alias("last"))
-    near = ids.join(last, (ids["lang"] == last["of"]) & (ids["part"] <= last["last"]))
+    near = ids.join(parts.select("lang", "part"), ["lang", "part"], "left_semi")
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
     near = near.withColumn("nth", nth).filter(F.col("nth") <= most)
     chosen = near.select(F.col("doc_id").alias("drawn_id"), "nth")
