@@ -77,6 +77,17 @@ def test_language_model_does_not_depend_on_blocks(spark):
     assert np.allclose(some.sort_index(), other.sort_index())
 
 
+def test_lm_spreads_rows_without_an_id(spark, monkeypatch):
+    texts = ["a b c", "b c d", "a b c", "", None, "c d e a b", "e", "b c"] * 3
+    docs = spark.createDataFrame([(None if i % 4 else i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    columns = ["n_words", "log_prob", "n_backed_off", "n_unseen"]
+    found = lambda d: sorted(map(tuple, d.select(*columns).collect()))
+    whole = found(lm.score(docs, block=F.lit(0)))
+    monkeypatch.setattr(lm, "BLOCK", 3)
+    assert len(whole) == len(texts)
+    assert np.allclose(found(lm.score(docs)), whole)
+
+
 def test_mixing_against_sql(result):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
