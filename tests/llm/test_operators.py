@@ -195,6 +195,22 @@ def test_neighbours_beyond_one_block(spark):
     assert hits / 75 >= 0.9
 
 
+@pytest.mark.parametrize("noise", [1e-2, 1e-4])
+def test_neighbours_in_a_group_of_near_copies(spark, noise):
+    draw = np.random.default_rng(4)
+    x = draw.normal(size=(3000, 16))
+    x[::3] = x[0] + noise * draw.normal(size=(1000, 16))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = neighbours.nearest(vectors, F.col("vec_id") % 60 == 0, reach=100).toPandas()
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for query, group in found.groupby("query_id"):
+        score = x @ x[query]
+        score[query] = -2
+        hits += len(set(group.vec_id) & set(np.argsort(-score)[:5]))
+    assert hits / 250 >= 0.95
+
+
 def test_hilbert_steps_to_neighbours():
     points = np.stack(np.meshgrid(*[np.arange(8)] * 3), axis=-1).reshape(-1, 3)
     place = neighbours.hilbert(points, 3)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -14,15 +13,16 @@ from waybill.llm.common import numbered
 from waybill.sources.sinks import scratch_folder, staged
 
 CURVES = 24
-DIMENSIONS, BITS = 8, 6
+#: So many bits tell near copies apart as far as single precision does.
+DIMENSIONS, BITS = 8, 24
 #: A query sees at least so many rows on either side of each curve.
 REACH = 1024
-#: A curve's best rows that are scored exactly afterwards, for each neighbour asked for.
-SPARE = 4
+#: Scores that a block holds at once, and how far rounding may part equal ones.
+CELLS, ROUNDING = 1 << 22, 1e-12
 
 
-def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
-    """Places of integer points (0 to 2**bits - 1 a side) on the Hilbert curve.
+def _transposed(points: np.ndarray, bits: int) -> np.ndarray:
+    """Integer points (0 to 2**bits - 1 a side) by the bits of their places on the Hilbert curve.
 
     Gray-code steps from the highest bit down undo each cell's rotation and reflection;
     the transposed bits, read across the axes, are the place.
@@ -46,13 +46,26 @@ def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
         flip ^= np.where(x[:, -1] & q, q - 1, 0)
         q >>= 1
     x ^= flip[:, None]
-    place = np.zeros(n, np.int64)
+    return x
+
+
+def hilbert(points: np.ndarray, bits: int) -> np.ndarray:
+    """Places of integer points on the Hilbert curve, up to 63 bits in all."""
+    x = _transposed(points, bits)
+    place = np.zeros(len(x), np.int64)
     for b in range(bits - 1, -1, -1):
-        for i in range(axes):
+        for i in range(x.shape[1]):
             place = place << 1 | x[:, i] >> b & 1
     return place
 
 
+def places(points: np.ndarray, bits: int) -> np.ndarray:
+    """The same places with any number of bits, a row of bytes each, highest first."""
+    x = _transposed(points, bits)
+    down = np.arange(bits - 1, -1, -1)[None, :, None]
+    return np.packbits((x[:, None, :] >> down & 1).astype(np.uint8).reshape(len(x), -1), axis=1)
+
+
 def _curve(width: int, curve: int) -> tuple[np.ndarray, np.ndarray]:
     """The projection and the shift of a curve, the same wherever they are made."""
     draw = np.random.default_rng([width, curve])
@@ -75,6 +88,20 @@ def _distinct(vectors: DataFrame, keep: int) -> DataFrame:
     return few.groupBy("hash", "embedding").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))
 
 
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
+def _place(x: np.ndarray, curve: int) -> np.ndarray:
+    """Places of unit vectors on a curve."""
+    width = x.shape[1]
+    projection, shift = _curve(width, curve)
+    # Projections spread by about 1 / sqrt(width): three of these fill half the cube.
+    y = (x @ projection) * np.sqrt(width) / 7 + 0.5 + (shift - 0.5) / 7
+    return places(np.clip(y * (1 << BITS), 0, (1 << BITS) - 1), BITS)
+
+
 def _on_curves(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 1024):
@@ -84,24 +111,39 @@ def _on_curves(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts = np.concatenate(([0], np.cumsum(lengths)))
             for width in np.unique(lengths):
                 rows = np.flatnonzero(lengths == width)
-                x = flat[(starts[rows][:, None] + np.arange(width)).ravel()].reshape(len(rows), width)
-                x = x / np.abs(x).max(axis=1, keepdims=True)
-                x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
-                small = pa.array([v.tobytes() for v in np.round(x * 127).astype(np.int8)], pa.binary())
+                x = _unit(flat[(starts[rows][:, None] + np.arange(width)).ravel()].reshape(len(rows), width))
                 keys, wanted = part.column("rep").take(pa.array(rows)), part.column("asked").take(pa.array(rows))
+                n = len(rows)
                 for curve in range(CURVES):
-                    projection, shift = _curve(int(width), curve)
-                    # Projections spread by about 1 / sqrt(width): three of these fill half the cube.
-                    y = (x @ projection) * np.sqrt(width) / 7 + 0.5 + (shift - 0.5) / 7
-                    place = hilbert(np.clip(y * (1 << BITS), 0, (1 << BITS) - 1), BITS)
-                    names = ["width", "curve", "place", "rep", "asked", "small"]
-                    n = len(rows)
+                    place = pa.array([p.tobytes() for p in _place(x, curve)], pa.binary())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, width, np.int32)), pa.array(np.full(n, curve, np.int32)), pa.array(place), keys, wanted, small],
-                        names=names,
+                        [pa.array(np.full(n, width, np.int32)), pa.array(np.full(n, curve, np.int32)), place, keys, wanted],
+                        names=["width", "curve", "place", "rep", "asked"],
                     )
 
 
+def _best(block: pa.Table, k: int) -> pa.Table:
+    """(query, rep): the ``k`` rows of a block nearest to each of its probes, ties to the smaller id."""
+    probe, reps = block.column("probe").to_numpy(), block.column("rep").to_numpy()
+    flat = pa.concat_arrays([c.flatten() for c in block.column("embedding").chunks]).to_numpy()
+    x = _unit(flat.reshape(len(reps), -1).astype(np.float64))
+    others, own, probes, ids = x[~probe], reps[~probe], x[probe], reps[probe]
+    take = min(k, len(own))
+    query, found = [ids[:0]], [own[:0]]
+    step = max(1, CELLS // max(len(own), 1))
+    for at in range(0, len(ids) if take else 0, step):
+        score = probes[at : at + step] @ others.T
+        score[ids[at : at + step, None] == own[None, :]] = -np.inf
+        least = np.partition(score, len(own) - take, axis=1)[:, len(own) - take]
+        for i in range(len(score)):
+            top = np.flatnonzero(score[i] >= least[i] - ROUNDING)
+            sure = score[i][top] > least[i] + ROUNDING
+            top = np.concatenate((top[sure], top[~sure][np.argsort(own[top[~sure]])][: take - sure.sum()]))
+            query.append(np.repeat(ids[at + i], len(top)))
+            found.append(own[top])
+    return pa.table({"query": np.concatenate(query), "rep": np.concatenate(found)})
+
+
 def nearest(
     vectors: DataFrame, queries: Column, k: int = 5, *, reach: int = REACH, scratch: str | None = None
 ) -> DataFrame:
@@ -110,8 +152,11 @@ def nearest(
     Every distinct vector is placed on ``CURVES`` Hilbert curves, each through another random
     projection and shifted by a random part of the cube. A curve is range-sorted and cut into
     blocks of twice ``reach`` rows; a query is compared with its own block and, by copying
-    the query alone, with the nearer neighbouring one. The best of each curve, by vectors of
-    8-bit components, are merged and scored in double precision on the original vectors.
+    the query alone, with the nearer neighbouring one. A block scores all its rows in double
+    precision on the original vectors; the ``k`` best of each curve are merged and scored once
+    more. Places are fine enough to sort near copies too, and equal places are ordered by a
+    hash that differs by curve, so that each curve shows a query other rows of a dense group.
+    Only places are sorted; the vectors travel once, to the blocks.
 
     Equal vectors are searched once; their least ids stand for them, which is enough for any
     answer, so groups of copies are neither compared nor expanded. Vectors that are null,
@@ -130,34 +175,24 @@ def nearest(
     asked = members.select("rep").distinct().withColumn("asked", F.lit(True))
     flagged = groups.join(asked, "rep", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
     placed = flagged.select("rep", "asked", "embedding").mapInArrow(
-        _on_curves, "width int, curve int, place long, rep long, asked boolean, small binary"
+        _on_curves, "width int, curve int, place binary, rep long, asked boolean"
     )
-    placed = staged(placed, scratch, "curves")
-    ranked = numbered(placed, ["width", "curve"], ["place", "rep"], scratch, "sorted").drop("place")
+    placed = staged(placed, scratch, "curves").withColumn("tie", F.xxhash64("curve", "rep"))
+    ranked = numbered(placed, ["width", "curve"], ["place", "tie", "rep"], scratch, "sorted")
     block = F.floor(F.col("rank") / (2 * reach))
     nearer = F.when(F.col("rank") % (2 * reach) < reach, block - 1).otherwise(block + 1)
-    rows = ranked.select("width", "curve", block.alias("block"), "rep", "small", F.lit(False).alias("probe"))
-    probes = ranked.filter("asked").select(
-        "width", "curve", F.explode(F.array(block, nearer)).alias("block"), "rep", "small", F.lit(True).alias("probe")
-    )
-
-    def best(key: tuple, block: pd.DataFrame) -> pd.DataFrame:
-        probe = block["probe"].to_numpy()
-        small = np.frombuffer(b"".join(block["small"]), np.int8).reshape(len(block), -1).astype(np.float32)
-        reps = block["rep"].to_numpy()
-        others, own = small[~probe], reps[~probe]
-        out = []
-        lengths = np.maximum(np.sqrt((others * others).sum(axis=1)), 1)
-        for at in range(0, int(probe.sum()), 256):
-            asked, ids = small[probe][at : at + 256], reps[probe][at : at + 256]
-            score = asked @ others.T / lengths
-            score[ids[:, None] == own[None, :]] = -np.inf
-            take = min(k * SPARE, len(own))
-            top = np.argpartition(-score, take - 1, axis=1)[:, :take] if take else np.zeros((len(ids), 0), int)
-            out.append(pd.DataFrame({"query": np.repeat(ids, take), "rep": own[top].ravel()}))
-        return pd.concat(out) if out else pd.DataFrame({"query": [], "rep": []})
-
-    near = rows.unionByName(probes).groupBy("width", "curve", "block").applyInPandas(best, "query long, rep long")
+    spot = lambda at, probe: F.struct(at.alias("block"), F.lit(probe).alias("probe"))
+    spots = F.when(F.col("asked"), F.array(spot(block, False), spot(block, True), spot(nearer, True)))
+    spots = F.inline(spots.otherwise(F.array(spot(block, False))))
+    # Single-precision input is sent as such: the doubles made of it hold no more.
+    single = vectors.schema["embedding"].dataType.elementType.typeName() == "float"
+    sent = groups.select("rep", F.col("embedding").cast("array<float>" if single else "array<double>"))
+    rows = ranked.select("width", "curve", "rep", spots).join(sent, "rep")
+
+    def best(table: pa.Table) -> pa.Table:
+        return _best(table, k)
+
+    near = rows.groupBy("width", "curve", "block").applyInArrow(best, "query long, rep long")
     near = near.distinct().filter("query <> rep")
     itself = asked.select(F.col("rep").alias("query"), "rep")
     pairs = staged(near.unionByName(itself).distinct(), scratch, "pairs")
