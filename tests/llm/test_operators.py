@@ -211,6 +211,19 @@ def test_neighbours_in_a_group_of_near_copies(spark, noise):
     assert hits / 250 >= 0.95
 
 
+def test_neighbours_reach_follows_the_table(spark, monkeypatch):
+    assert neighbours.reach_of(10_256) == 1024
+    assert [neighbours.reach_of(4**i * 250_000) for i in range(3)] == [4000, 8000, 16_000]
+    x = np.random.default_rng(5).normal(size=(3000, 32))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(neighbours, "REACH", 10)
+    found = neighbours.nearest(vectors, F.col("vec_id") % 60 == 0).toPandas()
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    score = x[::60] @ x.T
+    want = {60 * i: set(np.argsort(-s)[1:6]) for i, s in enumerate(score)}
+    assert sum(len(set(g.vec_id) & want[q]) for q, g in found.groupby("query_id")) / 250 >= 0.95
+
+
 def test_hilbert_steps_to_neighbours():
     points = np.stack(np.meshgrid(*[np.arange(8)] * 3), axis=-1).reshape(-1, 3)
     place = neighbours.hilbert(points, 3)

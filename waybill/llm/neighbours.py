@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -15,8 +16,9 @@ from waybill.sources.sinks import scratch_folder, staged
 CURVES = 24
 #: So many bits tell near copies apart as far as single precision does.
 DIMENSIONS, BITS = 8, 24
-#: A query sees at least so many rows on either side of each curve.
-REACH = 1024
+#: A query sees at least so many rows on either side of each curve, and so many times the
+#: square root of the number of distinct vectors.
+REACH, GROWTH = 1024, 8
 #: Scores that a block holds at once, and how far rounding may part equal ones.
 CELLS, ROUNDING = 1 << 22, 1e-12
 
@@ -66,6 +68,11 @@ def places(points: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits((x[:, None, :] >> down & 1).astype(np.uint8).reshape(len(x), -1), axis=1)
 
 
+def reach_of(n: int) -> int:
+    """Rows that a query sees on either side of each curve among ``n`` distinct vectors."""
+    return max(REACH, math.ceil(GROWTH * math.sqrt(n)))
+
+
 def _curve(width: int, curve: int) -> tuple[np.ndarray, np.ndarray]:
     """The projection and the shift of a curve, the same wherever they are made."""
     draw = np.random.default_rng([width, curve])
@@ -145,7 +152,7 @@ def _best(block: pa.Table, k: int) -> pa.Table:
 
 
 def nearest(
-    vectors: DataFrame, queries: Column, k: int = 5, *, reach: int = REACH, scratch: str | None = None
+    vectors: DataFrame, queries: Column, k: int = 5, *, reach: int | None = None, scratch: str | None = None
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found by cosine for rows where ``queries``.
 
@@ -154,7 +161,9 @@ def nearest(
     blocks of twice ``reach`` rows; a query is compared with its own block and, by copying
     the query alone, with the nearer neighbouring one. A block scores all its rows in double
     precision on the original vectors; the ``k`` best of each curve are merged and scored once
-    more. Places are fine enough to sort near copies too, and equal places are ordered by a
+    more. ``reach`` follows the number of distinct vectors unless it is given (``reach_of``):
+    the work per query grows with the root of the table, so that recall falls slowly on
+    vectors without structure. Places are fine enough to sort near copies too, and equal places are ordered by a
     hash that differs by curve, so that each curve shows a query other rows of a dense group.
     Only places are sorted; the vectors travel once, to the blocks.
 
@@ -168,6 +177,7 @@ def nearest(
     usable = _distinct(vectors, k + 1)
     groups = usable.select(F.col("ids")[0].alias("rep"), "ids", "embedding", "hash")
     groups = staged(groups, scratch, "vectors")
+    reach = reach or reach_of(groups.count())
     doubled = F.transform("embedding", lambda x: x.cast("double"))
     members = vectors.filter(queries).select("vec_id", doubled.alias("embedding")).withColumn("hash", F.xxhash64("embedding"))
     members = members.join(groups.select("rep", "hash", "embedding"), ["hash", "embedding"])
