@@ -161,6 +161,19 @@ def test_fast_encoder_equals_the_tokenizer(text):
     assert known.encode(text) == known.whole(text) == known.encode(text)
 
 
+@pytest.mark.parametrize("text", ["<|endoftext|> hi", "a <|endoftext|>", "x<|endoftext|>\n y", "<|endoftext|", "two  words é"])
+def test_encoder_equals_the_tokenizer_as_loaded(spark, text):
+    from tokenizers import Tokenizer
+
+    loaded = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = loaded.encode(text, add_special_tokens=False).ids
+    known = packing.Encoder(*map(public_tokenizers.path, packing.VOCABULARY))
+    assert known.encode(text) == np.array(want, "<u4").tobytes()
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    piece = packing.pieces(docs, with_ids=True).first()
+    assert (piece.ids, piece.length) == (np.array([*want, 0], "<u4").tobytes(), len(want) + 1)
+
+
 def test_fullest_bin():
     assert sum(k * v for k, v in packing.fullest({7: 3, 5: 2, 2: 1}, 16).items()) == 16
     assert packing.fullest({9: 2}, 10) == {9: 1}

@@ -34,7 +34,8 @@ class Encoder(dict):
 
     Where no white space follows a space, the vocabulary's units never reach past the next
     space, so words are encoded one by one and the first ``CACHE`` distinct ones remembered;
-    frequent ones come early. That path takes the same vocabulary as ranks, which encode a
+    frequent ones come early. Texts that hold an added token, such as ``<|endoftext|>``, go to
+    the tokenizer as it was loaded. The fast path takes the same vocabulary as ranks, which encode a
     short text several times faster; the tests hold both against each other.
     """
 
@@ -44,7 +45,9 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(whole)
-        self.tokenizer.encode_special_tokens = True
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Ranks know no added tokens: a text that holds one is left to the tokenizer.
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)").search
         with open(ranks, "rb") as lines:
             known = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.short = tiktoken.Encoding(
@@ -61,7 +64,7 @@ class Encoder(dict):
         return found
 
     def encode(self, text: str) -> bytes:
-        if not _PLAIN.fullmatch(text):
+        if not _PLAIN.fullmatch(text) or self.added(text):
             return self.whole(text)
         if _GAPS.search(text):
             return array("I", self.short(text)).tobytes()
