@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import duckdb
@@ -70,6 +72,30 @@ def test_language_model(rows, result):
         assert found.loc[key].log_prob == pytest.approx(log_prob, rel=1e-9)
 
 
+def test_language_model_of_trigrams(spark, rows, result):
+    tokens = {key: plain.words(text) for key, text, *_ in rows}
+    grams = lambda w, n: Counter(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
+    counts = {n: sum((grams(w, n) for w in tokens.values()), Counter()) for n in (1, 2, 3)}
+    found = result("op7_lm").set_index("doc_id")
+    alone = lm.score(spark.read.parquet(f"{DATA}/documents.parquet"), order=3).toPandas().set_index("doc_id")
+    total = sum(map(len, tokens.values()))
+    for key, w in tokens.items():
+        own = {n: grams(w, n) for n in (1, 2, 3)}
+        others = lambda g: counts[len(g)][g] - own[len(g)][g]  # noqa: E731, B023
+        log_prob, backed = 0.0, 0
+        for i in range(len(w)):
+            factor, first = 1.0, max(0, i - 2)
+            backed += i > 0 and not others(tuple(w[first : i + 1]))
+            while first < i and not others(tuple(w[first : i + 1])):
+                factor, first = factor * 0.4, first + 1
+            gram = tuple(w[first : i + 1])
+            p = others(gram) / others(gram[:-1]) if first < i else max(others(gram), 0.5) / max(total - len(w), 1)
+            log_prob += math.log(factor * p)
+        row = found.loc[key]
+        assert row.log_prob_3 == pytest.approx(log_prob, rel=1e-9) == alone.loc[key].log_prob
+        assert row.n_backed_off_3 == backed == alone.loc[key].n_backed_off
+
+
 def test_language_model_does_not_depend_on_blocks(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     some = lm.score(docs, block=F.col("doc_id") % 3).toPandas().set_index("doc_id").log_prob

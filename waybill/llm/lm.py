@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from waybill.llm.common import mixed, rolling, values, word_hashes
 
 ORDER = 2
+#: The longest model of the query, which gives the scores by ``ORDER`` too.
+LONGEST = 3
 BACKOFF = 0.4
 #: Ids that follow each other form blocks of so many.
 BLOCK = 4096
@@ -159,6 +161,7 @@ def _scored(docs: pa.Table, told: pa.Table, order: int) -> pa.Table:
         count = [others[n][ends[n][i] - len(own[n]) : ends[n][i]] for n in range(order)]
         size = len(own[0])
         p = np.maximum(count[0], 0.5) / max(words - size, 1)
+        totals, misses = [float(np.log(p).sum())], [0]
         lacks = count[0] == 0
         backed = np.zeros(size, bool)
         for n in range(1, order):
@@ -167,18 +170,48 @@ def _scored(docs: pa.Table, told: pa.Table, order: int) -> pa.Table:
             rest = BACKOFF * p[n:]
             p[n:] = np.where(met, seen / np.maximum(context, 1), rest)
             backed[n:] = ~met
-        total = float(np.log(p).sum()) if size else 0.0
-        out.append((ids[i].as_py(), size, total, total / size if size else None, int(backed.sum()), int(lacks.sum())))
+            totals.append(float(np.log(p).sum()))
+            misses.append(int(backed.sum()))
+        out.append((ids[i].as_py(), size, totals, misses, int(lacks.sum())))
     columns = zip(*out, strict=True) if out else [[]] * len(_TYPES)
     return pa.table([pa.array(c, t) for c, t in zip(columns, _TYPES.values(), strict=True)], names=list(_TYPES))
 
 
 _TYPES = {
-    "doc_id": pa.int64(), "n_words": pa.int64(), "log_prob": pa.float64(), "score": pa.float64(),
-    "n_backed_off": pa.int64(), "n_unseen": pa.int64(),
+    "doc_id": pa.int64(), "n_words": pa.int64(), "log_probs": pa.list_(pa.float64()),
+    "backed_off": pa.list_(pa.int64()), "n_unseen": pa.int64(),
 }
 
 
+def by_order(docs: DataFrame, *, order: int = ORDER, block: Column | None = None) -> DataFrame:
+    """(doc_id, n_words, log_probs, backed_off, n_unseen) per row of ``docs``.
+
+    The arrays have one item for the model of each order from 1 to ``order``; see ``score``.
+    """
+    block = (F.floor(F.col("doc_id") / BLOCK) if block is None else block).cast("long")
+    lost = F.count_if(block.isNull())
+    size, lost = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), lost).first()
+    spread = F.lit(_FIRST) + F.pmod(F.xxhash64("text"), F.lit(-(-lost // BLOCK) or 1))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(block, spread).alias("block"))
+    counted = block_counts(rows, max(LEAST, -(-size // PART)), order)
+    told = totals(counted)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _scored(left, right, order)
+
+    schema = "doc_id long, n_words long, log_probs array<double>, backed_off array<long>, n_unseen long"
+    return rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(run, schema)
+
+
+def _told(order: int, suffix: str = "") -> list[Column]:
+    log_prob = F.get("log_probs", F.lit(order - 1))
+    return [
+        log_prob.alias(f"log_prob{suffix}"),
+        (log_prob / F.nullif("n_words", F.lit(0))).alias(f"score{suffix}"),
+        F.get("backed_off", F.lit(order - 1)).alias(f"n_backed_off{suffix}"),
+    ]
+
+
 def score(docs: DataFrame, *, order: int = ORDER, block: Column | None = None) -> DataFrame:
     """(doc_id, n_words, log_prob, score, n_backed_off, n_unseen) per row of ``docs``.
 
@@ -194,20 +227,11 @@ def score(docs: DataFrame, *, order: int = ORDER, block: Column | None = None) -
     blocks of their own by their text; rows that repeat an id are documents of their own, so
     copies support each other.
     """
-    block = (F.floor(F.col("doc_id") / BLOCK) if block is None else block).cast("long")
-    lost = F.count_if(block.isNull())
-    size, lost = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), lost).first()
-    spread = F.lit(_FIRST) + F.pmod(F.xxhash64("text"), F.lit(-(-lost // BLOCK) or 1))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(block, spread).alias("block"))
-    counted = block_counts(rows, max(LEAST, -(-size // PART)), order)
-    told = totals(counted)
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _scored(left, right, order)
-
-    schema = "doc_id long, n_words long, log_prob double, score double, n_backed_off long, n_unseen long"
-    return rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(run, schema)
+    found = by_order(docs, order=order, block=block)
+    return found.select("doc_id", "n_words", *_told(order), "n_unseen")
 
 
 def op7_lm(spark: SparkSession, folder: str) -> DataFrame:
-    return score(spark.read.parquet(f"{folder}/documents.parquet"))
+    """The columns of ``score`` by bigrams, and by trigrams with the suffix ``_3``."""
+    found = by_order(spark.read.parquet(f"{folder}/documents.parquet"), order=LONGEST)
+    return found.select("doc_id", "n_words", *_told(ORDER), "n_unseen", *_told(LONGEST, f"_{LONGEST}"))
