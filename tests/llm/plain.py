@@ -92,3 +92,79 @@ def backoff(rows: Rows) -> dict:
             log_prob += math.log(p)
         out[key] = (len(w), log_prob)
     return out
+
+
+def hard_negatives(rows: list[tuple]) -> list[tuple]:
+    """(vec_id, label, vector) to (anchor, positive, rank, negative, both scores), by all pairs."""
+    good = []
+    for key, label, v in rows:
+        if key is None or label is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        good.append((key, (label + 1) % 10 if key % 7 == 0 else label, [math.floor(256 * float(x)) for x in v]))
+    out = []
+    for key, label, v in good:
+        if key % 100:
+            continue
+        met = sorted((-sum(a * b for a, b in zip(v, w)), k, x) for k, x, w in good if k != key)
+        for score, positive, _ in [m for m in met if m[2] == label][:5]:
+            fits = [m for m in met if m[2] != label and 80 * -score <= 100 * -m[0] <= 100 * -score][:5]
+            out += [(key, positive, i + 1, n, -score, -s) for i, (s, n, _) in enumerate(fits)]
+    return sorted(out)
+
+
+def decontaminate(rows: Rows, items: Rows, window: int = 10) -> list[tuple]:
+    """(doc_id, words, hit words, items with a hit as text) per row."""
+
+    def plain(text):
+        lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lowered)
+
+    owners = {}
+    for key, text in items:
+        w = plain(text)
+        size = min(window, len(w))
+        for i in range(len(w) - size + 1 if w else 0):
+            owners.setdefault(tuple(w[i : i + size]), set()).add(key)
+    out = []
+    for key, text in rows:
+        w, hit, met = plain(text), set(), set()
+        for size in {len(x) for x in owners}:
+            for i in range(len(w) - size + 1):
+                found = owners.get(tuple(w[i : i + size]))
+                if found:
+                    hit.update(range(i, i + size))
+                    met |= found
+        names = ",".join(sorted(str(x) for x in met if x is not None))
+        out.append((key, len(w), len(hit), names))
+    return out
+
+
+def alignment(tokens: list[tuple]) -> list[tuple]:
+    """(a, b) lists of (id, bytes) a text to its counts and groups, offset by offset."""
+    aligned, counts = [], Counter()
+    for a, b in tokens:
+        spans = []
+        for side in (a, b):
+            at, ranges = 0, []
+            for key, raw in side:
+                ranges.append((key, at, at + len(raw)))
+                at += len(raw)
+            spans.append(ranges)
+        links = [(x, y) for x, s, e in spans[0] for y, t, f in spans[1] if s < f and t < e]
+        cuts = sorted({e for _, _, e in spans[0]} & {e for _, _, e in spans[1]})
+        groups, low = [], 0
+        for high in cuts:
+            sides = [",".join(str(k) for k, s, e in r if low <= s and e <= high) for r in spans]
+            groups.append("|".join(sides))
+            low = high
+        counts.update(links)
+        aligned.append((len(a), len(b), len(groups), links, ";".join(groups)))
+    best = Counter()
+    for (_, y), n in counts.items():
+        best[y] = max(best[y], n)
+    out = []
+    for n_a, n_b, n_groups, links, groups in aligned:
+        n_best = sum(counts[x] == best[x[1]] for x in links)
+        sha = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
+        out.append((n_a, n_b, n_groups, len(links), n_best, sum(counts[x] for x in links), sha))
+    return out

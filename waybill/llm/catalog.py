@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from waybill.llm import mixing
+from waybill.llm import decontamination, mixing, negatives
+from waybill.llm.alignment import op11_alignment
+from waybill.llm.decontamination import op13_decontamination
 from waybill.llm.language import op10_language
 from waybill.llm.lm import op7_lm
 from waybill.llm.mixing import op6_mixing
+from waybill.llm.negatives import op12_negatives
 from waybill.llm.neighbours import op4_neighbours
 from waybill.llm.packing import op9_packing
 from waybill.llm.quality import op1_quality
@@ -32,9 +35,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring": op8_substring,
         "op9_packing": op9_packing,
         "op10_language": op10_language,
+        "op11_alignment": op11_alignment,
+        "op12_negatives": op12_negatives,
+        "op13_decontamination": op13_decontamination,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mixing": mixing.OP6_SQL}
+    return {
+        "op6_mixing": mixing.OP6_SQL,
+        "op12_negatives": negatives.OP12_SQL,
+        "op13_decontamination": decontamination.OP13_SQL,
+    }
