@@ -103,7 +103,7 @@ def test_alignment_of_documents(spark):
 
 def test_alignment_does_not_depend_on_its_memory(spark, monkeypatch):
     files = tuple(map(public_tokenizers.path, (*alignment.VOCABULARY, alignment.PIECES)))
-    texts = [t.encode() for _, t in TEXTS if t and "\u2581" not in t]
+    texts = [t for _, t in TEXTS if t and "\u2581" not in t]
 
     def all_windows():
         both = alignment.Aligner(*files)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from array import array
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -14,12 +15,14 @@ from pyspark.sql import Window as SqlWindow
 from pyspark.sql import functions as F
 
 from waybill.llm.common import per_batch, values
+from waybill.llm.packing import _PLAIN as PLAIN
 from waybill.llm.packing import VOCABULARY, Encoder
 from waybill.sources.sinks import scratch_folder, staged
 
 PIECES = "piece_bpe_32k.model"
-#: Aligned windows a worker remembers, and the most ids that one of them may have.
-MEMO, REMEMBERED = 200_000, 64
+#: Windows after which a worker sets a new memory up and keeps the last one beside it, and the
+#: most ids that a remembered window has.
+MEMO, REMEMBERED = 120_000, 64
 _MARK = "▁"
 #: Groups as text, their number, and the links as 64-bit numbers.
 Window = tuple[str, int, bytes]
@@ -44,8 +47,8 @@ class Side:
         self.lengths = np.array(self.sizes, np.int64)
         self.spaced = np.array([t[:1] == b" " for t in tokens])
 
-    def spells(self, ids: list[int], text: bytes) -> bool:
-        return b"".join(map(self.bytes.__getitem__, ids)) == text
+    def spell(self, ids: Iterable[int]) -> bytes:
+        return b"".join(map(self.bytes.__getitem__, ids))
 
 
 def align(a: list[int], b: list[int], a_side: Side, b_side: Side) -> Window:
@@ -95,7 +98,9 @@ class Aligner:
         self.a = Side([bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t in tokens])
         self.model = sentencepiece.SentencePieceProcessor(model_file=pieces)
         self.b = Side([self._piece(i) for i in range(self.model.get_piece_size())])
+        # Windows met lately, and those met before: the ones that come back stay.
         self.memo: dict[bytes, Window] = {}
+        self.earlier: dict[bytes, Window] = {}
 
     def _piece(self, i: int) -> bytes:
         piece = self.model.id_to_piece(i)
@@ -103,38 +108,52 @@ class Aligner:
             return bytes([int(piece[3:5], 16)])
         return piece.replace(_MARK, " ").encode()
 
-    def encode(self, text: bytes) -> tuple[list[int], list[int]] | None:
-        """Both sides' ids, or nothing where either does not spell space + text."""
-        a = np.frombuffer(self.encoder.encode(" " + text.decode()), np.int32).tolist()
-        b = self.model.encode(text.decode(), num_threads=1)
-        return (a, b) if self.a.spells(a, b" " + text) and self.b.spells(b, b" " + text) else None
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        """All tokens of space + text on both sides, or nothing where either does not spell it.
 
-    def windows(self, a: list[int], b: list[int]) -> list[Window]:
+        Plain texts are encoded from the ranks, which are faster and equal the tokenizer there.
+        """
+        spaced = " " + text
+        whole = self.encoder.short if PLAIN.fullmatch(text) else self._whole
+        a, b, said = whole(spaced), self.model.encode(text, num_threads=1), spaced.encode()
+        if self.a.spell(a) != said or self.b.spell(b) != said:
+            return None
+        return np.array(a, np.int32), np.array(b, np.int32)
+
+    def _whole(self, text: str) -> list[int]:
+        return self.encoder.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def windows(self, a: np.ndarray, b: np.ndarray) -> list[Window]:
         """The aligned windows between anchors: shared ends before a token of either side
         that begins with a space, and the end of the text."""
-        of_a, of_b = np.array(a, np.int32), np.array(b, np.int32)
-        ends_a, ends_b = np.cumsum(self.a.lengths[of_a]), np.cumsum(self.b.lengths[of_b])
+        ends_a, ends_b = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])
         at = np.searchsorted(ends_b, ends_a)
         anchored = ends_b[at] == ends_a
-        anchored[:-1] &= self.a.spaced[of_a[1:]]
-        anchored &= self.b.spaced[of_b[np.minimum(at + 1, len(b) - 1)]]
+        anchored[:-1] &= self.a.spaced[a[1:]]
+        anchored &= self.b.spaced[b[np.minimum(at + 1, len(b) - 1)]]
         anchored[-1] = True
-        cuts_a = np.flatnonzero(anchored)
-        raw_a, raw_b, memo = of_a.tobytes(), (of_b + _OTHER).tobytes(), self.memo
-        found, from_a, from_b = [], 0, 0
-        for to_a, to_b in zip((cuts_a + 1).tolist(), (at[cuts_a] + 1).tolist()):
-            key = raw_a[from_a * 4 : to_a * 4] + raw_b[from_b * 4 : to_b * 4]
-            window = memo.get(key)
-            if window is None:
-                window = align(a[from_a:to_a], b[from_b:to_b], self.a, self.b)
-                if len(key) <= REMEMBERED * 4:
-                    if len(memo) >= MEMO:
-                        memo.clear()
-                    memo[key] = window
-            found.append(window)
-            from_a, from_b = to_a, to_b
+        cuts = np.flatnonzero(anchored)
+        raw_a, raw_b = a.tobytes(), (b + _OTHER).tobytes()
+        to_a, to_b = ((cuts + 1) * 4).tolist(), ((at[cuts] + 1) * 4).tolist()
+        places = list(zip([0, *to_a], to_a, [0, *to_b], to_b))
+        keys = [raw_a[i:j] + raw_b[k:m] for i, j, k, m in places]
+        found = [*map(self.memo.get, keys)]
+        if None in found:
+            for n, window in enumerate(found):
+                if window is None:
+                    i, j, k, m = places[n]
+                    found[n] = self._recalled(keys[n], a[i // 4 : j // 4], b[k // 4 : m // 4])
+            if len(self.memo) >= MEMO:
+                self.memo, self.earlier = {}, self.memo
         return found
 
+    def _recalled(self, key: bytes, a: np.ndarray, b: np.ndarray) -> Window:
+        """A window that was not met lately."""
+        window = self.earlier.get(key) or align(a.tolist(), b.tolist(), self.a, self.b)
+        if len(key) <= REMEMBERED * 4:
+            self.memo[key] = window
+        return window
+
 
 @lru_cache(maxsize=1)
 def aligner(whole: str, ranks: str, pieces: str) -> Aligner:
@@ -148,7 +167,7 @@ def aligned(docs: DataFrame, *, vocabularies: tuple[str, str, str] | None = None
     links hold each. Rows are told apart by nothing but their text: repeated or null ids get a
     row each. Null and empty texts, and texts that either tokenizer does not spell back, have
     no tokens: zeros, no pairs and an empty hash. A text is one sequence at any length; only
-    its windows are remembered, at most ``MEMO`` of up to ``REMEMBERED`` ids. ``vocabularies``
+    its windows are remembered, about twice ``MEMO`` of up to ``REMEMBERED`` ids. ``vocabularies``
     names the byte-level tokenizer, its ranks and the piece model, at one place on all executors.
     """
     files = vocabularies or tuple(map(public_tokenizers.path, (*VOCABULARY, PIECES)))
@@ -157,7 +176,7 @@ def aligned(docs: DataFrame, *, vocabularies: tuple[str, str, str] | None = None
     def run(batch):
         both = aligner(*files)
         for key, raw in zip(batch.column("doc_id").to_pylist(), values(batch), strict=True):
-            ids = both.encode(raw) if raw else None
+            ids = both.encode(raw.decode()) if raw else None
             if ids is None:
                 yield (key, *nothing, *(("",) if with_groups else ()))
                 continue
@@ -195,9 +214,8 @@ def alignment(docs: DataFrame, *, vocabularies: tuple[str, str, str] | None = No
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) per row of ``docs``.
 
     Texts are tokenised and aligned once, in place; rows send on only their distinct pairs, whose
-    corpus-wide counts are summed before the shuffle. The written table of counts is joined back
-    by whatever way its size allows: broadcast while it is small, else merged, with hot pairs split
-    by adaptive execution. See ``aligned`` for nulls, blanks and repeated ids; ties for the
+    corpus-wide counts are summed before the shuffle. Counts, which grow with the corpus, come back
+    by a shuffled join at every size, whose hot pairs adaptive execution splits. See ``aligned`` for nulls, blanks and repeated ids; ties for the
     highest count all count as best; an empty table gives no rows.
     """
     scratch = scratch or scratch_folder(docs.sparkSession)
@@ -206,7 +224,7 @@ def alignment(docs: DataFrame, *, vocabularies: tuple[str, str, str] | None = No
     each = F.explode(F.arrays_zip("pairs", "times")).alias("link")
     links = rows.select("row", each).select("row", F.col("link.pairs").alias("pair"), F.col("link.times").alias("times"))
     counts = staged(pair_counts(links), scratch, "pairs")
-    sums = links.join(counts, "pair").groupBy("row").agg(
+    sums = links.join(counts.hint("shuffle_hash"), "pair").groupBy("row").agg(
         F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"),
         F.sum(F.col("times") * F.col("n")).alias("count_sum"),
     )
