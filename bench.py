@@ -52,7 +52,6 @@ def main() -> None:
             orders.trips(spark, folder),
             orders.zones(spark, folder),
             out,
-            stage_input=True,
         )
         return round(time.perf_counter() - begun, 3)
 

@@ -398,8 +398,18 @@ def oracle_sql() -> dict[str, str]:
             f" AS status FROM duckdb_columns() WHERE table_name = '{t}'"
             for t in _TABLES
         ),
-        "latest_month": (
-            "SELECT strftime(TIMESTAMP '2001-01-01' - INTERVAL 1 DAY, '%Y-%m') AS month"
+        # Of the months that trips began in, the one whose last trip ended last.
+        "latest_month": _sql(
+            "SELECT strftime(pickup_datetime, '%Y-%m') AS month FROM fct"
+            " ORDER BY dropoff_datetime DESC, month DESC LIMIT 1"
+        ),
+        "memory_gate": (
+            "SELECT COUNT(*) AS total_records,"
+            " SUM(CAST(id = 1 OR id - 1 > 85 / 4.0 OR id > 23 AS BIGINT))::BIGINT AS quarantined_records,"
+            " SUM(CAST(id = 1 AS BIGINT))::BIGINT AS distance_under_0_05mi,"
+            " SUM(CAST(id - 1 > 85 / 4.0 AS BIGINT))::BIGINT AS speed_over_85mph,"
+            " SUM(CAST(id > 23 AS BIGINT))::BIGINT AS unknown_or_unmapped_zone"
+            " FROM (SELECT n_nationkey + 1 AS id FROM nation)"
         ),
         "raw_profile": _sql(_PROFILE_SQL),
         "profile_long": _sql(
@@ -438,7 +448,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "fct_full": _sql("SELECT * FROM fct"),
         "fct_surrogate_key_check": _sql(
-            "SELECT COUNT(*) AS fact_rows, COUNT(DISTINCT trip_id) AS trip_ids"
+            "SELECT COUNT(*) AS fact_rows, COUNT(DISTINCT trip_id) AS trip_ids,"
+            " MIN(trip_id) AS first_id, MAX(trip_id) AS last_id"
             " FROM (SELECT row_number() OVER () AS trip_id FROM fct)"
         ),
         "build_counts": _sql(

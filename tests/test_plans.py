@@ -8,7 +8,8 @@ import pytest
 
 from tests.conftest import trip
 from waybill.operators import dimensions, gate
-from waybill.operators.fact import trip_fact, trip_measures
+from waybill.operators.cells import value_cells
+from waybill.operators.fact import trip_fact, trip_measures, with_trip_id
 from waybill.plans import catalog, kpis
 from waybill.sources import orders, manifest, readers
 
@@ -43,7 +44,7 @@ def test_columns_are_pruned(trip_files, january):
     rollup = explained(gate.vendor_rollup(trip_files, january))
     read = re.search(r"ReadSchema: struct<(.*)>", rollup).group(1)
     assert read.count(":") == 8 and "tip_amount" not in read
-    summary = explained(kpis.executive_summary(trip_measures(trip_files, january)))
+    summary = explained(value_cells(trip_measures(trip_files, january), [], kpis.SPEED, kpis.EXECUTIVE))
     assert "extra" not in re.search(r"ReadSchema: struct<(.*)>", summary).group(1)
 
 
@@ -62,15 +63,42 @@ def test_dimensions_join_without_hint_or_shuffle(spark, trip_files, january):
     assert "BroadcastHashJoin LeftOuter" in plan
 
 
-def test_quantiles_start_from_cells(trip_files, make_zones, january):
-    """The percentile never aggregates rows: a hash aggregate and its exchange come first."""
+def test_quantiles_keep_no_values(spark, trip_files, make_zones, january, tmp_path):
+    """Rows become cells by a hash aggregate; no aggregate collects what grows with the values,
+    and only buckets and the cells of a few of them are ordered."""
+    cells = value_cells(trip_measures(trip_files, january), [], kpis.SPEED, kpis.EXECUTIVE)
+    assert "ObjectHashAggregate" not in explained(cells)
     plan = explained(kpis.executive_summary(trip_measures(trip_files, january)))
-    tree = plan[: plan.index("(1)")] + plan
-    order = [w for w in re.findall(r"(ObjectHashAggregate|HashAggregate|Exchange)\b \(\d+\)", tree)]
-    assert order[:6] == [
-        "ObjectHashAggregate", "Exchange", "ObjectHashAggregate", "HashAggregate", "Exchange",
-        "HashAggregate",
-    ]
+    for word in ("ObjectHashAggregate", "percentile", "collect_", "NestedLoop"):
+        assert word not in plan
+
+
+def test_one_scan_of_the_fact_feeds_every_table(spark, trip_files, make_zones, january, tmp_path, monkeypatch):
+    path = str(tmp_path / "zones")
+    make_zones().write.parquet(path)
+    dim = dimensions.zones(spark.read.parquet(path), january)
+    fact = trip_fact(trip_files, dim, january)
+    seen = []
+    grouped = type(fact).groupingSets
+    monkeypatch.setattr(type(fact), "groupingSets", lambda self, *a: seen.append(self) or grouped(self, *a))
+    parts = kpis.shared_cells(fact, dim, january, str(tmp_path / "scratch"))
+    assert set(parts) == {"speed", "revenue", "corridor", "pairs"} and len(seen) == 1
+    files = {f for part in parts.values() for f in part.inputFiles()}
+    assert all("/scratch/cells/" in f for f in files)
+    for table in (kpis.speed_index_of(parts["speed"]), kpis.executive_summary_of(parts["corridor"])):
+        assert "/scratch/cells" in explained(table) and "files" not in re.findall(r"Location: .*", explained(table))
+
+
+def test_dense_ids_need_no_single_task(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(1000).selectExpr("id * 7 % 1000 AS x").repartition(5).write.parquet(path)
+    spark.range(0).selectExpr("id AS x").write.mode("append").parquet(path)
+    rows = with_trip_id(spark.read.parquet(path))
+    plan = explained(rows)
+    assert "Window" not in plan and "SinglePartition" not in plan and "LocalTableScan" in plan
+    found = [(r["trip_id"], r["x"]) for r in rows.collect()]
+    assert sorted(i for i, _ in found) == list(range(1, 1001)) and {x for _, x in found} == set(range(1000))
+    assert sorted(found) == sorted((r["trip_id"], r["x"]) for r in with_trip_id(spark.read.parquet(path)).collect())
 
 
 @pytest.mark.parametrize(

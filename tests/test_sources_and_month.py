@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import random
 import subprocess
@@ -14,10 +15,12 @@ import pytest
 from pyspark import cloudpickle
 
 from tests.conftest import trip
+from waybill.operators import gate
+from waybill.plans import kpis
 from waybill.plans.monthly import _together, run_month
 from waybill.plans.report import month_report
 from waybill.profile import POLICY, Profile
-from waybill.sources import manifest, readers, sinks
+from waybill.sources import manifest, publish, readers, sinks
 
 LABEL = "2026_01"
 
@@ -134,13 +137,58 @@ def test_missing_outputs(spark, tmp_path):
         readers.read_audit(spark, out, LABEL)
 
 
-def test_latest_month_goes_by_time_written(spark, tmp_path):
-    out, table = str(tmp_path), spark.range(1)
-    for age, label in enumerate(("2026_02", "2026_01", "2025_12")):
-        path = sinks.write_kpi(table, out, readers.EXECUTIVE, label)
-        for part in os.listdir(path):
-            os.utime(f"{path}/{part}", (1_700_000_000 - age, 1_700_000_000 - age))
+def test_latest_month_goes_by_the_ledger(spark, tmp_path):
+    out = str(tmp_path)
+
+    def finished(label, run, when):
+        publish.append(spark.sql(
+            f"SELECT '{label}' AS label, '{run}' AS run, TIMESTAMP '{when}' AS finished,"
+            f" 'x/{readers.EXECUTIVE}_{label}.csv' AS summary"), out)
+
+    finished("2026_02", "b", "2026-04-01 10:00:00")
+    finished("2026_01", "a", "2026-04-01 09:00:00")
+    assert readers.latest_month(spark, out, "1970-01").first()["month"] == "2026-02"
+    finished("2025_12", "c", "2026-04-01 10:00:00")
     assert readers.latest_month(spark, out, "1970-01").first()["month"] == "2026-02"
+    finished("2026_01", "d", "2026-04-01 11:00:00")
+    assert readers.latest_month(spark, out, "1970-01").first()["month"] == "2026-01"
+    finished("2026_01", "c", "2026-04-01 11:00:00")
+    assert publish.committed(spark, out, "2026_01").run == "d"
+    assert publish.current(publish.ledger(spark, out)).count() == 3
+
+
+def test_published_files_are_files(spark, tmp_path):
+    table = spark.sql("SELECT 'a, b' AS x, 1.5D AS y, CAST(NULL AS STRING) AS z")
+    run = publish.begin(spark, str(tmp_path), LABEL)
+    path = run.kpi(table, readers.SPEED)
+    assert open(path).read() == 'x,y,z\n"a, b",1.5,\n'
+    assert open(sinks.write_csv(table.limit(0), path)).read() == "x,y,z\n"
+    assert json.loads(open(run.report(table, readers.AUDIT)).read()) == {"x": "a, b", "y": 1.5}
+    assert sorted(f for f in os.listdir(f"{run.folder}/outputs") if not f.startswith(".")) == [
+        f"{readers.SPEED}_{LABEL}.csv", f"{readers.AUDIT}_{LABEL}.json"]
+
+
+def test_a_run_that_fails_leaves_the_month(spark, make_trips, make_zones, tmp_path, january, monkeypatch):
+    out, trips = str(tmp_path / "out"), make_trips(*_month_of_trips(1, 200, 4))
+    done = run_month(january, trips, make_zones(), out)
+    before = _tables(done), publish.read_table(spark, out, "fct_trips", LABEL).count()
+    scratch = os.listdir(spark.conf.get("spark.checkpoint.dir"))
+
+    def broken(*_):
+        raise RuntimeError("a lost cluster")
+
+    for place, name in ((kpis, "executive_summary_of"), (gate, "rollup_of"), (gate, "audit_report")):
+        with monkeypatch.context() as patched, pytest.raises(RuntimeError, match="lost"):
+            patched.setattr(place, name, broken)
+            run_month(january, trips.limit(50), make_zones(), out)
+        assert publish.committed(spark, out, LABEL).folder == done.folder
+        assert (_tables(done), publish.read_table(spark, out, "fct_trips", LABEL).count()) == before
+        assert readers.read_audit(spark, out, LABEL).first()["total_records"] == 200
+    assert os.listdir(spark.conf.get("spark.checkpoint.dir")) == scratch
+    again = run_month(january, trips.limit(50), make_zones(), out)
+    assert readers.read_audit(spark, out, LABEL).first()["total_records"] == 50
+    assert publish.expire(spark, out, LABEL) == 4
+    assert os.listdir(f"{out}/runs/{LABEL}") == [os.path.basename(again.folder)]
 
 
 def test_scratch_is_the_named_shared_folder(spark):
@@ -168,22 +216,25 @@ def _month_of_trips(month: int, n: int, seed: int) -> list[dict]:
     return rows
 
 
-def _tables(spark, out: str, label: str) -> dict:
-    read = {}
-    for name in (readers.SPEED, readers.REVENUE, readers.CORRIDORS, readers.TRUST, readers.EXECUTIVE):
-        frame = spark.read.option("header", True).csv(f"{out}/outputs/{name}_{label}.csv")
-        read[name] = [tuple(r) for r in frame.collect()]
-    return read
+def _tables(done) -> dict:
+    return {name: open(path).read() for name, path in done.kpis.items()}
 
 
 def test_a_rerun_replaces_whatever_is_left(spark, make_trips, tmp_path):
-    trips, path = make_trips(trip(), trip()), str(tmp_path / "t")
-    sinks.write_batch(trips, path, LABEL)
-    sinks.write_batch(trips.limit(1), path, "2026_02")
+    trips, out = make_trips(trip(), trip()), str(tmp_path)
+
+    def write(rows, label):
+        run = publish.begin(spark, out, label)
+        written = run.table(rows, "t", rebalance=True)
+        run.commit()
+        return written
+
+    write(trips, LABEL)
+    write(trips.limit(1), "2026_02")
     for rows in (trips.limit(0), trips, trips.limit(1)):
-        written = sinks.write_batch(rows, path, LABEL, rebalance=True)
-        assert written.count() == sinks.read_batch(spark, path, LABEL).count() == rows.count()
-    assert sinks.read_batch(spark, path, "2026_02").count() == 1
+        written = write(rows, LABEL)
+        assert written.count() == publish.read_table(spark, out, "t", LABEL).count() == rows.count()
+    assert publish.read_table(spark, out, "t", "2026_02").count() == 1
 
 
 def test_one_empty_file_is_refused(make_trips, tmp_path):
@@ -200,23 +251,23 @@ def test_two_months_and_a_rerun(spark, make_trips, make_zones, tmp_path):
     first = make_trips(*_month_of_trips(1, 400, 1), trip(tpep_pickup_datetime=datetime(2025, 12, 31)))
     second = make_trips(*_month_of_trips(2, 300, 2))
     done = run_month(january, first, zones, out)
-    before = _tables(spark, out, LABEL)
-    run_month(february, second, zones, out, stage_input=True)
-    run_month(january, first, zones, out)
+    before = _tables(done)
+    run_month(february, second, zones, out)
+    done = run_month(january, first, zones, out, one_scan=True)
 
-    assert _tables(spark, out, LABEL) == before
+    assert _tables(done) == before
     audit = done.audit.first()
     assert audit["total_records"] == 401 and audit["out_of_period"] == 1
     assert audit["clean_records"] + audit["quarantined_records"] == 401
 
-    fact_path, held_path = f"{out}/processed/fct_trips", f"{out}/quarantine/quarantined_trips"
-    fact = sinks.read_batch(spark, fact_path, LABEL)
+    fact = publish.read_table(spark, out, "fct_trips", LABEL)
     assert len(fact.columns) == 31 and fact.count() == audit["clean_records"]
-    assert fact.select("trip_id").distinct().count() == audit["clean_records"]
-    assert sinks.read_batch(spark, fact_path, "2026_02").count() > 0
-    held = sinks.read_batch(spark, held_path, LABEL)
+    ids = sorted(r["trip_id"] for r in fact.select("trip_id").collect())
+    assert ids == list(range(1, audit["clean_records"] + 1))
+    assert publish.read_table(spark, out, "fct_trips", "2026_02").count() > 0
+    held = publish.read_table(spark, out, "quarantined_trips", LABEL)
     assert held.count() == audit["quarantined_records"] and len(held.columns) == 34
-    files = [f for f in os.listdir(f"{held_path}/batch_month={LABEL}") if f.endswith(".parquet")]
+    files = [f for f in os.listdir(f"{done.folder}/quarantined_trips") if f.endswith(".parquet")]
     assert len(files) == 1
     assert held.filter("total_violations = 0 OR quarantine_reasons = ''").count() == 0
 
@@ -225,7 +276,7 @@ def test_two_months_and_a_rerun(spark, make_trips, make_zones, tmp_path):
     assert report["violations_by_rule"]["out_of_period"] == 1
     assert report["fde_assumptions_and_policy"] == POLICY
     for name, columns in readers.PUBLISHED.items():
-        header = spark.read.option("header", True).csv(f"{out}/outputs/{name}_{LABEL}.csv").columns
+        header = open(done.kpis[name]).readline().strip().split(",")
         assert header == [c.split()[0] for c in columns.split(", ")], name
     series = month_report(spark, out, january, ["Manhattan", "Queens"])
     assert {name for name, frame in series.items() if frame.isEmpty()} == {"top_sources", "top_sinks"}
@@ -237,8 +288,9 @@ def test_two_months_and_a_rerun(spark, make_trips, make_zones, tmp_path):
     assert {os.path.basename(p) for p in done.kpis.values()} == {
         f"{name}_{LABEL}.csv" for name in done.kpis
     }
-    assert sorted(os.listdir(f"{out}/processed")) == [
-        "dim_payment_types", "dim_rate_codes", "dim_vendors", "dim_zones", "fct_trips",
+    assert sorted(os.listdir(done.folder)) == [
+        "dim_payment_types", "dim_rate_codes", "dim_vendors", "dim_zones", "fct_trips", "outputs",
+        "quarantined_trips", "vendor_rollup",
     ]
     assert readers.latest_month(spark, out, "1970-01").first()["month"] == "2026-01"
 

@@ -7,9 +7,12 @@ from datetime import datetime, timedelta
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import trip
+from waybill.functions.numeric import UnitTotal
 from waybill.operators import dimensions, gate
+from waybill.operators.cells import summarise, value_cells
 from waybill.operators.fact import (
     FACT_COLUMNS,
     key_usage,
@@ -18,10 +21,11 @@ from waybill.operators.fact import (
     trip_measures,
     with_trip_id,
 )
-from waybill.operators.flow import BALANCED, DEFICIT, SURPLUS, endpoint_counts, zone_flow
+from waybill.operators.flow import BALANCED, DEFICIT, SURPLUS, endpoint_counts, pair_counts, zone_flow
 from waybill.plans import kpis, profiling, report
 from waybill.profile import FlowLimits
 from waybill.sources.readers import source_counts
+from waybill.sources.sinks import staged
 
 T0 = datetime(2026, 1, 22, 10)
 
@@ -58,7 +62,7 @@ def test_fact_row(star):
         trip(RatecodeID=None, passenger_count=None, congestion_surcharge=None, Airport_fee=None,
              cbd_congestion_fee=None, PULocationID=132, DOLocationID=4, trip_distance=2.555),
     )
-    assert tuple(fact.columns) == FACT_COLUMNS and len(with_trip_id(fact).columns) == 31
+    assert tuple(fact.columns) == FACT_COLUMNS
     row = fact.first()
     assert row["rate_code_id"] == 99 and row["passenger_count"] is None
     assert row["congestion_surcharge"] == row["airport_fee"] == row["cbd_congestion_fee"] == 0.0
@@ -84,9 +88,11 @@ def test_missing_zone_gives_false_not_null(star, make_zones):
     )
 
 
-def test_trip_ids_are_unique_across_tasks(star):
-    fact = with_trip_id(star(*[trip() for _ in range(500)])[2].repartition(7))
-    assert fact.select("trip_id").distinct().count() == 500
+def test_trip_ids_are_dense_across_files(star, tmp_path):
+    written = staged(star(*[trip() for _ in range(500)])[2].repartition(7), str(tmp_path), "fact")
+    fact = with_trip_id(written)
+    assert len(fact.columns) == 31
+    assert sorted(r["trip_id"] for r in fact.select("trip_id").collect()) == list(range(1, 501))
     assert profiling.preview(fact).count() == 5
 
 
@@ -273,7 +279,7 @@ def test_zone_flow(star):
         (10, 6, 0, 6, None, DEFICIT), (30, 0, 4, -4, 0.0, SURPLUS), (20, 4, 6, -2, 0.667, BALANCED),
     ]
     assert zone_flow(dim, fact, FlowLimits(min_volume=9, critical=3)).count() == 1
-    sums = endpoint_counts(fact).selectExpr("sum(pickups) p", "sum(dropoffs) d").first()
+    sums = endpoint_counts(pair_counts(fact)).selectExpr("sum(pickups) p", "sum(dropoffs) d").first()
     assert sums["p"] == sums["d"] == 10
     banded = zone_flow(dim, fact, FlowLimits(min_volume=0, critical=3), ["time_window"])
     assert banded.count() == 3 and "time_window" in banded.columns
@@ -363,3 +369,53 @@ def test_pandas_source(spark, january):
     assert gate.quarantined(spark.createDataFrame(frame).selectExpr(
         *[f"CAST({c} AS TIMESTAMP_NTZ) AS {c}" if c.startswith("tpep") else c for c in frame]
     ), january).count() == 1
+
+
+def test_quantiles_of_unbounded_values(spark, tmp_path):
+    """Values over the whole range of doubles, ties, negatives, NULLs and NaN, as percentile has them."""
+    rng = random.Random(11)
+    rows = [("wide", rng.choice([-1, 1]) * 10.0 ** rng.uniform(-300, 300)) for _ in range(4000)]
+    rows += [("near", 1000 + rng.randint(0, 10**9) / 10**9) for _ in range(4000)]
+    rows += [("ties", float(rng.randint(0, 3))) for _ in range(999)] + [("one", 5.0), ("two", 1.0), ("two", 2.0)]
+    rows += [("none", None)] * 3 + [("some", None), ("some", 7.0), (None, 1.0), (None, 4.0)]
+    rows += [("odd", v) for v in (float("nan"), float("inf"), float("-inf"), 0.0, -0.0, 1.0)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(7)
+    points = {"low": 0.1, "mid": 0.5, "high": 0.9, "first": 0.0, "last": 1.0}
+    total = UnitTotal("sums", "IF(abs(v) < 1e6, v, 0D)")
+    written = staged(value_cells(df, ["g"], "v", [total]), str(tmp_path), "cells")
+    found = {r["g"]: tuple(r[c] for c in ("n", *points)) for r in summarise(written, ["g"], "v", [total], points).collect()}
+    ps = ", ".join(f"{p}D" for p in points.values())
+    want = df.groupBy("g").agg(F.expr("count(*) AS n"), F.expr(f"percentile(v, array({ps})) AS ps")).collect()
+    assert {k: repr(v) for k, v in found.items()} == {r["g"]: repr((r["n"], *(r["ps"] or [None] * 5))) for r in want}
+    total_of = summarise(written, [], "v", [total], points).collect()
+    assert len(total_of) == 1 and total_of[0]["n"] == len(rows)
+    assert summarise(written.limit(0), ["g"], "v", [total], points).count() == 0
+
+
+def test_rates_beyond_any_threshold(make_trips, make_zones, january, spark):
+    """Revenue rates without a bound: exact medians all the same."""
+    loose = replace(january, thresholds=replace(january.thresholds, max_total_amount=1e12))
+    rng = random.Random(3)
+    amounts = [rng.uniform(1, 10) * 10 ** rng.randint(0, 11) for _ in range(300)]
+    dim = dimensions.zones(make_zones(), loose)
+    fact = trip_fact(make_trips(*[trip(total_amount=a) for a in amounts]), dim, loose)
+    rates = sorted(r["revenue_per_minute"] for r in fact.collect())
+    row = kpis.revenue_productivity(fact, dim).first()
+    assert row["trip_count"] == 300 and row["median_revenue_per_active_min"] == pytest.approx((rates[149] + rates[150]) / 2, abs=0.0051)
+
+
+def test_shared_cells_give_the_same_tables(make_trips, make_zones, january, tmp_path):
+    rows = [trip(PULocationID=p, DOLocationID=d, trip_distance=float(x), tpep_dropoff_datetime=T0 + timedelta(minutes=5 + x))
+            for x, (p, d) in enumerate([(1, 2), (2, 132), (3, 138), (138, 1), (60, 61), (60, 60), (None, 4), (4, None)] * 3, 1)]
+    dim = dimensions.zones(make_zones(), january).filter("location_id <> 61")
+    fact = trip_fact(make_trips(*rows), dim, january)
+    cells = kpis.shared_cells(fact, dim, january, str(tmp_path))
+    pairs = [
+        (kpis.speed_index_of(cells["speed"]), kpis.speed_index(fact, dim)),
+        (kpis.revenue_productivity_of(cells["revenue"]), kpis.revenue_productivity(fact, dim)),
+        (kpis.airport_corridors_of(cells["corridor"]), kpis.airport_corridors(fact, january)),
+        (kpis.executive_summary_of(cells["corridor"]), kpis.executive_summary(fact)),
+        (kpis.zone_flow_imbalance_of(cells["pairs"], dim, january), kpis.zone_flow_imbalance(fact, dim, january)),
+    ]
+    for shared, alone in pairs:
+        assert shared.collect() == alone.collect()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +40,7 @@ def trip_measures(trips: DataFrame, profile: Profile) -> DataFrame:
         f"{ieee_ratio('total_amount', '(duration_seconds / 60D)')} AS raw_rate",
     )
     return rated.selectExpr(
+        *(c for c in trips.columns if c == "trip_id"),
         "VendorID AS vendor_id",
         f"coalesce(RatecodeID, {UNASSIGNED_RATE_CODE}) AS rate_code_id",
         "payment_type AS payment_type_id",
@@ -70,7 +74,7 @@ def trip_measures(trips: DataFrame, profile: Profile) -> DataFrame:
 
 
 def trip_fact(trips: DataFrame, dim_zones: DataFrame, profile: Profile) -> DataFrame:
-    """The fact without its surrogate key: trip measures plus the zone flags.
+    """The fact: trip measures plus the zone flags, and the key of trips that have one.
 
     The zone dimension is joined twice (pickup, dropoff) and carries no broadcast
     hint: it is broadcast when its known size is under the session threshold, and
@@ -93,18 +97,27 @@ def trip_fact(trips: DataFrame, dim_zones: DataFrame, profile: Profile) -> DataF
             "coalesce(pu_borough = do_borough, FALSE) AS is_intra_borough",
             "coalesce(pu_cbd OR do_cbd, FALSE) AS is_cbd_involved",
         )
-        .select(*FACT_COLUMNS)
+        .select(*(c for c in trips.columns if c == "trip_id"), *FACT_COLUMNS)
     )
 
 
-def with_trip_id(fact: DataFrame) -> DataFrame:
-    """Add a unique, not dense, key.
+def with_trip_id(written: DataFrame) -> DataFrame:
+    """Rows read from written Parquet files, with ``trip_id`` from 1 to their number.
 
-    A running number over all rows would put them through one task. The id depends
-    on the task layout, so it is assigned in the frame being written and read back
-    from there.
+    Two passes: the rows of each file are counted, which reads no column, and a row's id is its
+    place in its file plus the rows of the files before. Only a number a file reaches the driver
+    and comes back, no row is moved, and a task that runs again finds the same places.
     """
-    return fact.selectExpr("monotonically_increasing_id() AS trip_id", "*")
+    rows = written.selectExpr("*", "_metadata.file_path AS id_file", "_metadata.row_index AS id_place")
+    counts = written.groupBy("_metadata.file_path").agg(F.expr("count(*) AS n")).collect()
+    before = list(accumulate((r["n"] for r in counts), initial=1))[: len(counts)]
+    files = pa.array([r["file_path"] for r in counts], pa.string())
+    # A local relation, whose size the planner knows.
+    starts = written.sparkSession.createDataFrame(
+        pa.table({"start_file": files, "id_start": pa.array(before, pa.int64())})
+    )
+    numbered = rows.join(starts, F.expr("id_file = start_file"))
+    return numbered.selectExpr("id_start + id_place AS trip_id", *written.columns)
 
 
 def orphan_keys(

@@ -17,15 +17,13 @@ SURPLUS = "Critical Surplus (Fleet Sink)"
 BALANCED = "Balanced Flow"
 
 
-def endpoint_counts(fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Pickups and dropoffs per zone in one scan.
+def pair_counts(fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Trips per origin-destination pair."""
+    return fact.groupBy("pickup_location_id", "dropoff_location_id", *by).agg(F.expr("count(*) AS n"))
 
-    Rows are counted per origin-destination pair first; only those few counts are
-    unfolded into their two ends.
-    """
-    pairs = fact.groupBy("pickup_location_id", "dropoff_location_id", *by).agg(
-        F.expr("count(*) AS n")
-    )
+
+def endpoint_counts(pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Pickups and dropoffs per zone: the few pair counts unfolded into their two ends."""
     ends = pairs.selectExpr(
         *by,
         "stack(2, pickup_location_id, n, 0L, dropoff_location_id, 0L, n)"
@@ -39,11 +37,17 @@ def endpoint_counts(fact: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def zone_flow(
     dim_zones: DataFrame, fact: DataFrame, limits: FlowLimits, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Zones busier than the volume limit, largest imbalance first.
+    """Zones busier than the volume limit, largest imbalance first, in one scan of the fact.
 
     With ``by`` the grain is (zone, by) and only combinations with trips appear.
     """
-    ends = endpoint_counts(fact, by)
+    return zone_flow_of(dim_zones, pair_counts(fact, by), limits, by)
+
+
+def zone_flow_of(
+    dim_zones: DataFrame, pairs: DataFrame, limits: FlowLimits, by: Sequence[str] = ()
+) -> DataFrame:
+    ends = endpoint_counts(pairs, by)
     counted = dim_zones.join(ends, "location_id", "inner" if by else "left").selectExpr(
         "location_id",
         "borough",

@@ -66,6 +66,14 @@ def quarantined(trips: DataFrame, profile: Profile) -> DataFrame:
     return tag(trips.filter(f"NOT ({passing_condition(profile)})"), profile)
 
 
+CLEAN, HELD = "clean", "quarantined"
+
+
+def judged(trips: DataFrame, profile: Profile) -> DataFrame:
+    """Raw rows with their ``verdict``, clean or quarantined: both sides of the split at once."""
+    return trips.selectExpr("*", f"IF({passing_condition(profile)}, '{CLEAN}', '{HELD}') AS verdict")
+
+
 def vendor_rollup(trips: DataFrame, profile: Profile) -> DataFrame:
     """Counts per vendor id over all rows: the base of the audit and of vendor trust.
 
@@ -85,6 +93,20 @@ def vendor_rollup(trips: DataFrame, profile: Profile) -> DataFrame:
     return counted.groupBy("VendorID").agg(*map(F.expr, counts))
 
 
+def rollup_of(held: DataFrame, clean: DataFrame, profile: Profile) -> DataFrame:
+    """The same from both written sides: flags of the quarantined rows, which are tagged, and
+    no more than the number of the clean ones, which have none."""
+    flags = [r.flag for r in _rules(profile)]
+    n = F.expr("count(*) AS records")
+    broken = held.groupBy("VendorID").agg(n, *[F.expr(f"sum({f}) AS {f}") for f in flags])
+    whole = clean.groupBy("VendorID").agg(n)
+    sides = broken.selectExpr("VendorID", "records", "0L AS clean", "records AS quarantined", *flags).unionByName(
+        whole.selectExpr("VendorID", "records", "records AS clean", "0L AS quarantined", *[f"0L AS {f}" for f in flags])
+    )
+    sums = ("records", "clean", "quarantined", *flags)
+    return sides.groupBy("VendorID").agg(*[F.expr(f"sum({c}) AS {c}") for c in sums])
+
+
 def audit(rollup: DataFrame, profile: Profile) -> DataFrame:
     """One wide row: totals, rates and a count per rule. Rates of no rows are NULL."""
     keys = {r.flag: r.audit_key for r in _rules(profile)}

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import timedelta
 from functools import cached_property, reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from waybill.operators import dimensions, fact, flow, gate
 from waybill.operators.rules import DROPOFF, PICKUP, trip_rules
 from waybill.plans import kpis, monthly, profiling, report
 from waybill.profile import FlowLimits, Period, Thresholds
-from waybill.sources import manifest, orders, readers, sinks
+from waybill.sources import manifest, orders, publish, readers, sinks
 
 PROFILE = orders.ORDER_PROFILE
 STRICT = Thresholds(
@@ -105,11 +107,22 @@ class Workbench:
         )
 
     def latest_month(self) -> DataFrame:
+        """A record for each month of the fact, finished when its last trip ended, and one of
+        an earlier attempt at each; the month that the ledger then names."""
         out = sinks.scratch_folder(self.spark)
-        summary = sinks.staged(self.m6, out, "summary")
-        for label in ("1999_01", PROFILE.period.label):
-            sinks.write_kpi(summary, out, readers.EXECUTIVE, label)
-        return readers.latest_month(self.spark, out, "1970-01")
+        months = self.measures.groupBy(F.expr("date_format(pickup_datetime, 'yyyy_MM') AS label")).agg(
+            F.expr("CAST(max(dropoff_datetime) AS TIMESTAMP) AS finished"), F.expr("count(*) AS n")
+        )
+        runs = months.selectExpr("*", "stack(2, 'first', INTERVAL '90' DAY, 'second', INTERVAL '0' DAY) AS (run, age)")
+        publish.append(
+            runs.selectExpr(
+                "label", "run", "finished - age AS finished",
+                f"concat('runs/', run, '/{publish.EXECUTIVE}_', label, '.csv') AS summary",
+                "n AS total_records", "n AS clean_records", "0L AS quarantined_records",
+            ),
+            out,
+        )
+        return publish.latest_month(self.spark, out, "1970-01")
 
     def strict_audit(self) -> DataFrame:
         strict = replace(PROFILE, thresholds=STRICT)
@@ -138,33 +151,47 @@ class Workbench:
         return facts.unionByName(zones)
 
     def trip_id_check(self) -> DataFrame:
-        return fact.with_trip_id(self.fact).agg(
-            F.expr("count(*) AS fact_rows"), F.expr("count(DISTINCT trip_id) AS trip_ids")
+        written = sinks.staged(self.fact, sinks.scratch_folder(self.spark), "fact")
+        return fact.with_trip_id(written).agg(
+            F.expr("count(*) AS fact_rows"),
+            F.expr("count(DISTINCT trip_id) AS trip_ids"),
+            F.expr("min(trip_id) AS first_id"),
+            F.expr("max(trip_id) AS last_id"),
         )
 
+    def attempt(self) -> publish.Attempt:
+        return publish.begin(self.spark, sinks.scratch_folder(self.spark), PROFILE.period.label)
+
     def quarantine_roundtrip(self) -> DataFrame:
-        path, label = sinks.scratch_folder(self.spark) + "/quarantine", PROFILE.period.label
-        return sinks.write_batch(
-            gate.quarantined(self.trips, PROFILE), path, label, rebalance=True
-        )
+        run = self.attempt()
+        run.table(gate.quarantined(self.trips, PROFILE), "quarantined_trips", rebalance=True)
+        run.commit()
+        return publish.read_table(self.spark, run.out, "quarantined_trips", run.label)
 
     def fact_roundtrip(self) -> DataFrame:
-        path, label = sinks.scratch_folder(self.spark) + "/fct_trips", PROFILE.period.label
-        return sinks.write_batch(fact.with_trip_id(self.fact), path, label).drop("trip_id")
+        run = self.attempt()
+        run.table(self.fact, "fct_trips")
+        run.commit()
+        return publish.read_table(self.spark, run.out, "fct_trips", run.label)
 
     def kpi_roundtrip(self) -> DataFrame:
-        out, label = sinks.scratch_folder(self.spark), PROFILE.period.label
-        sinks.write_kpi(self.m1, out, readers.SPEED, label)
-        return readers.read_kpi(self.spark, out, readers.SPEED, label)
+        return self.kpi_published(self.m1, readers.SPEED)
+
+    def kpi_published(self, table: DataFrame, name: str) -> DataFrame:
+        run = self.attempt()
+        run.kpi(table, name)
+        run.commit()
+        return readers.read_kpi(self.spark, run.out, name, run.label)
 
     def audit_roundtrip(self) -> DataFrame:
-        out, label = sinks.scratch_folder(self.spark), PROFILE.period.label
-        sinks.write_report(gate.audit_report(self.audit, PROFILE), out, readers.AUDIT, label)
+        run = self.attempt()
+        run.report(gate.audit_report(self.audit, PROFILE), readers.AUDIT)
+        run.commit()
         maps = {
             "violations_by_rule": [r.audit_key for r in trip_rules(PROFILE)],
             "fde_assumptions_and_policy": list(PROFILE.policy),
         }
-        return readers.read_audit(self.spark, out, label).selectExpr(
+        return readers.read_audit(self.spark, run.out, run.label).selectExpr(
             "total_records",
             "clean_records",
             "clean_rate_pct",
@@ -184,16 +211,22 @@ class Workbench:
         return empty.orphans()
 
     def rerun_replaces(self) -> DataFrame:
-        """Two labels are written, then one of them again with rows that all fail."""
+        """Two labels are published, then one of them again with rows that all fail; a last
+        attempt at the other one is never committed."""
         out = sinks.scratch_folder(self.spark)
         trips = sinks.staged(self.trips, out, "trips")
         none_pass = replace(PROFILE, thresholds=Thresholds(min_distance_miles=1e6))
         tables = {"clean": gate.clean, "quarantine": gate.quarantined}
-        for label, profile in (("kept", PROFILE), ("rerun", PROFILE), ("rerun", none_pass)):
+        for label, profile, ends in (
+            ("kept", PROFILE, True), ("rerun", PROFILE, True), ("rerun", none_pass, True), ("kept", none_pass, False),
+        ):
+            run = publish.begin(self.spark, out, label)
             for name, part in tables.items():
-                sinks.write_batch(part(trips, profile), f"{out}/{name}", label)
+                run.table(part(trips, profile), name)
+            if ends:
+                run.commit()
         counts = [
-            sinks.read_batch(self.spark, f"{out}/{name}", label)
+            publish.read_table(self.spark, out, name, label)
             .agg(F.count("*").alias("row_count"))
             .select(F.lit(label).alias("label"), F.lit(name).alias("table_name"), "row_count")
             for label in ("kept", "rerun")
@@ -234,16 +267,36 @@ class Workbench:
         return readers.read_zones(self.spark, path)
 
     def published_revenue(self) -> DataFrame:
-        out, label = sinks.scratch_folder(self.spark), PROFILE.period.label
-        sinks.write_kpi(self.m2, out, readers.REVENUE, label)
-        return readers.read_kpi(self.spark, out, readers.REVENUE, label)
+        return self.kpi_published(self.m2, readers.REVENUE)
 
     def published(self, series: str) -> DataFrame:
-        out = sinks.scratch_folder(self.spark)
-        monthly.run_month(PROFILE, self.trips, self.zones, out, stage_input=True)
-        return report.month_report(self.spark, out, PROFILE)[series]
+        """A series of the whole period, which is run once a session and folder."""
+        key = self.spark.sparkContext.applicationId, self.folder
+        if key not in _PERIODS:
+            out = sinks.scratch_folder(self.spark)
+            monthly.run_month(PROFILE, self.trips, self.zones, out)
+            _PERIODS[key] = out
+        return report.month_report(self.spark, _PERIODS[key], PROFILE)[series]
+
+    def memory_gate(self) -> DataFrame:
+        """The gate over trips that no file holds: one for each zone, made on the driver, which
+        holds the zones of any period anyway. The farther zones are too far for a quarter hour."""
+        rows = self.zones.toPandas()[["LocationID"]].assign(VendorID=1, passenger_count=1, RatecodeID=1, payment_type=1)
+        begun = PROFILE.period.start
+        rows = rows.assign(
+            tpep_pickup_datetime=begun, tpep_dropoff_datetime=begun + timedelta(minutes=15),
+            trip_distance=rows["LocationID"] - 1.0, store_and_fwd_flag="N", PULocationID=rows["LocationID"],
+            DOLocationID=rows["LocationID"], fare_amount=10.0, total_amount=12.5, extra=0.5, mta_tax=0.5,
+            tip_amount=0.0, tolls_amount=0.0, improvement_surcharge=1.0,
+        )
+        trips = readers.conform_trips(self.spark.createDataFrame(pa.Table.from_pandas(rows, preserve_index=False)))
+        return gate.audit(gate.vendor_rollup(trips, PROFILE), PROFILE).select(
+            "total_records", "quarantined_records", "distance_under_0_05mi", "speed_over_85mph", "unknown_or_unmapped_zone"
+        )
 
 
+#: Output folders of whole periods by session and input.
+_PERIODS: dict[tuple[str, str], str] = {}
 _CALENDAR = ["pickup_hour", "pickup_day_name", "pickup_day_of_week", "is_weekend", "time_window"]
 _MONEY = [
     "rate_code_id", "fare_amount", "total_amount", "congestion_surcharge", "airport_fee",
@@ -261,6 +314,7 @@ _QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
     "file_manifest": lambda w: manifest.file_manifest(w.spark, w.folder),
     "manifest_summary": Workbench.manifest_summary,
     "latest_month": Workbench.latest_month,
+    "memory_gate": Workbench.memory_gate,
     "raw_profile": lambda w: profiling.raw_profile(w.trips),
     "profile_long": lambda w: profiling.transposed(profiling.raw_profile(w.trips)),
     "dq_duration_speed": lambda w: gate.measure(w.trips).select(

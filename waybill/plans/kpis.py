@@ -1,9 +1,10 @@
 """The KPI tables.
 
-Four aggregations of the fact feed five of them: speed cells by borough (speed index),
-speed cells by corridor (corridors and executive summary), revenue cells (revenue
-productivity) and origin-destination counts (zone flow). Vendor trust comes from the
-gate's rollup.
+Five of them come from cells of the fact: speed cells by borough (speed index), speed cells
+by corridor (corridors and executive summary), revenue cells (revenue productivity) and
+origin-destination counts (zone flow). ``shared_cells`` makes all of these in one scan, by
+grouping sets; a table computed alone makes its own. Either way the cells are written before
+they are summarised. Vendor trust comes from the gate's rollup.
 """
 
 from __future__ import annotations
@@ -15,8 +16,9 @@ from waybill.functions.numeric import UnitTotal, percent, round_half, text
 from waybill.functions.ordering import sorted_small
 from waybill.functions.temporal import window_rank
 from waybill.operators.cells import CELL_ROWS, summarise, value_cells
-from waybill.operators.flow import zone_flow
+from waybill.operators.flow import zone_flow, zone_flow_of
 from waybill.profile import CARD_PAYMENT, Profile
+from waybill.sources.sinks import scratch_folder, staged
 
 SPEED, RATE = "effective_speed_mph", "revenue_per_minute"
 
@@ -58,9 +60,57 @@ def with_pickup_borough(fact: DataFrame, dim_zones: DataFrame) -> DataFrame:
     return fact.join(side, "pickup_location_id")
 
 
-def speed_index(fact: DataFrame, dim_zones: DataFrame) -> DataFrame:
-    keys, points = ["pickup_borough", "time_window"], {"p10": 0.1, "p50": 0.5, "p90": 0.9}
+def _written(cells: DataFrame, scratch: str | None) -> DataFrame:
+    return staged(cells, scratch or scratch_folder(cells.sparkSession), "cells")
+
+
+def shared_cells(fact: DataFrame, dim_zones: DataFrame, profile: Profile, folder: str) -> dict[str, DataFrame]:
+    """The cells of every table, from one scan of the fact: a written part for each.
+
+    A row is counted once under each grouping set before anything is shuffled. A trip whose
+    pickup zone the dimension does not hold is left out of the tables by borough alone.
+    """
+    side = dim_zones.selectExpr("location_id AS zone", "borough AS pickup_borough", "TRUE AS known")
+    rows = fact.join(side, F.expr("pickup_location_id = zone"), "left").selectExpr(
+        "*", CARD_TIP_PCT, corridor(profile)
+    )
+    totals = [MINUTES, MILES, EARNINGS, SPEND, TIPS, TOLLS, AIRPORT_FEES, CONGESTION, CARD_TIPS]
+    sets = {
+        "speed": ["known", "pickup_borough", "time_window", SPEED],
+        "revenue": ["known", "pickup_borough", "is_weekend", "time_window", RATE],
+        "corridor": ["airport_corridor", SPEED],
+        "pairs": ["pickup_location_id", "dropoff_location_id"],
+    }
+    columns = list(dict.fromkeys(c for s in sets.values() for c in s))
+    # One bit a column, the first one highest: set where the column is not part of the row's set.
+    level = {
+        sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in of): name
+        for name, of in sets.items()
+    }
+    which = " ".join(f"WHEN {k}L THEN '{name}'" for k, name in level.items())
+    # Lanes are worked out once a row, then summed under each set.
+    lanes = {name: call for t in totals for call, name in (lane.rsplit(" AS ", 1) for lane in t.lanes())}
+    inner = {name: call.split("(", 1)[1].removesuffix(")") for name, call in lanes.items()}
+    rows = rows.selectExpr(*columns, *[f"{of} AS {name}" for name, of in inner.items()])
+    lanes = [f"count(*) AS {CELL_ROWS}", *[f"{call.split('(', 1)[0]}({name}) AS {name}" for name, call in lanes.items()]]
+    counted = rows.groupingSets([[F.col(c) for c in s] for s in sets.values()], *columns).agg(
+        *map(F.expr, lanes), F.grouping_id().alias("level")
+    )
+    named = counted.selectExpr("* EXCEPT (level)", f"CASE level {which} END AS cells")
+    written = staged(named, folder, "cells", by="cells")
+    parts = {name: written.filter(f"cells = '{name}'") for name in sets}
+    known = {name: parts[name].filter("known") for name in ("speed", "revenue")}
+    return parts | known
+
+
+def speed_index(fact: DataFrame, dim_zones: DataFrame, scratch: str | None = None) -> DataFrame:
+    keys = ["pickup_borough", "time_window"]
     cells = value_cells(with_pickup_borough(fact, dim_zones), keys, SPEED, SPEED_INDEX)
+    return speed_index_of(_written(cells, scratch))
+
+
+def speed_index_of(cells: DataFrame) -> DataFrame:
+    keys, points = ["pickup_borough", "time_window"], {"p10": 0.1, "p50": 0.5, "p90": 0.9}
     table = summarise(cells, keys, SPEED, SPEED_INDEX, points).selectExpr(
         *keys,
         "n AS trip_count",
@@ -78,10 +128,14 @@ def speed_order() -> list[Column]:
     return [F.asc_nulls_last("pickup_borough"), F.expr(window_rank("time_window")).asc()]
 
 
-def revenue_productivity(fact: DataFrame, dim_zones: DataFrame) -> DataFrame:
+def revenue_productivity(fact: DataFrame, dim_zones: DataFrame, scratch: str | None = None) -> DataFrame:
     keys = ["pickup_borough", "is_weekend", "time_window"]
     rows = with_pickup_borough(fact, dim_zones).selectExpr("*", CARD_TIP_PCT)
-    cells = value_cells(rows, keys, RATE, REVENUE)
+    return revenue_productivity_of(_written(value_cells(rows, keys, RATE, REVENUE), scratch))
+
+
+def revenue_productivity_of(cells: DataFrame) -> DataFrame:
+    keys = ["pickup_borough", "is_weekend", "time_window"]
     table = summarise(cells, keys, RATE, REVENUE, {"p50": 0.5}).selectExpr(
         *keys,
         "n AS trip_count",
@@ -99,6 +153,11 @@ def zone_flow_imbalance(fact: DataFrame, dim_zones: DataFrame, profile: Profile)
     return zone_flow(dim_zones, fact, profile.flow)
 
 
+def zone_flow_imbalance_of(pairs: DataFrame, dim_zones: DataFrame, profile: Profile) -> DataFrame:
+    ends = pairs.selectExpr("pickup_location_id", "dropoff_location_id", f"{CELL_ROWS} AS n")
+    return zone_flow_of(dim_zones, ends, profile.flow)
+
+
 def corridor_cells(fact: DataFrame, profile: Profile) -> DataFrame:
     """One scan of the fact for both the corridors and the executive summary."""
     rows = fact.selectExpr("*", corridor(profile))
@@ -107,13 +166,14 @@ def corridor_cells(fact: DataFrame, profile: Profile) -> DataFrame:
 
 def airport_corridors(fact: DataFrame, profile: Profile) -> DataFrame:
     rows = fact.selectExpr("*", corridor(profile))
-    return airport_corridors_of(value_cells(rows, ["airport_corridor"], SPEED, CORRIDOR))
+    return airport_corridors_of(_written(value_cells(rows, ["airport_corridor"], SPEED, CORRIDOR), None))
 
 
 def airport_corridors_of(cells: DataFrame) -> DataFrame:
     summary = summarise(cells, ["airport_corridor"], SPEED, CORRIDOR, {"p50": 0.5})
-    every = cells.agg(F.expr(f"sum({CELL_ROWS})")).scalar()
-    shared = summary.withColumn("every", every).selectExpr("*", f"{percent('n', 'every')} AS share")
+    # Over the summary's rows: one a corridor, and the profile lists the corridors.
+    every = summary.selectExpr("*", "sum(n) OVER () AS every")
+    shared = every.selectExpr("*", f"{percent('n', 'every')} AS share")
     table = shared.selectExpr(
         "airport_corridor",
         "n AS total_trips",
@@ -169,7 +229,7 @@ def vendor_trust(rollup: DataFrame, dim_vendors: DataFrame) -> DataFrame:
 
 
 def executive_summary(fact: DataFrame) -> DataFrame:
-    return executive_summary_of(value_cells(fact, [], SPEED, EXECUTIVE))
+    return executive_summary_of(_written(value_cells(fact, [], SPEED, EXECUTIVE), None))
 
 
 def executive_summary_of(cells: DataFrame) -> DataFrame:

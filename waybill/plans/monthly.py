@@ -14,12 +14,13 @@ from waybill.operators import dimensions, gate
 from waybill.operators.fact import trip_fact, with_trip_id
 from waybill.plans import kpis
 from waybill.profile import Profile
-from waybill.sources import readers, sinks
+from waybill.sources import publish, readers, sinks
+from waybill.sources.publish import Attempt
 
 
 @dataclass(frozen=True)
 class Published:
-    """Where a run wrote what, and its audit row."""
+    """The folder a run wrote to, its audit row and the files of its KPI tables."""
 
     folder: str
     label: str
@@ -46,78 +47,98 @@ def _together(spark: SparkSession, *actions: Callable[[], object]) -> list:
 
 
 def run_month(
-    profile: Profile,
-    trips: DataFrame,
-    zones: DataFrame,
-    out: str,
-    *,
-    stage_input: bool = False,
+    profile: Profile, trips: DataFrame, zones: DataFrame, out: str, *, one_scan: bool = False
 ) -> Published:
-    """Gate, model and measure one period, replacing its earlier outputs.
+    """Gate, model and measure one period; then it replaces what was published for it.
 
-    The trips are scanned three times: once for eight columns (audit and vendor
-    trust), once for the quarantine and once, with the rules pushed into the scan,
-    for the fact. Storing the tagged rows instead would write the whole input again,
-    which costs more than re-reading files. Where the trips are not files but the
-    result of joins, ``stage_input`` writes them once first.
+    The trips are scanned once, whatever they are: the rows are written with a partition for
+    each verdict. The quarantine is tagged from its side alone, the audit counts come from the
+    written quarantine and the number of clean rows, and the fact is made of the other side.
+    Nothing is published before all of it is written, and scratch tables are removed at the end,
+    also of a run that fails.
+
+    By default each KPI table reads the columns it needs of the written fact. With ``one_scan``
+    all of them come from one scan by grouping sets, which counts each row four times with the
+    totals of all tables: worth it where reading costs more than counting.
     """
     spark, label = trips.sparkSession, profile.period.label
-    scratch = sinks.scratch_folder(spark)
     readers.require_complete_zones(zones, profile)
     trips = readers.conform_trips(trips)
-    if stage_input:
-        trips = sinks.staged(trips, scratch, "trips")
-    dim_vendors = dimensions.vendors(spark, profile)
+    attempt, scratch = publish.begin(spark, out, label), sinks.scratch_folder(spark)
+    try:
+        done = _run(profile, trips, zones, attempt, scratch, one_scan)
+    finally:
+        sinks.discard(spark, scratch)
+    return done
 
-    def stage_rollup() -> DataFrame:
-        return sinks.staged(gate.vendor_rollup(trips, profile), scratch, "vendor_rollup")
 
-    def write_quarantine() -> None:
-        path = f"{out}/quarantine/quarantined_trips"
-        sinks.write_batch(gate.quarantined(trips, profile), path, label, rebalance=True)
+def _run(
+    profile: Profile, trips: DataFrame, zones: DataFrame, attempt: Attempt, scratch: str, one_scan: bool
+) -> Published:
+    spark = attempt.spark
+    dim_vendors = dimensions.vendors(spark, profile)
 
-    def write_dimensions() -> None:
-        sinks.write_dimension(dim_vendors, f"{out}/processed/dim_vendors")
+    def write_dimensions() -> DataFrame:
         for name, dim in (
+            ("dim_vendors", dim_vendors),
             ("dim_rate_codes", dimensions.rate_codes(spark, profile)),
             ("dim_payment_types", dimensions.payment_types(spark, profile)),
         ):
-            sinks.write_dimension(dim, f"{out}/processed/{name}")
+            attempt.table(dim.coalesce(1), name)
+        return attempt.table(dimensions.zones(zones, profile).coalesce(1), "dim_zones")
 
-    def write_fact() -> tuple[DataFrame, DataFrame]:
-        dim_zones = sinks.write_dimension(
-            dimensions.zones(zones, profile), f"{out}/processed/dim_zones"
-        )
-        fact = with_trip_id(trip_fact(trips, dim_zones, profile))
-        return sinks.write_batch(fact, f"{out}/processed/fct_trips", label), dim_zones
-
-    rollup, _, _, (fact, dim_zones) = _together(
-        spark, stage_rollup, write_quarantine, write_dimensions, write_fact
+    dim_zones, split = _together(
+        spark,
+        write_dimensions,
+        lambda: sinks.staged(gate.judged(trips, profile), scratch, "judged", by="verdict"),
     )
+    clean, held = (
+        split.filter(f"verdict = '{side}'").select(*readers.TRIP_COLUMNS) for side in (gate.CLEAN, gate.HELD)
+    )
+
+    def write_fact() -> DataFrame:
+        return attempt.table(trip_fact(with_trip_id(clean), dim_zones, profile), "fct_trips")
 
-    def write_corridors_and_executive() -> list[str]:
-        cells = sinks.staged(kpis.corridor_cells(fact, profile), scratch, "corridor_cells")
-        return [
-            sinks.write_kpi(kpis.airport_corridors_of(cells), out, readers.CORRIDORS, label),
-            sinks.write_kpi(kpis.executive_summary_of(cells), out, readers.EXECUTIVE, label),
-        ]
+    def write_quarantine_and_rollup() -> DataFrame:
+        tagged = attempt.table(gate.tag(held, profile), "quarantined_trips", rebalance=True)
+        return attempt.table(gate.rollup_of(tagged, clean, profile).coalesce(1), "vendor_rollup")
+
+    fact, rollup = _together(spark, write_fact, write_quarantine_and_rollup)
+    audit_row = gate.audit(rollup, profile)
+    cells = kpis.shared_cells(fact, dim_zones, profile, scratch) if one_scan else {}
+
+    def speed() -> DataFrame:
+        if one_scan:
+            return kpis.speed_index_of(cells["speed"])
+        return kpis.speed_index(fact, dim_zones, f"{scratch}/speed")
+
+    def revenue() -> DataFrame:
+        if one_scan:
+            return kpis.revenue_productivity_of(cells["revenue"])
+        return kpis.revenue_productivity(fact, dim_zones, f"{scratch}/revenue")
+
+    def flow() -> DataFrame:
+        if one_scan:
+            return kpis.zone_flow_imbalance_of(cells["pairs"], dim_zones, profile)
+        return kpis.zone_flow_imbalance(fact, dim_zones, profile)
+
+    def write_corridors_and_executive() -> dict[str, str]:
+        part = cells.get("corridor") or sinks.staged(kpis.corridor_cells(fact, profile), scratch, "corridors")
+        both = {readers.CORRIDORS: kpis.airport_corridors_of, readers.EXECUTIVE: kpis.executive_summary_of}
+        paths = _together(spark, *[lambda name=name, of=of: attempt.kpi(of(part), name) for name, of in both.items()])
+        return dict(zip(both, paths))
 
     tables = {
-        readers.SPEED: lambda: kpis.speed_index(fact, dim_zones),
-        readers.REVENUE: lambda: kpis.revenue_productivity(fact, dim_zones),
-        readers.FLOW: lambda: kpis.zone_flow_imbalance(fact, dim_zones, profile),
+        readers.REVENUE: revenue,
+        readers.SPEED: speed,
+        readers.FLOW: flow,
         readers.TRUST: lambda: kpis.vendor_trust(rollup, dim_vendors),
     }
-    pair, *single = _together(
+    pair, *single, _ = _together(
         spark,
         write_corridors_and_executive,
-        *[
-            lambda name=name, table=table: sinks.write_kpi(table(), out, name, label)
-            for name, table in tables.items()
-        ],
+        *[lambda name=name, table=table: attempt.kpi(table(), name) for name, table in tables.items()],
+        lambda: attempt.report(gate.audit_report(audit_row, profile), readers.AUDIT),
     )
-    paths = dict(zip((readers.CORRIDORS, readers.EXECUTIVE, *tables), (*pair, *single)))
-    # Last, so that an audit never tells of a run whose tables were not all written.
-    audit_row = gate.audit(rollup, profile)
-    sinks.write_report(gate.audit_report(audit_row, profile), out, readers.AUDIT, label)
-    return Published(out, label, audit_row, paths)
+    attempt.commit(audit_row)
+    return Published(attempt.folder, attempt.label, audit_row, {**dict(zip(tables, single)), **pair})

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.functions.labels import month_of_file
 from waybill.functions.numeric import text
 from waybill.profile import Profile
+from waybill.sources.publish import EXECUTIVE, MissingOutput, committed, latest_month
+
+__all__ = ["EXECUTIVE", "MissingOutput", "latest_month"]
 
 # The trip feed's columns, in order.
 TRIP_COLUMNS = {
@@ -47,7 +48,6 @@ REVENUE = "metric_2_revenue_productivity"
 FLOW = "metric_3_zone_flow_imbalance"
 CORRIDORS = "metric_4_airport_corridor"
 TRUST = "metric_5_data_trust_vendor"
-EXECUTIVE = "executive_summary_kpis"
 AUDIT = "validation_audit_report"
 # Columns of the published tables.
 PUBLISHED = {
@@ -83,10 +83,6 @@ AUDIT_COLUMNS = (
 )
 
 
-class MissingOutput(FileNotFoundError):
-    """A month whose outputs were never published."""
-
-
 class IncompleteSource(ValueError):
     """A source that fails its completeness check."""
 
@@ -147,39 +143,12 @@ def require_complete_zones(zones: DataFrame, profile: Profile) -> None:
         )
 
 
-def _read_or_fail(read, path: str, label: str) -> DataFrame:
-    try:
-        return read(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        raise MissingOutput(f"no output for {label} at {path}; run that month first") from error
-
-
 def read_kpi(spark: SparkSession, out: str, name: str, label: str) -> DataFrame:
     """One published KPI table."""
-    read = spark.read.schema(PUBLISHED[name]).options(header=True, enforceSchema=False).csv
-    return _read_or_fail(read, f"{out}/outputs/{name}_{label}.csv", label)
+    path = committed(spark, out, label).path(name, "csv")
+    return spark.read.schema(PUBLISHED[name]).options(header=True, enforceSchema=False).csv(path)
 
 
 def read_audit(spark: SparkSession, out: str, label: str) -> DataFrame:
     """One published audit; rules and policy notes as maps."""
-    read = spark.read.schema(AUDIT_COLUMNS).json
-    return _read_or_fail(read, f"{out}/outputs/{AUDIT}_{label}.json", label)
-
-
-def latest_month(spark: SparkSession, out: str, default: str) -> DataFrame:
-    """Month of the executive summary written last, or ``default``; of those written at the
-    same time, the latest month."""
-    files = f"{out}/outputs/{EXECUTIVE}_*.csv"
-    try:
-        listed = spark.read.format("text").load(files)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.sql(f"SELECT {text(default)} AS month")
-    month = month_of_file("_metadata.file_path", EXECUTIVE)
-    newest = listed.agg(
-        F.expr(f"max(struct(_metadata.file_modification_time, {month} AS month)).month AS month")
-    )
-    return newest.selectExpr(f"coalesce(month, {text(default)}) AS month")
+    return spark.read.schema(AUDIT_COLUMNS).json(committed(spark, out, label).path(AUDIT, "json"))

@@ -1,13 +1,15 @@
-"""Writers. Every one replaces what it wrote before for the same period."""
+"""Writers: intermediate tables in shared scratch, single files, and their removal."""
 
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-BATCH = "batch_month"
+
+#: Files that a task writing partitions keeps open before it sorts instead.
+OPEN_FILES = 8
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -20,52 +22,60 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/waybill-{unique}-{os.urandom(4).hex()}"
 
 
-def staged(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """Write ``df`` and continue from the written table.
+def staged(df: DataFrame, folder: str, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df``, a partition for each value of ``by`` if given, and continue from the
+    written table.
 
     Cuts the lineage for good: a lost executor costs a re-read, not a recomputation.
     """
     path = f"{folder}/{name}"
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    if by:
+        # A task keeps a file open for each of the few values instead of sorting by them.
+        df.sparkSession.conf.set("spark.sql.maxConcurrentOutputFileWriters", OPEN_FILES)
+        writer = writer.partitionBy(by)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _batch_folder(path: str, label: str) -> str:
-    return f"{path}/{BATCH}={label}"
-
+def _located(spark: SparkSession, path: str):
+    """A path's file system, under the session's own storage settings, and the path in it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
-def write_batch(df: DataFrame, path: str, label: str, *, rebalance: bool = False) -> DataFrame:
-    """Replace one month's partition of a Parquet table, leave the others, and return
-    what was written.
 
-    The partition's folder itself is overwritten, so a month whose rows are all gone becomes
-    an empty partition instead of keeping the rows of an earlier run. ``rebalance`` exchanges
-    the rows into files of the advisory size. Use it where a filter leaves each task little,
-    so that the table is not one sliver per task.
-    """
-    batch = df.hint("rebalance") if rebalance else df
-    batch.write.mode("overwrite").parquet(_batch_folder(path, label))
-    return df.sparkSession.read.schema(df.schema).parquet(_batch_folder(path, label))
+def discard(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of intermediate tables; an absent one is no error."""
+    files, place = _located(spark, folder)
+    files.delete(place, True)
 
 
-def read_batch(spark: SparkSession, path: str, label: str) -> DataFrame:
-    """One month's partition, without the partition column."""
-    return spark.read.parquet(_batch_folder(path, label))
+def single_file(df: DataFrame, path: str, write: Callable[[DataFrame, str], None]) -> str:
+    """Write a small table as one file of exactly this name.
 
-
-def write_dimension(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    One task writes it into a folder aside, from which a rename moves it into place, so
+    readers meet a whole file or none.
+    """
+    spark, aside = df.sparkSession, f"{path}.{os.urandom(4).hex()}"
+    write(df.coalesce(1), aside)
+    files, folder = _located(spark, aside)
+    target = _located(spark, path)[1]
+    parts = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName().startswith("part-")]
+    if len(parts) != 1:
+        raise OSError(f"{len(parts)} parts in {aside}")
+    if not files.rename(parts[0], target):
+        # Some stores do not rename onto a file.
+        files.delete(target, False)
+        if not files.rename(parts[0], target):
+            raise OSError(f"cannot move {aside} to {path}")
+    files.delete(folder, True)
+    return path
 
 
-def write_kpi(df: DataFrame, out: str, name: str, label: str) -> str:
-    """A KPI table (a few hundred rows at most) as one CSV part with a header."""
-    path = f"{out}/outputs/{name}_{label}.csv"
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
-    return path
+def write_csv(df: DataFrame, path: str) -> str:
+    """A small table as one CSV file with a header."""
+    return single_file(df, path, lambda part, aside: part.write.option("header", True).csv(aside))
 
 
-def write_report(df: DataFrame, out: str, name: str, label: str) -> str:
-    path = f"{out}/outputs/{name}_{label}.json"
-    df.coalesce(1).write.mode("overwrite").json(path)
-    return path
+def write_json(df: DataFrame, path: str) -> str:
+    return single_file(df, path, lambda part, aside: part.write.json(aside))
