@@ -107,7 +107,7 @@ def test_alignment_does_not_depend_on_its_memory(spark, monkeypatch):
 
     def all_windows():
         both = alignment.Aligner(*files)
-        return [[w[:2] for w in both.windows(*both.encode(t))] for t in texts]
+        return [[w[:2] for w in both.windows(*sides)] for sides in both.encode(texts)]
 
     want = all_windows()
     monkeypatch.setattr(alignment, "MEMO", 3)

@@ -6,6 +6,7 @@ import hashlib
 from array import array
 from collections.abc import Iterable
 from functools import lru_cache
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,9 @@ from waybill.sources.sinks import scratch_folder, staged
 PIECES = "piece_bpe_32k.model"
 #: Windows after which a worker sets a new memory up and keeps the last one beside it, and the
 #: most ids that a remembered window has.
-MEMO, REMEMBERED = 120_000, 64
+MEMO, REMEMBERED = 200_000, 64
+#: Texts that are encoded together.
+TOGETHER = 64
 _MARK = "▁"
 #: Groups as text, their number, and the links as 64-bit numbers.
 Window = tuple[str, int, bytes]
@@ -108,17 +111,21 @@ class Aligner:
             return bytes([int(piece[3:5], 16)])
         return piece.replace(_MARK, " ").encode()
 
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """All tokens of space + text on both sides, or nothing where either does not spell it.
 
-        Plain texts are encoded from the ranks, which are faster and equal the tokenizer there.
+        Plain texts are encoded from the ranks, which are faster and equal the tokenizer there;
+        their tokens are runs of the text's own bytes, so only their length needs a look.
         """
-        spaced = " " + text
-        whole = self.encoder.short if PLAIN.fullmatch(text) else self._whole
-        a, b, said = whole(spaced), self.model.encode(text, num_threads=1), spaced.encode()
-        if self.a.spell(a) != said or self.b.spell(b) != said:
-            return None
-        return np.array(a, np.int32), np.array(b, np.int32)
+        found: list[tuple[np.ndarray, np.ndarray] | None] = []
+        for text, pieces in zip(texts, self.model.encode(texts, num_threads=1), strict=True):
+            spaced = " " + text
+            said, plain = spaced.encode(), PLAIN.fullmatch(text)
+            ids = self.encoder.short(spaced) if plain else self._whole(spaced)
+            a, b = np.array(ids, np.int32), np.array(pieces, np.int32)
+            spelt = self.a.lengths[a].sum() == len(said) and (plain or self.a.spell(ids) == said)
+            found.append((a, b) if spelt and self.b.spell(pieces) == said else None)
+        return found
 
     def _whole(self, text: str) -> list[int]:
         return self.encoder.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -135,14 +142,14 @@ class Aligner:
         cuts = np.flatnonzero(anchored)
         raw_a, raw_b = a.tobytes(), (b + _OTHER).tobytes()
         to_a, to_b = ((cuts + 1) * 4).tolist(), ((at[cuts] + 1) * 4).tolist()
-        places = list(zip([0, *to_a], to_a, [0, *to_b], to_b))
-        keys = [raw_a[i:j] + raw_b[k:m] for i, j, k, m in places]
+        from_a, from_b = [0, *to_a], [0, *to_b]
+        keys = [raw_a[i:j] + raw_b[k:m] for i, j, k, m in zip(from_a, to_a, from_b, to_b)]
         found = [*map(self.memo.get, keys)]
         if None in found:
             for n, window in enumerate(found):
                 if window is None:
-                    i, j, k, m = places[n]
-                    found[n] = self._recalled(keys[n], a[i // 4 : j // 4], b[k // 4 : m // 4])
+                    ids = a[from_a[n] // 4 : to_a[n] // 4], b[from_b[n] // 4 : to_b[n] // 4]
+                    found[n] = self._recalled(keys[n], *ids)
             if len(self.memo) >= MEMO:
                 self.memo, self.earlier = {}, self.memo
         return found
@@ -174,19 +181,22 @@ def aligned(docs: DataFrame, *, vocabularies: tuple[str, str, str] | None = None
     nothing = (0, 0, 0, 0, "", [], [])
 
     def run(batch):
-        both = aligner(*files)
-        for key, raw in zip(batch.column("doc_id").to_pylist(), values(batch), strict=True):
-            ids = both.encode(raw.decode()) if raw else None
-            if ids is None:
-                yield (key, *nothing, *(("",) if with_groups else ()))
-                continue
-            found = both.windows(*ids)
-            groups = ";".join([w[0] for w in found])
-            links = np.frombuffer(b"".join([w[2] for w in found]), np.int64)
-            pairs, times = np.unique(links, return_counts=True)
-            sha = hashlib.sha256(groups.encode()).hexdigest()
-            row = (key, len(ids[0]), len(ids[1]), sum([w[1] for w in found]), len(links), sha, pairs, times)
-            yield (*row, groups) if with_groups else row
+        both, ids = aligner(*files), batch.column("doc_id").to_pylist()
+        for at, raws in enumerate(batched(values(batch), TOGETHER)):
+            texts = [(raw or b"").decode() for raw in raws]
+            encoded = iter(both.encode([t for t in texts if t]))
+            for key, text in zip(ids[at * TOGETHER :], texts):
+                sides = next(encoded) if text else None
+                if sides is None:
+                    yield (key, *nothing, *(("",) if with_groups else ()))
+                    continue
+                found = both.windows(*sides)
+                groups = ";".join([w[0] for w in found])
+                links = np.frombuffer(b"".join([w[2] for w in found]), np.int64)
+                pairs, times = np.unique(links, return_counts=True)
+                sha = hashlib.sha256(groups.encode()).hexdigest()
+                row = (key, len(sides[0]), len(sides[1]), sum([w[1] for w in found]), len(links), sha, pairs, times)
+                yield (*row, groups) if with_groups else row
 
     types = {
         "doc_id": pa.int64(), "n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(),
