@@ -398,6 +398,11 @@ def oracle_sql() -> dict[str, str]:
             f" AS status FROM duckdb_columns() WHERE table_name = '{t}'"
             for t in _TABLES
         ),
+        "file_hashes": " UNION ALL ".join(
+            f"SELECT '{t}.parquet' AS file_name, COUNT(*) AS num_rows, TRUE AS size_holds,"
+            f" TRUE AS hash_holds FROM {t}"
+            for t in _TABLES
+        ),
         # Of the months that trips began in, the one whose last trip ended last.
         "latest_month": _sql(
             "SELECT strftime(pickup_datetime, '%Y-%m') AS month FROM fct"

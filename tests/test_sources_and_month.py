@@ -21,6 +21,7 @@ from waybill.plans.monthly import _together, run_month
 from waybill.plans.report import month_report
 from waybill.profile import POLICY, Profile
 from waybill.sources import manifest, publish, readers, sinks
+from waybill.sources.sinks import staged
 
 LABEL = "2026_01"
 
@@ -81,6 +82,44 @@ def test_mixed_trip_folder(spark, make_trips, tmp_path):
         manifest.verified_trips(spark, path)
 
 
+def test_folders_of_several_kinds(spark, make_trips, tmp_path, monkeypatch):
+    """Folders are scanned by name, files only where a folder mixes kinds; names hold anything."""
+    path = tmp_path / "trips"
+    plain = make_trips(trip(), trip(PULocationID=61))
+    double = plain.selectExpr("* EXCEPT (passenger_count)", "3D AS passenger_count")
+    for name, frames in {
+        "a [1]/{b}": [plain, plain], "c d": [double], "mixed*": [plain, double], "e%20": [plain],
+    }.items():
+        for frame in frames:
+            frame.coalesce(1).write.mode("append").parquet(str(path / name))
+    listed = staged(manifest.file_manifest(spark, str(path)), str(tmp_path), "listed")
+    monkeypatch.setattr(manifest, "file_manifest", None)
+    read = manifest.verified_trips(spark, str(path), listed)
+    assert sorted(r["passenger_count"] for r in read.collect()) == [1] * 8 + [3] * 4
+    one = str(path / "c d")
+    read = manifest.verified_trips(spark, one, listed.filter(listed["file_path"].contains("c d")))
+    assert read.filter("passenger_count = 3").count() == 2
+
+
+def test_verifying_leaves_nothing_and_gathers_no_paths(spark, make_trips, tmp_path, monkeypatch):
+    path, scratch = str(tmp_path / "trips"), str(tmp_path / "scratch")
+    make_trips(trip()).coalesce(1).write.parquet(path)
+    monkeypatch.setattr(manifest, "scratch_folder", lambda spark: scratch)
+    plans = []
+    monkeypatch.setattr(manifest, "staged", lambda df, *args: (plans.append(df), staged(df, *args))[1])
+    assert manifest.verified_trips(spark, path).count() == 1
+    assert not os.path.exists(scratch) and len(plans) == 1
+    assert "collect_list" not in open(manifest.__file__).read()
+
+
+def test_hashes_hold(spark, tmp_path):
+    pq.write_table(pa.table({"a": [1, 2]}), tmp_path / "t.parquet")
+    assert [tuple(r) for r in manifest.hash_checks(spark, str(tmp_path)).collect()] == [("t.parquet", 2, True, True)]
+    (tmp_path / "u.parquet").write_bytes(b"no table at all")
+    with pytest.raises(Exception, match="u.parquet is not a Parquet file"):
+        manifest.file_manifest(spark, str(tmp_path)).collect()
+
+
 def test_a_failure_cancels_the_other_actions(spark):
     begun = time.monotonic()
 
@@ -120,7 +159,9 @@ def test_manifest_task_needs_no_package(tmp_path):
     (tmp_path / "task").write_bytes(task)
     code = (
         "import pickle, pandas as pd; task = pickle.load(open('task', 'rb'));"
-        f" frame = pd.DataFrame({{'path': ['file:{tmp_path}/t.parquet'], 'length': [1]}});"
+        " data = open('t.parquet', 'rb').read(); end = int.from_bytes(data[-8:-4], 'little') + 8;"
+        " frame = pd.DataFrame({'path': ['file:/t.parquet'], 'length': [1], 'sha256': [None],"
+        " 'footer': [data[-end:]]});"
         " print(next(task(iter([frame])))['num_rows'][0])"
     )
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}

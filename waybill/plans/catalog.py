@@ -313,6 +313,7 @@ _QUERIES: dict[str, Callable[[Workbench], DataFrame]] = {
     "zone_completeness": lambda w: readers.zone_completeness(w.zones, PROFILE),
     "file_manifest": lambda w: manifest.file_manifest(w.spark, w.folder),
     "manifest_summary": Workbench.manifest_summary,
+    "file_hashes": lambda w: manifest.hash_checks(w.spark, w.folder),
     "latest_month": Workbench.latest_month,
     "memory_gate": Workbench.memory_gate,
     "raw_profile": lambda w: profiling.raw_profile(w.trips),

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
 from typing import TYPE_CHECKING
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from waybill.sources.readers import OPTIONAL, TRIP_COLUMNS, IncompleteSource, conform_trips
+from waybill.sources.sinks import discard, scratch_folder, staged
 
 if TYPE_CHECKING:
     import pandas as pd
@@ -22,43 +24,25 @@ _SCHEMA = (
 _COLUMNS = [field.split()[0] for field in _SCHEMA.split(", ")]
 
 
-def _describer(columns: list[str], hashed: bool = True, chunk_bytes: int = 1 << 20):
+def _describer(columns: list[str]):
     """The per-task function, closed over what it needs so that executors run it
-    without this package installed."""
+    without this package installed. It sees the ends of files, never whole ones."""
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import hashlib
-
         import pandas as pd
+        import pyarrow as pa
         import pyarrow.parquet as pq
-        from pyarrow import fs
-
-        def locate(path: str):
-            scheme, _, rest = path.partition(":")
-            if scheme in ("s3a", "s3n"):
-                path = f"s3:{rest}"
-            elif scheme == "file":
-                path = "/" + rest.lstrip("/")
-            return fs.FileSystem.from_uri(path)
 
         for batch in batches:
             rows = []
-            for path, size in zip(batch["path"], batch["length"]):
-                system, name = locate(path)
-                digest = None
-                if hashed:
-                    running = hashlib.sha256()
-                    with system.open_input_stream(name) as stream:
-                        while chunk := stream.read(chunk_bytes):
-                            running.update(chunk)
-                    digest = running.hexdigest()
-                with system.open_input_file(name) as handle:
-                    footer = pq.ParquetFile(handle)
-                    meta, names = footer.metadata, footer.schema_arrow.names
-                    types = [str(t) for t in footer.schema_arrow.types]
+            for path, size, digest, footer in batch.itertuples(index=False, name=None):
+                if not footer.endswith(b"PAR1"):
+                    raise ValueError(f"{path} is not a Parquet file")
+                found = pq.ParquetFile(pa.BufferReader(b"PAR1" + footer))
+                meta, schema = found.metadata, found.schema_arrow
                 rows.append(
-                    (name.rsplit("/", 1)[-1], path, size, meta.num_rows, len(names),
-                     meta.num_row_groups, names, types, digest,
+                    (path.rsplit("/", 1)[-1], path, size, meta.num_rows, len(schema.names),
+                     meta.num_row_groups, schema.names, [str(t) for t in schema.types], digest,
                      "VERIFIED_COMPLETE" if meta.num_rows else "EMPTY")
                 )
             yield pd.DataFrame(rows, columns=columns)
@@ -66,68 +50,131 @@ def _describer(columns: list[str], hashed: bool = True, chunk_bytes: int = 1 <<
     return describe
 
 
+def _files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    return (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", True)
+        .load(path)
+    )
+
+
 def file_manifest(
     spark: SparkSession, path: str, pattern: str = "*.parquet", hashed: bool = True
 ) -> DataFrame:
     """Size, rows, columns, row groups and SHA-256 of each Parquet file under ``path``.
 
-    Spark lists the files and packs them into tasks by size; a task streams each file
-    in one-megabyte chunks, so memory does not depend on file size, and the rows come
-    from the footer instead of a scan. Without ``hashed`` only footers are read.
+    Spark lists the files, packs them into tasks by size and reads them with its own file
+    system settings. Hash and footer are cut from the bytes by built-in functions; only
+    footers reach Python. A task holds one file at a time, of 2 GiB at most: a larger one is
+    an error of the reader that names it. Without ``hashed`` no digest is computed.
     """
-    listed = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path", "length")
+    # The last eight bytes are the footer's length, lowest byte first, and the format's mark.
+    little = "hex(substring(content, -8, 4))"
+    big = ", ".join(f"substring({little}, {at}, 2)" for at in (7, 5, 3, 1))
+    tail = f"CAST(conv(concat({big}), 16, 10) AS INT) + 8"
+    cut = _files(spark, path, pattern).selectExpr(
+        "path",
+        "length",
+        ("sha2(content, 256)" if hashed else "CAST(NULL AS STRING)") + " AS sha256",
+        f"substring(content, -({tail}), {tail}) AS footer",
     )
-    return listed.mapInPandas(_describer(_COLUMNS, hashed), _SCHEMA)
+    return cut.mapInPandas(_describer(_COLUMNS), _SCHEMA)
 
 
-def verified_trips(spark: SparkSession, path: str) -> DataFrame:
+def hash_checks(spark: SparkSession, path: str, pattern: str = "*.parquet") -> DataFrame:
+    """(file_name, num_rows, size_holds, hash_holds): the manifest against a second reading."""
+    listed = file_manifest(spark, path, pattern).select(
+        "file_path", "file_name", "num_rows", "file_size_bytes", "sha256"
+    )
+    again = _files(spark, path, pattern).selectExpr(
+        "path", "octet_length(content) AS size", "sha2(content, 256) AS digest"
+    )
+    return listed.join(again, listed["file_path"] == again["path"], "left").selectExpr(
+        "file_name",
+        "num_rows",
+        "file_size_bytes <=> size AS size_holds",
+        "sha256 <=> digest AND sha256 RLIKE '^[0-9a-f]{64}$' AS hash_holds",
+    )
+
+
+def _literal(path: str) -> str:
+    """A path that a reader takes as it stands, not as a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def verified_trips(
+    spark: SparkSession, path: str, listed: DataFrame | None = None
+) -> DataFrame:
     """Trips of the Parquet files under ``path``, whose footers may differ.
 
     A file that holds no rows or lacks a column other than the optional fees is refused by
     name. The rest are scanned with the feed's types, which also reads narrower integers,
     other cases and absent fees; files that store an integer column as doubles are scanned
-    with that type and cast. The driver gets one path per file, as for any scan.
+    with that type and cast.
+
+    ``listed`` is a written ``file_manifest`` of the same files; with it they are not read
+    again for their footers. Files of one kind are scanned by ``path`` alone, those of several
+    kinds by folder; only a folder that mixes kinds is scanned by its files' names.
     """
     required = [c.lower() for c in TRIP_COLUMNS if c not in OPTIONAL]
     integers = [c.lower() for c, t in TRIP_COLUMNS.items() if t == "bigint"]
-    footers = file_manifest(spark, path, hashed=False).select(
+    if listed is None:
+        scratch = scratch_folder(spark)
+        try:
+            listed = staged(file_manifest(spark, path, hashed=False), scratch, "footers")
+            return verified_trips(spark, path, listed)
+        finally:
+            discard(spark, scratch)
+    footers = listed.select(
         "file_path",
         "num_rows",
+        F.regexp_replace("file_path", "/[^/]*$", "").alias("folder"),
         F.transform("schema_columns", F.lower).alias("names"),
         F.col("schema_types").alias("types"),
     )
-    kinds = footers.select(
+    floating = F.filter(
+        F.arrays_zip("names", "types"),
+        lambda c: c["names"].isin(integers) & c["types"].isin("float", "double"),
+    )
+    files = footers.select(
         "file_path",
+        "folder",
         "num_rows",
         F.array_except(F.array(*map(F.lit, required)), "names").alias("missing"),
-        F.filter(
-            F.arrays_zip("names", "types"),
-            lambda c: c["names"].isin(integers) & c["types"].isin("float", "double"),
-        ).alias("floating"),
+        F.array_sort(floating).alias("floating"),
     )
-    kinds = kinds.withColumn("floating", F.array_sort("floating")).groupBy("floating").agg(
+    worst = files.agg(
         F.min(F.struct("num_rows", "file_path")).alias("least"),
         F.max(F.struct(F.size("missing"), "file_path", "missing")).alias("most"),
-        F.collect_list("file_path").alias("paths"),
-    )
-    found = kinds.collect()
-    if not found:
+    ).first()
+    if worst["least"] is None:
         raise IncompleteSource(f"{path} holds no rows")
-    for kind in found:
-        if not kind["least"]["num_rows"]:
-            raise IncompleteSource(f"{kind['least']['file_path']} holds no rows")
-        if kind["most"]["missing"]:
-            lacks = ", ".join(kind["most"]["missing"])
-            raise IncompleteSource(f"{kind['most']['file_path']}: trip columns missing: {lacks}")
-
-    def scanned(kind) -> DataFrame:
-        stored = {c["names"]: c["types"] for c in kind["floating"]}
+    if not worst["least"]["num_rows"]:
+        raise IncompleteSource(f"{worst['least']['file_path']} holds no rows")
+    if worst["most"]["missing"]:
+        lacks = ", ".join(worst["most"]["missing"])
+        raise IncompleteSource(f"{worst['most']['file_path']}: trip columns missing: {lacks}")
+
+    def scanned(kind, reader: DataFrameReader, *paths: str) -> DataFrame:
+        stored = {c["names"]: c["types"] for c in kind}
         schema = ", ".join(f"{c} {stored.get(c.lower(), t)}" for c, t in TRIP_COLUMNS.items())
-        return conform_trips(spark.read.schema(schema).parquet(*sorted(kind["paths"])))
-
-    return reduce(DataFrame.unionByName, map(scanned, found))
+        return conform_trips(reader.schema(schema).parquet(*paths))
+
+    # One kind for each set of integer columns stored as floats: a bounded number.
+    kinds = [row["floating"] for row in files.select("floating").distinct().collect()]
+    if len(kinds) == 1:
+        whole = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+        return scanned(kinds[0], whole, path)
+    folders = files.groupBy("folder").agg(
+        F.min("floating").alias("floating"), (F.min("floating") == F.max("floating")).alias("pure")
+    )
+    mixed = folders.filter("NOT pure").select("folder")
+    parts = folders.filter("pure").select("floating", F.col("folder").alias("part"), F.lit(True).alias("pure"))
+    named = files.join(mixed, "folder").select("floating", F.col("file_path").alias("part"), F.lit(False).alias("pure"))
+    found: dict[tuple, tuple] = {}
+    for row in parts.unionByName(named).orderBy("part").toLocalIterator():
+        kind = found.setdefault(tuple(map(tuple, row["floating"])), (row["floating"], []))
+        kind[1].append(_literal(row["part"]) + ("/*.parquet" if row["pure"] else ""))
+    scans = [scanned(kind, spark.read, *paths) for kind, paths in found.values()]
+    return reduce(DataFrame.unionByName, scans)
