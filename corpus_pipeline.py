@@ -22,23 +22,37 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near-duplicates."""
+    """The document with the least id of each group of near-duplicates.
+
+    Null and blank texts are one group. A row without an id stays only where no member of its
+    group has one; an id with several texts is judged text by text.
+    """
     return simhash.keep_one(docs, simhash.near_duplicates(docs))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that an earlier document has, too; ``n_chars`` follows."""
+    """Texts without the passages that an earlier document has, too; ``n_chars`` follows.
+
+    Null, blank and short texts and rows without an id stay as they are; rows that repeat an id
+    take nothing from each other. A document goes only if nothing of it is left.
+    """
     left = substring.without_repeats(docs)
     return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often and in the order that the curriculum takes them."""
+    """Documents as often and in the order that the curriculum takes them.
+
+    Every row has its own places, with or without an id; null sources are one source.
+    """
     return mixing.mixed_documents(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document lies in the training sequences."""
+    """Where each piece of each document lies in the training sequences.
+
+    Null and blank texts are the end mark alone; long texts are cut into several pieces.
+    """
     return packing.pack(packing.pieces(docs))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 from collections import Counter
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import plain
-from waybill.llm import catalog, lm, neighbours, packing, quality, sharding, simhash
+from waybill.llm import catalog, lm, mixing, neighbours, packing, quality, sharding, simhash
 from waybill.llm.common import numbered, word_hashes
 from waybill.llm.components import components
 
@@ -118,8 +119,35 @@ def test_mixing_against_sql(result):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
     want = sorted(con.execute(catalog.oracle_sql()["op6_mixing"]).fetchall())
-    got = result("op6_mixing")[["doc_id", "size", "source_size", "target", "taken"]]
-    assert sorted(got.itertuples(index=False, name=None)) == want
+    got = result("op6_mixing")[["doc_id", "size", "source_size", "target", "taken", "copies", "position"]]
+    got, want = (sorted(tuple(None if v != v else v for v in r) for r in t) for t in (got.itertuples(index=False, name=None), want))
+    assert got == want
+
+
+def test_mixing_positions_by_integration_and_bisection(rows, result):
+    """Each source's rate is summed in small steps and its demand inverted by halving."""
+    found = result("op6_mixing").set_index("doc_id")
+    names = sorted({r[3] for r in rows if r[3] is not None}) + [None]
+    for nth, source in enumerate(names):
+        start, finish = mixing.RAMPS[nth % 3]
+        steps = 20_000
+        rate = start + (finish - start) * (np.arange(steps) + 0.5) / steps
+        demand = np.concatenate(([0.0], np.cumsum(rate))) / rate.sum()
+        own = sorted((hashlib.md5(str(r[0]).encode()).hexdigest(), r[0]) for r in rows if r[3] == source)
+        upto = 0
+        for _, doc in own:
+            r = found.loc[doc]
+            middle = upto + r["size"] / 2
+            upto += r["size"]
+            assert r.copies == sum(middle + k * r.source_size < r.target for k in range(5))
+            if not r.copies:
+                assert r.position != r.position
+                continue
+            low, high = 0, steps
+            while high - low > 1:
+                half = (low + high) // 2
+                low, high = (half, high) if demand[half] <= middle / r.target else (low, half)
+            assert low / steps - 1e-6 <= r.position <= high / steps + 1e-6
 
 
 def test_mixing_meets_targets(rows, result):

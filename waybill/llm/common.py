@@ -54,6 +54,11 @@ def words(text: str | Column = "text") -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
 
 
+def row_key() -> Column:
+    """64 bits of the text that tell rows apart which repeat an id or have none."""
+    return F.xxhash64("text")
+
+
 def bucket(key: Column, n: int) -> Column:
     """One of ``n`` even parts by the key's MD5, which other SQL engines compute as well."""
     head = F.substring(F.md5(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), 1, 8)

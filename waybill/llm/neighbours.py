@@ -170,7 +170,7 @@ def nearest(
     Equal vectors are searched once; their least ids stand for them, which is enough for any
     answer, so groups of copies are neither compared nor expanded. Vectors that are null,
     zero or hold null or non-finite components take no part, nor do null ids. Only vectors of
-    equal length are compared. Ties go to the smaller id. With fewer candidates there are
+    equal length are compared; components of any magnitude, tiny and huge ones included. Ties go to the smaller id. With fewer candidates there are
     fewer ranks; rows that repeat an id and vector count once, and no vectors give no rows.
     """
     scratch = scratch or scratch_folder(vectors.sparkSession)
@@ -206,8 +206,15 @@ def nearest(
     near = near.distinct().filter("query <> rep")
     itself = asked.select(F.col("rep").alias("query"), "rep")
     pairs = staged(near.unionByName(itself).distinct(), scratch, "pairs")
-    left = groups.select(F.col("rep").alias("query"), F.col("embedding").alias("a"))
-    right = groups.select("rep", "ids", F.col("embedding").alias("b"))
+    # Powers of two, in two steps, bring the largest component near 1: no digit changes and no
+    # product leaves a double's range.
+    most = F.array_max(F.transform("embedding", F.abs))
+    even = groups.withColumn("half", F.floor(F.log2(most) / 2)).withColumn("rest", F.floor(F.log2(most)) - F.col("half"))
+    once, again = (F.pow(F.lit(2.0), -F.col(c).cast("double")) for c in ("half", "rest"))
+    even = even.withColumns({"once": once, "again": again})
+    even = even.withColumn("embedding", F.transform("embedding", lambda x: x * F.col("once") * F.col("again")))
+    left = even.select(F.col("rep").alias("query"), F.col("embedding").alias("a"))
+    right = even.select("rep", "ids", F.col("embedding").alias("b"))
     both = pairs.join(left, "query").join(right, "rep")
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
     cosine = dot("a", "b") / (F.sqrt(dot("a", "a")) * F.sqrt(dot("b", "b")))
@@ -222,5 +229,6 @@ def nearest(
 
 
 def op4_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest found for every vector whose id is divisible by 50."""
     vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
     return nearest(vectors, F.col("vec_id") % 50 == 0)

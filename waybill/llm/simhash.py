@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waybill.llm.common import id_type, per_batch, values
+from waybill.llm.common import id_type, per_batch, row_key, values
 from waybill.llm.components import components
 from waybill.sources.sinks import scratch_folder, staged
 
@@ -44,14 +44,15 @@ def fingerprint(raw: bytes | None, width: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """(doc_id, bits) of every row, from its whole text."""
+    """(doc_id, row, bits) of every row, from its whole text; ``row`` is a key of the text."""
 
     def run(batch):
-        return zip(batch.column("doc_id").to_pylist(), (fingerprint(t, width) for t in values(batch)))
+        keys = (batch.column(c).to_pylist() for c in ("doc_id", "row"))
+        return zip(*keys, (fingerprint(t, width) for t in values(batch)))
 
-    narrow = docs.select("doc_id", "text")
-    types = {"doc_id": _arrow(narrow), "bits": pa.int64()}
-    return narrow.mapInArrow(per_batch(run, types), f"doc_id {id_type(narrow)}, bits long")
+    narrow = docs.select("doc_id", row_key().alias("row"), "text")
+    types = {"doc_id": _arrow(narrow), "row": pa.int64(), "bits": pa.int64()}
+    return narrow.mapInArrow(per_batch(run, types), f"doc_id {id_type(narrow)}, row long, bits long")
 
 
 def _arrow(docs: DataFrame) -> pa.DataType:
@@ -87,11 +88,13 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, *, width: int = SHINGLE, radius: int = RADIUS, scratch: str | None = None
 ) -> DataFrame:
-    """(doc_id, bits, component_id) per row of ``docs``: the least id reachable over links.
+    """(doc_id, row, bits, root, component_id) per row of ``docs``: the least id reachable over
+    links. ``root`` tells components apart that have one name because an id repeats.
 
     Null and blank texts have fingerprint 0 and are linked like any other. A null id takes
     part in links but never names a component unless all its members are null; rows that
-    repeat an id are kept. Other columns are ignored; an empty table gives no rows.
+    repeat an id are kept, each with its own fingerprint. Texts of any length are hashed in parts.
+    Other columns are ignored; an empty table gives no rows.
     """
     scratch = scratch or scratch_folder(docs.sparkSession)
     prints = staged(fingerprints(docs, width), scratch, "fingerprints")
@@ -100,30 +103,39 @@ def near_duplicates(
     roots = components(found, scratch).withColumnRenamed("node", "bits")
     member = roots.join(each, "bits")
     named = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    linked = member.join(named, "root").select("bits", "component_id")
+    linked = member.join(named, "root").select("bits", "root", "component_id")
     classes = each.join(linked, "bits", "left").select(
-        "bits", F.coalesce("component_id", "least").alias("component_id")
+        "bits",
+        F.coalesce("root", "bits").alias("root"),
+        F.when(F.col("root").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id"),
     )
     # Written, both sides of the join are plain shuffles and a hot fingerprint can be split.
     classes = staged(classes, scratch, "classes")
-    return prints.join(classes, "bits").select("doc_id", "bits", "component_id")
+    return prints.join(classes, "bits").select("doc_id", "row", "bits", "root", "component_id")
 
 
 def keep_one(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stand for their component, all columns kept.
+    """One row of ``docs`` for each component of ``classes``, all columns kept.
 
-    Of rows that repeat an id, the one with the least text stays. Rows without an id stay,
-    as nothing tells them apart.
+    It is the row of the least id; a row without an id stands for a component only if all its
+    members have none. Among rows that repeat this id the key of the text decides, and equal
+    texts under one id stand for each other. An id whose texts lie in several components stays
+    once in each.
     """
-    chosen = classes.filter("doc_id = component_id").select(F.col("doc_id").alias("kept")).distinct()
-    standing = docs.filter("doc_id IS NOT NULL").join(chosen, docs["doc_id"] == chosen["kept"], "left_semi")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    chosen = classes.groupBy("root").agg(F.min(rank).alias("least"))
+    chosen = chosen.select(F.col("least.doc_id").alias("kept_id"), F.col("least.row").alias("kept_row"))
+    key = F.xxhash64(docs["text"])
+    standing = docs.join(
+        chosen, docs["doc_id"].eqNullSafe(chosen["kept_id"]) & (key == chosen["kept_row"]), "left_semi"
+    )
+    nth = F.row_number().over(Window.partitionBy("doc_id", row_key()).orderBy("text"))
     place = "_nth" + "_" * max((len(c) for c in docs.columns), default=0)
-    first = standing.withColumn(place, nth).filter(F.col(place) == 1).drop(place)
-    return first.unionByName(docs.filter("doc_id IS NULL"))
+    return standing.withColumn(place, nth).filter(F.col(place) == 1).drop(place)
 
 
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and component of every document."""
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     return near_duplicates(docs).select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
