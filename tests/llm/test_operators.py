@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tests.llm import plain
 from waybill.llm import catalog, lm, mixing, neighbours, packing, quality, sharding, simhash
-from waybill.llm.common import numbered, word_hashes
+from waybill.llm.common import numbered, text_hashes, word_hashes
 from waybill.llm.components import components
 
 DATA = Path("/root/testdata/sf0.001")
@@ -115,6 +115,32 @@ def test_lm_spreads_rows_without_an_id(spark, monkeypatch):
     assert np.allclose(found(lm.score(docs)), whole)
 
 
+def test_lm_parts_blocks_of_many_bytes(spark, monkeypatch):
+    """One id on a third of all rows, equal rows among them, and texts of 20,000 words."""
+    rng = np.random.default_rng(3)
+    made = lambda n, top: " ".join(f"w{x}" for x in rng.integers(0, top, n))
+    rows = [(7, made(60, 40)) for _ in range(80)] + [(7, "same words here")] * 40
+    rows += [(1000 * i, made(50, 60)) for i in range(230)] + [(i, made(20_000, 3000)) for i in range(8, 18)]
+    want = sorted(plain.backoff(list(enumerate(t for _, t in rows))).values())
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for size in (lm.BYTES, 20_000):
+        monkeypatch.setattr(lm, "BYTES", size)
+        found = sorted(map(tuple, lm.score(docs).select("n_words", "log_prob").collect()))
+        assert [n for n, _ in found] == [n for n, _ in want]
+        assert np.allclose(found, want)
+    monkeypatch.setattr(lm, "FEW", 0)
+    assert np.allclose(sorted(map(tuple, lm.score(docs).select("n_words", "log_prob").collect())), want)
+
+
+def test_text_hashes_equal_those_of_each_text():
+    texts = [b"", b"a b", b" \n ", b"c" * 50, b" a  b c ", b"", b"a"]
+    for segment in (1, 8, 1 << 18):
+        sizes, hashes = text_hashes(texts, segment)
+        apart = [word_hashes(t) for t in texts]
+        assert sizes.tolist() == [len(x) for x in apart]
+        assert hashes.tolist() == np.concatenate(apart).tolist()
+
+
 def test_mixing_against_sql(result):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")

@@ -98,19 +98,43 @@ def word_hashes(raw: bytes, segment: int = 1 << 20) -> np.ndarray:
         end = min(len(raw), at + segment)
         while end < len(raw) and not _SEPARATOR[raw[end]]:
             end += 1
-        parts.append(_hashes(np.frombuffer(raw, np.uint8, end - at, at)))
+        parts.append(_hashes(np.frombuffer(raw, np.uint8, end - at, at))[1])
         at = end
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
-def _hashes(view: np.ndarray) -> np.ndarray:
+def text_hashes(texts: list[bytes], segment: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of words of the texts and the hashes of all their words, text after text.
+
+    Short texts are hashed together, about ``segment`` bytes at once.
+    """
+    sizes, parts, at = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], 0
+    while at < len(texts):
+        end, held = at + 1, len(texts[at])
+        while end < len(texts) and held + len(texts[end]) < segment:
+            held += len(texts[end]) + 1
+            end += 1
+        if end == at + 1:
+            parts.append(word_hashes(texts[at]))
+            sizes.append(np.array([len(parts[-1])]))
+        else:
+            starts, found = _hashes(np.frombuffer(b"\n".join(texts[at:end]), np.uint8))
+            ends = np.cumsum([len(t) + 1 for t in texts[at:end]])
+            sizes.append(np.diff(np.searchsorted(starts, ends), prepend=0))
+            parts.append(found)
+        at = end
+    return np.concatenate(sizes), np.concatenate(parts)
+
+
+def _hashes(view: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start, and their hashes."""
     edge = np.diff(np.concatenate(([1], _SEPARATOR[view].view(np.int8), [1])))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     up = powers(_WORD_BASE, len(view))
     down = powers(inverse(_WORD_BASE), len(view))
     total = np.concatenate(([np.uint64(0)], np.cumsum((view + np.uint64(1)) * up)))
     lengths = (ends - starts).astype(np.uint64)
-    return mixed((total[ends] - total[starts]) * down[starts] + lengths)
+    return starts, mixed((total[ends] - total[starts]) * down[starts] + lengths)
 
 
 def rolling(hashes: np.ndarray, width: int, base: np.uint64) -> np.ndarray:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -9,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm.common import mixed, rolling, values, word_hashes
+from waybill.llm.common import mixed, text_hashes, values
+from waybill.sources.sinks import scratch_folder, staged
 
 ORDER = 2
 #: The longest model of the query, which gives the scores by ``ORDER`` too.
@@ -19,8 +21,12 @@ BACKOFF = 0.4
 BLOCK = 4096
 #: Bytes of text for each part of the count tables, and the least number of parts.
 PART, LEAST = 8 << 20, 64
-#: Distinct n-grams a task holds before it sends them on.
-HELD = 4_000_000
+#: A block of more bytes is parted; so many parted blocks at most are broadcast.
+BYTES, FEW = 32 << 20, 100_000
+#: N-grams a task holds before it sends on the blocks that it has left.
+HELD = 8_000_000
+#: Bytes of text that travel together.
+PACK = 1 << 20
 _BASE = np.uint64(0x8EBC6AF09C88C6E3)
 #: Under this key the words of the whole corpus are counted.
 _WORDS = np.uint64(0)
@@ -28,10 +34,21 @@ _WORDS = np.uint64(0)
 _FIRST = -(1 << 62)
 
 
-def _grams(raw: bytes | None, order: int) -> list[np.ndarray]:
-    """Hashes of the text's n-grams of 1 to ``order`` words, each length hashed apart."""
-    hashes = word_hashes(raw or b"")
-    return [mixed(rolling(hashes, n, _BASE), n) for n in range(1, order + 1)]
+def _grams(sizes: np.ndarray, hashes: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For 1 to ``order`` words, the first words of the n-grams and their hashes, never 0.
+
+    ``hashes`` are the words of texts of ``sizes`` words; no n-gram reaches over an end.
+    """
+    text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    out, run = [], hashes
+    for n in range(1, order + 1):
+        if n > 1:
+            run = run[:-1] * _BASE + hashes[n - 1 :]
+            at = np.flatnonzero(text[: len(run)] == text[n - 1 :]) if len(run) else np.zeros(0, np.int64)
+        else:
+            at = np.arange(len(run))
+        out.append((at, np.maximum(mixed(run[at], n), np.uint64(1))))
+    return out
 
 
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -78,35 +95,69 @@ def block_counts(docs: DataFrame, parts: int, order: int = ORDER) -> DataFrame:
     A frequent n-gram thereby comes once from each block, however many rows hold it.
     """
 
+    def counted(block: int, words: int, grams: list[np.ndarray]) -> pa.RecordBatch:
+        key, count = np.unique(np.concatenate(grams), return_counts=True)
+        key, count = np.insert(key, 0, _WORDS), np.insert(count, 0, words)
+        part, keys, counts = zip(*_pieces(key, count, parts), strict=True)
+        columns = [pa.array(part, pa.int32()), pa.array([block] * len(part), pa.int64()), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["part", "block", "grams", "counts"])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[np.ndarray]] = {}
+        held: dict[int, tuple[int, list[np.ndarray]]] = {}
         n = 0
+        for block, _, texts in _runs(batches):
+            sizes, hashes = text_hashes(texts)
+            words, grams = held.pop(block, (0, []))
+            new = [found for _, found in _grams(sizes, hashes, order)]
+            held[block] = words + len(hashes), grams + new
+            n += sum(map(len, new))
+            while n > HELD:
+                left = next(iter(held))
+                words, grams = held.pop(left)
+                n -= sum(map(len, grams))
+                yield counted(left, words, grams)
+        for block, (words, grams) in held.items():
+            yield counted(block, words, grams)
+
+    return docs.select("block", "doc_id", "text").mapInArrow(run, "part int, block long, grams binary, counts binary")
+
+
+def _runs(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, list[int | None], list[bytes]]]:
+    """(block, ids, texts) of neighbouring rows of one block, about ``PACK`` bytes at once."""
+    of, ids, texts, size = None, [], [], 0
+    for batch in batches:
+        rows = zip(batch.column("block").to_pylist(), batch.column("doc_id").to_pylist(), values(batch), strict=True)
+        for block, key, raw in rows:
+            if ids and (block != of or size > PACK):
+                yield of, ids, texts
+                ids, texts, size = [], [], 0
+            of = block
+            ids.append(key)
+            texts.append(raw or b"")
+            size += len(texts[-1])
+    if ids:
+        yield of, ids, texts
+
+
+def packed_texts(docs: DataFrame) -> DataFrame:
+    """(block, ids, sizes, texts): the texts of neighbouring rows of a block, compressed."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, ids, texts in _runs(batches):
+            raw = pa.compress(b"".join(texts), codec="zstd", asbytes=True)
+            columns = [pa.array([block], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([[len(t) for t in texts]], pa.list_(pa.int64())), pa.array([raw], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["block", "ids", "sizes", "texts"])
+
+    schema = "block long, ids array<long>, sizes array<long>, texts binary"
+    return docs.select("block", "doc_id", "text").mapInArrow(run, schema)
+
 
-        def flush():
-            for block, found in held.items():
-                grams = np.concatenate(found)
-                words = np.uint64(sum(len(x) for x in found[::order]))
-                key, count = np.unique(grams, return_counts=True)
-                key, count = _merged([np.array([_WORDS]), key], [np.array([words], np.int64), count])
-                out = list(_pieces(key, count, parts))
-                part, grams, counts = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(part, pa.int32()), pa.array([block] * len(part), pa.int64()), pa.array(grams, pa.binary()), pa.array(counts, pa.binary())],
-                    names=["part", "block", "grams", "counts"],
-                )
-            held.clear()
-
-        for batch in batches:
-            for block, raw in zip(batch.column("block").to_pylist(), values(batch), strict=True):
-                found = _grams(raw, order)
-                held.setdefault(block, []).extend(found)
-                n += sum(map(len, found))
-                if n > HELD:
-                    yield from flush()
-                    n = 0
-        yield from flush()
-
-    return docs.select("block", "text").mapInArrow(run, "part int, block long, grams binary, counts binary")
+def _unpacked(packs: pa.Table) -> Iterator[tuple[list[int | None], list[bytes]]]:
+    for ids, sizes, raw in zip(packs.column("ids"), packs.column("sizes"), packs.column("texts"), strict=True):
+        sizes = sizes.as_py()
+        whole = pa.decompress(raw.as_py(), decompressed_size=sum(sizes), codec="zstd", asbytes=True)
+        ends = np.cumsum(sizes)
+        yield ids.as_py(), [whole[e - n : e] for e, n in zip(ends, sizes, strict=True)]
 
 
 def totals(counted: DataFrame) -> DataFrame:
@@ -136,45 +187,71 @@ def totals(counted: DataFrame) -> DataFrame:
     return counted.groupBy("part").applyInArrow(answer, "block long, part int, counts binary")
 
 
-def _others(grams: list[np.ndarray], key: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """For each n-gram of a block's documents, its count in all other documents."""
-    sizes = np.array([len(x) for x in grams])
-    at = np.searchsorted(key, np.concatenate(grams))
-    own = np.repeat(np.arange(len(sizes)), sizes) * len(key) + at
-    _, back, times = np.unique(own, return_inverse=True, return_counts=True)
-    return count[at] - times[back]
+def _others(grams: list[np.ndarray], texts: list[np.ndarray], times: np.ndarray, told: np.ndarray) -> list[np.ndarray]:
+    """For each n-gram of a block's texts, its count in all other documents.
 
-
-def _scored(docs: pa.Table, told: pa.Table, order: int) -> pa.Table:
-    ids, texts = docs.column("doc_id"), docs.column("text")
-    grams = [_grams(t.as_py() and t.as_py().encode(), order) for t in texts]
-    size = sum(len(g[0]) for g in grams)
-    key, count = np.unique(np.concatenate([x for g in grams for x in g]), return_counts=True)
-    key, count = _merged([np.array([_WORDS]), key], [np.array([size], np.int64), count])
+    ``texts`` has the text of each n-gram and ``times`` how many documents have that text;
+    ``told`` counts the distinct n-grams outside the block, in their order. One stable sort
+    brings equal n-grams together, text by text.
+    """
+    key, text = np.concatenate(grams), np.concatenate(texts)
+    order = np.argsort(key, kind="stable")
+    key, text = key[order], text[order]
+    edge = np.concatenate((np.ones(min(len(key), 1), bool), key[1:] != key[:-1]))
+    first = np.flatnonzero(edge)
+    total = told + (np.add.reduceat(times[text], first) if len(first) else 0)
+    edge[1:] |= text[1:] != text[:-1]
+    own = np.flatnonzero(edge)
+    length = np.diff(own, append=len(key))
+    gram = np.searchsorted(first, own, side="right") - 1
+    out = np.empty(len(key), np.int64)
+    out[order] = np.repeat(total[gram] - length, length)
+    return np.split(out, np.cumsum([len(g) for g in grams])[:-1])
+
+
+def _scored(packs: pa.Table, told: pa.Table, order: int) -> pa.Table:
+    ids, places, known = [], [], {}
+    sizes, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for keys, texts in _unpacked(packs):
+        new = []
+        for key, raw in zip(keys, texts, strict=True):
+            mark = hashlib.blake2b(raw, digest_size=16).digest()
+            if mark not in known:
+                known[mark] = len(known)
+                new.append(raw)
+            ids.append(key)
+            places.append(known[mark])
+        for parts, found in zip((sizes, hashes), text_hashes(new), strict=True):
+            parts.append(found)
+    sizes, hashes, places = np.concatenate(sizes), np.concatenate(hashes), np.array(places, np.int64)
+    times = np.bincount(places, minlength=len(sizes))
+    of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    grams = _grams(sizes, hashes, order)
     parts = sorted(zip(told.column("part").to_pylist(), told.column("counts"), strict=True), key=lambda x: x[0])
-    count = count + np.concatenate([_numbers(x.as_py(), np.int64) for _, x in parts])
-    words = int(count[0])
-    ends = [np.cumsum([len(g[n]) for g in grams]) for n in range(order)]
-    others = [_others([g[n] for g in grams], key, count) for n in range(order)]
-    out = []
-    for i, own in enumerate(grams):
-        count = [others[n][ends[n][i] - len(own[n]) : ends[n][i]] for n in range(order)]
-        size = len(own[0])
-        p = np.maximum(count[0], 0.5) / max(words - size, 1)
-        totals, misses = [float(np.log(p).sum())], [0]
-        lacks = count[0] == 0
-        backed = np.zeros(size, bool)
-        for n in range(1, order):
-            seen, context = count[n], count[n - 1][: len(count[n])]
-            met = seen > 0
-            rest = BACKOFF * p[n:]
-            p[n:] = np.where(met, seen / np.maximum(context, 1), rest)
-            backed[n:] = ~met
-            totals.append(float(np.log(p).sum()))
-            misses.append(int(backed.sum()))
-        out.append((ids[i].as_py(), size, totals, misses, int(lacks.sum())))
-    columns = zip(*out, strict=True) if out else [[]] * len(_TYPES)
-    return pa.table([pa.array(c, t) for c, t in zip(columns, _TYPES.values(), strict=True)], names=list(_TYPES))
+    told = np.concatenate([_numbers(x.as_py(), np.int64) for _, x in parts])
+    words = int(told[0] + (sizes * times).sum())
+    others = _others([g for _, g in grams], [of[at] for at, _ in grams], times, told[1:])
+
+    def summed(x: np.ndarray) -> np.ndarray:
+        return np.bincount(of, x, len(sizes))[places]
+
+    def whole(x: np.ndarray) -> np.ndarray:
+        return np.bincount(of[x], minlength=len(sizes))[places]
+
+    p = np.maximum(others[0], 0.5) / np.maximum(words - sizes, 1)[of]
+    totals, misses = [summed(np.log(p))], [np.zeros(len(places), np.int64)]
+    backed, context = np.zeros(len(of), bool), others[0]
+    for n in range(1, order):
+        at, seen = grams[n][0], others[n]
+        met = seen > 0
+        p[at + n] = np.where(met, seen / np.maximum(context[at], 1), BACKOFF * p[at + n])
+        backed[at + n] = ~met
+        totals.append(summed(np.log(p)))
+        misses.append(whole(backed))
+        context = np.zeros(len(of), np.int64)
+        context[at] = seen
+    per_row = [ids, sizes[places], np.stack(totals, 1).tolist(), np.stack(misses, 1).tolist(), whole(others[0] == 0)]
+    return pa.table([pa.array(c, t) for c, t in zip(per_row, _TYPES.values(), strict=True)], names=list(_TYPES))
 
 
 _TYPES = {
@@ -193,6 +270,7 @@ def by_order(docs: DataFrame, *, order: int = ORDER, block: Column | None = None
     size, lost = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), lost).first()
     spread = F.lit(_FIRST) + F.pmod(F.xxhash64("text"), F.lit(-(-lost // BLOCK) or 1))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(block, spread).alias("block"))
+    rows = _parted(rows)
     counted = block_counts(rows, max(LEAST, -(-size // PART)), order)
     told = totals(counted)
 
@@ -200,7 +278,25 @@ def by_order(docs: DataFrame, *, order: int = ORDER, block: Column | None = None
         return _scored(left, right, order)
 
     schema = "doc_id long, n_words long, log_probs array<double>, backed_off array<long>, n_unseen long"
-    return rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(run, schema)
+    return packed_texts(rows).groupBy("block").cogroup(told.groupBy("block")).applyInArrow(run, schema)
+
+
+def _parted(rows: DataFrame) -> DataFrame:
+    """``rows`` with blocks of more than ``BYTES`` parted by id and text.
+
+    Equal rows stay together, since a block scores a text once however many rows have it.
+    """
+    spark = rows.sparkSession
+    size = F.sum(F.octet_length("text"))
+    heavy = rows.groupBy(F.col("block").alias("_of")).agg(F.ceil(size / BYTES).alias("_parts")).filter("_parts > 1")
+    heavy = staged(heavy, scratch_folder(spark), "heavy")
+    n = heavy.count()
+    if not n:
+        return rows
+    part = F.pmod(F.xxhash64("doc_id", "text"), "_parts")
+    block = F.when(F.col("_parts").isNull(), F.col("block")).otherwise(F.xxhash64("block", part))
+    joined = rows.join(F.broadcast(heavy) if n <= FEW else heavy, rows["block"] == heavy["_of"], "left")
+    return joined.select("doc_id", "text", block.alias("block"))
 
 
 def _told(order: int, suffix: str = "") -> list[Column]:
@@ -221,9 +317,11 @@ def score(docs: DataFrame, *, order: int = ORDER, block: Column | None = None) -
 
     ``block`` groups rows whose n-grams are counted together before the shuffle and whose
     texts are scored together; by default ids that follow each other. It should hold a few
-    thousand rows and lie together in the files; results do not depend on it. The tables grow
-    with the corpus and are cut by hash into parts of bounded size. Null and blank texts have
-    no words, log_prob 0 and a null score; rows without a block (a null id) are spread over
+    thousand rows and lie together in the files; results do not depend on it. A block of more
+    than ``BYTES``, such as an id that many rows repeat or very long texts, is parted by id
+    and text; a single text is never parted. Count tables are cut by hash into parts of
+    bounded size. Null and blank texts have no words, log_prob 0 and a null score; rows
+    without a block (a null id) are spread over
     blocks of their own by their text; rows that repeat an id are documents of their own, so
     copies support each other.
     """
