@@ -22,7 +22,7 @@ BLOCK = 4096
 #: Bytes of text for each part of the count tables, and the least number of parts.
 PART, LEAST = 8 << 20, 64
 #: A block of more bytes is parted; so many parted blocks at most are broadcast.
-BYTES, FEW = 32 << 20, 100_000
+BYTES, FEW = 24 << 20, 100_000
 #: N-grams a task holds before it sends on the blocks that it has left.
 HELD = 8_000_000
 #: Bytes of text that travel together.
@@ -47,7 +47,7 @@ def _grams(sizes: np.ndarray, hashes: np.ndarray, order: int) -> list[tuple[np.n
             at = np.flatnonzero(text[: len(run)] == text[n - 1 :]) if len(run) else np.zeros(0, np.int64)
         else:
             at = np.arange(len(run))
-        out.append((at, np.maximum(mixed(run[at], n), np.uint64(1))))
+        out.append((at.astype(np.int32), np.maximum(mixed(run[at], n), np.uint64(1))))
     return out
 
 
@@ -187,26 +187,38 @@ def totals(counted: DataFrame) -> DataFrame:
     return counted.groupBy("part").applyInArrow(answer, "block long, part int, counts binary")
 
 
-def _others(grams: list[np.ndarray], texts: list[np.ndarray], times: np.ndarray, told: np.ndarray) -> list[np.ndarray]:
+def _others(grams: list[tuple[np.ndarray, np.ndarray]], of: np.ndarray, times: np.ndarray, told: np.ndarray) -> list[np.ndarray]:
     """For each n-gram of a block's texts, its count in all other documents.
 
-    ``texts`` has the text of each n-gram and ``times`` how many documents have that text;
-    ``told`` counts the distinct n-grams outside the block, in their order. One stable sort
-    brings equal n-grams together, text by text.
+    ``of`` has the text of each word and ``times`` how many documents have that text; ``told``
+    counts the distinct n-grams outside the block, in their order. Range by range of the
+    n-grams, one stable sort brings equal ones together, text by text.
     """
-    key, text = np.concatenate(grams), np.concatenate(texts)
-    order = np.argsort(key, kind="stable")
-    key, text = key[order], text[order]
-    edge = np.concatenate((np.ones(min(len(key), 1), bool), key[1:] != key[:-1]))
-    first = np.flatnonzero(edge)
-    total = told + (np.add.reduceat(times[text], first) if len(first) else 0)
-    edge[1:] |= text[1:] != text[:-1]
-    own = np.flatnonzero(edge)
-    length = np.diff(own, append=len(key))
-    gram = np.searchsorted(first, own, side="right") - 1
-    out = np.empty(len(key), np.int64)
-    out[order] = np.repeat(total[gram] - length, length)
-    return np.split(out, np.cumsum([len(g) for g in grams])[:-1])
+    out = [np.empty(len(key), np.int64) for _, key in grams]
+    heads = [(key >> np.uint64(60)).astype(np.uint8) for _, key in grams]
+    done = 0
+    for head in range(16):
+        mine = [np.flatnonzero(h == head) for h in heads]
+        key = np.concatenate([g[i] for (_, g), i in zip(grams, mine, strict=True)])
+        text = np.concatenate([of[at[i]] for (at, _), i in zip(grams, mine, strict=True)])
+        if not len(key):
+            continue
+        order = np.argsort(key, kind="stable")
+        key, text = key[order], text[order]
+        edge = np.concatenate(([True], key[1:] != key[:-1]))
+        first = np.flatnonzero(edge)
+        total = told[done : done + len(first)] + np.add.reduceat(times[text], first)
+        done += len(first)
+        edge[1:] |= text[1:] != text[:-1]
+        own = np.flatnonzero(edge)
+        length = np.diff(own, append=len(key))
+        gram = np.searchsorted(first, own, side="right") - 1
+        count = np.empty(len(key), np.int64)
+        count[order] = np.repeat(total[gram] - length, length)
+        ends = np.cumsum([len(i) for i in mine])
+        for found, i, part in zip(out, mine, np.split(count, ends[:-1]), strict=True):
+            found[i] = part
+    return out
 
 
 def _scored(packs: pa.Table, told: pa.Table, order: int) -> pa.Table:
@@ -230,7 +242,9 @@ def _scored(packs: pa.Table, told: pa.Table, order: int) -> pa.Table:
     parts = sorted(zip(told.column("part").to_pylist(), told.column("counts"), strict=True), key=lambda x: x[0])
     told = np.concatenate([_numbers(x.as_py(), np.int64) for _, x in parts])
     words = int(told[0] + (sizes * times).sum())
-    others = _others([g for _, g in grams], [of[at] for at, _ in grams], times, told[1:])
+    others = _others(grams, of, times, told[1:])
+    starts = [at for at, _ in grams]
+    del grams, told, hashes
 
     def summed(x: np.ndarray) -> np.ndarray:
         return np.bincount(of, x, len(sizes))[places]
@@ -242,7 +256,7 @@ def _scored(packs: pa.Table, told: pa.Table, order: int) -> pa.Table:
     totals, misses = [summed(np.log(p))], [np.zeros(len(places), np.int64)]
     backed, context = np.zeros(len(of), bool), others[0]
     for n in range(1, order):
-        at, seen = grams[n][0], others[n]
+        at, seen = starts[n], others[n]
         met = seen > 0
         p[at + n] = np.where(met, seen / np.maximum(context[at], 1), BACKOFF * p[at + n])
         backed[at + n] = ~met
