@@ -94,6 +94,28 @@ def backoff(rows: Rows) -> dict:
     return out
 
 
+def tree_shard(key: str, tree: dict) -> int:
+    """Descends by exponential draws over chained XXH64 values of key, level and child."""
+
+    def weight(x) -> float:
+        return sum(map(weight, x.values())) if isinstance(x, dict) else x
+
+    def drawn(level: str, children: dict) -> str:
+        draws = []
+        for name, child in children.items():
+            seed = 42
+            for part in (key, level, str(name)):
+                seed = xxhash.xxh64_intdigest(part.encode(), seed)
+            if weight(child) > 0:
+                draws.append((-math.log(((seed >> 11) + 0.5) / 2**53) / weight(child), name))
+        return min(draws)[1]
+
+    for level in ("region", "rack", "shard"):
+        name = drawn(level, tree)
+        tree = tree[name]
+    return name
+
+
 def hard_negatives(rows: list[tuple]) -> list[tuple]:
     """(vec_id, label, vector) to (anchor, positive, rank, negative, both scores), by all pairs."""
     good = []

@@ -185,6 +185,20 @@ def test_mixing_meets_targets(rows, result):
     assert by.target.sum() == pytest.approx(by.source_size.sum())
 
 
+def test_sharding_against_plain_tree(spark, rows, result):
+    """Every row's shard, also in trees of unequal weights, recomputed from XXH64 values."""
+    found = result("op2_sharding").set_index("doc_id")
+    tree = sharding.even_tree()
+    grown = sharding.grown_tree(tree)
+    for r in rows:
+        assert found.shard[r[0]] == plain.tree_shard(str(r[0]), tree)
+        assert found.grown_shard[r[0]] == plain.tree_shard(str(r[0]), grown)
+    uneven = {"a": {"a0": {0: 3.0, 1: 0.0}, "a1": {2: 0.5}}, "b": {"b0": {3: 1.0, 4: 1.5, 5: 0.25}}}
+    keys = spark.range(500).select(F.col("id").cast("string").alias("key"))
+    for key, got in keys.select("key", sharding.descend(F.col("key"), uneven)).collect():
+        assert got == plain.tree_shard(key, uneven)
+
+
 def test_sharding(rows, result):
     found = result("op2_sharding")
     texts = {r[0]: r[1] for r in rows}
