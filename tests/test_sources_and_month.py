@@ -278,6 +278,20 @@ def test_a_rerun_replaces_whatever_is_left(spark, make_trips, tmp_path):
     assert publish.read_table(spark, out, "t", "2026_02").count() == 1
 
 
+def test_the_quarantine_is_not_moved(make_trips, make_zones, tmp_path, january, monkeypatch):
+    """It is tagged and written where its rows are read: no exchange, and no sort for one."""
+    plans, real = {}, staged
+
+    def spied(df, folder, name, **options):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return real(df, folder, name, **options)
+
+    monkeypatch.setattr(sinks, "staged", spied)
+    run_month(january, make_trips(*_month_of_trips(1, 50, 3)), make_zones(), str(tmp_path))
+    assert "Scan parquet" in plans["quarantined_trips"]
+    assert "Exchange" not in plans["quarantined_trips"] and "Sort" not in plans["quarantined_trips"]
+
+
 def test_one_empty_file_is_refused(make_trips, tmp_path):
     path = str(tmp_path / "trips")
     make_trips(trip()).write.parquet(path)

@@ -164,7 +164,7 @@ class Workbench:
 
     def quarantine_roundtrip(self) -> DataFrame:
         run = self.attempt()
-        run.table(gate.quarantined(self.trips, PROFILE), "quarantined_trips", rebalance=True)
+        run.table(gate.quarantined(self.trips, PROFILE), "quarantined_trips")
         run.commit()
         return publish.read_table(self.spark, run.out, "quarantined_trips", run.label)
 

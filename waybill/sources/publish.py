@@ -47,7 +47,8 @@ class Attempt:
 
     def table(self, df: DataFrame, name: str, *, rebalance: bool = False) -> DataFrame:
         """A Parquet table; gives what was written. ``rebalance`` exchanges the rows into files
-        of the advisory size: use it where a filter leaves each task little."""
+        of the advisory size, and sorts each task's rows for it: use it where a filter leaves each
+        task little and the rows are few, for it moves and spills several times their size."""
         return sinks.staged(df.hint("rebalance") if rebalance else df, self.folder, name)
 
     def path(self, name: str, kind: str) -> str:

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Files that a task writing partitions keeps open before it sorts instead.
 OPEN_FILES = 8
+#: Stored bytes that a task of ``packed`` reads at least, where there are as many.
+FILE_BYTES = 32 << 20
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -44,6 +46,14 @@ def _located(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def packed(df: DataFrame, path: str) -> DataFrame:
+    """Rows read from the files under ``path`` in no more tasks than fill a file each, by the
+    stored size; none is moved. An absent folder holds nothing."""
+    files, place = _located(df.sparkSession, path)
+    stored = files.getContentSummary(place).getLength() if files.exists(place) else 0
+    return df.coalesce(max(1, -(-stored // FILE_BYTES)))
+
+
 def discard(spark: SparkSession, folder: str) -> None:
     """Remove a folder of intermediate tables; an absent one is no error."""
     files, place = _located(spark, folder)
