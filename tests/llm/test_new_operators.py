@@ -114,6 +114,22 @@ def test_alignment_does_not_depend_on_its_memory(spark, monkeypatch):
     assert all_windows() == want
 
 
+def test_alignment_encodes_a_word_once(spark):
+    files = tuple(map(public_tokenizers.path, (*alignment.VOCABULARY, alignment.PIECES)))
+    both, rng = alignment.Aligner(*files), random.Random(4)
+    encoded, short = [], both.encoder.short
+    both.encoder.short = lambda text: encoded.append(text) or short(text)
+    known = ["word", "it's", "don't\n\nstop", "x\ty", "caf\u00e9", "<|endoftext|>", "<s>", "1,234.5", "\u00a1"]
+    texts = [" ".join(rng.choices(known, k=30)) for _ in range(40)]
+    found = both.rows(texts) + both.rows(texts)
+    assert sorted(encoded) == sorted(f" {w}" for w in known)
+    # Spaces together, at an end or beside other white space: whole texts, as all were once.
+    texts += ["", " ", "a  b", " a", "a ", "a \nb", "a\n b", "\n", "\u65e5 a", "a\u00a0b c"]
+    parts = [both.rows([t])[0] for t in texts if t]
+    both.apart = False
+    assert parts == both.rows([t for t in texts if t]) and found == parts[:40] * 2
+
+
 # -- hard negatives -----------------------------------------------------------------------
 
 VECTORS = "vec_id long, embedding array<double>, label int"

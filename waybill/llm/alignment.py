@@ -1,8 +1,9 @@
-"""Alignment of two tokenizers over the corpus, by windows between whitespace anchors."""
+"""Alignment of two tokenizers over the corpus, by words or by windows between whitespace anchors."""
 
 from __future__ import annotations
 
 import hashlib
+import re
 from array import array
 from collections.abc import Iterable
 from functools import lru_cache
@@ -16,19 +17,24 @@ from pyspark.sql import Window as SqlWindow
 from pyspark.sql import functions as F
 
 from waybill.llm.common import per_batch, values
+from waybill.llm.packing import _GAPS as GAPS
 from waybill.llm.packing import _PLAIN as PLAIN
 from waybill.llm.packing import VOCABULARY, Encoder
 from waybill.sources.sinks import scratch_folder, staged
 
 PIECES = "piece_bpe_32k.model"
-#: Windows after which a worker sets a new memory up and keeps the last one beside it, and the
-#: most ids that a remembered window has.
+#: Words and windows after which a worker sets a new memory up and keeps the last one beside it,
+#: and the most ids that a remembered one has.
 MEMO, REMEMBERED = 200_000, 64
 #: Texts that are encoded together.
 TOGETHER = 64
 _MARK = "▁"
 #: Groups as text, their number, and the links as 64-bit numbers.
 Window = tuple[str, int, bytes]
+#: Tokens of either side, groups as text, their number, links: of a word or a whole text.
+Spelt = tuple[int, int, str, int, bytes]
+#: A word that either side does not spell back.
+_UNSPELT: Spelt = (0, 0, "", 0, b"")
 #: Added to the ids of the second side where both stand in one key.
 _OTHER = np.int32(1 << 24)
 
@@ -101,9 +107,12 @@ class Aligner:
         self.a = Side([bytes(byte_of[c] for c in t) if all(c in byte_of for c in t) else t.encode() for t in tokens])
         self.model = sentencepiece.SentencePieceProcessor(model_file=pieces)
         self.b = Side([self._piece(i) for i in range(self.model.get_piece_size())])
-        # Windows met lately, and those met before: the ones that come back stay.
-        self.memo: dict[bytes, Window] = {}
-        self.earlier: dict[bytes, Window] = {}
+        # Whether no piece reaches from a word into the next one.
+        known = map(self.model.id_to_piece, range(self.model.get_piece_size()))
+        self.apart = not any(re.search(f"[^{_MARK}]{_MARK}", piece) for piece in known)
+        # Words and windows met lately, and those met before: the ones that come back stay.
+        self.memo: dict[str, Spelt] | dict[bytes, Window] = {}
+        self.earlier: dict[str, Spelt] | dict[bytes, Window] = {}
 
     def _piece(self, i: int) -> bytes:
         piece = self.model.id_to_piece(i)
@@ -130,6 +139,53 @@ class Aligner:
     def _whole(self, text: str) -> list[int]:
         return self.encoder.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
+    def rows(self, texts: list[str]) -> list[Spelt | None]:
+        """Each text aligned, or nothing where either side does not spell it.
+
+        Where single spaces part a plain text, no token of either side reaches past a space, so
+        both end there and the text's groups and links are those of its words, which come back
+        far more often than texts do. All other texts are encoded whole.
+        """
+        parted = [t.split(" ") if self.apart and PLAIN.fullmatch(t) and not GAPS.search(f" {t} ") else None for t in texts]
+        found = [words and [*map(self.memo.get, words)] for words in parted]
+        missing = {w for words, known in zip(parted, found) if known and None in known for w, e in zip(words, known) if e is None}
+        learnt = self._learn([*missing]) if missing else {}
+        whole = iter(self.encode([t for t, words in zip(texts, parted) if words is None]))
+        done: list[Spelt | None] = []
+        for words, known in zip(parted, found):
+            if words is None:
+                sides = next(whole)
+                windows = sides and [(0, 0, *w) for w in self.windows(*sides)]
+                counts = (len(sides[0]), len(sides[1])) if sides else (0, 0)
+            else:
+                windows = [e or learnt[w] for w, e in zip(words, known)] if None in known else known
+                windows = None if _UNSPELT in windows else windows
+                counts = None
+            if windows is None:
+                done.append(None)
+                continue
+            n_a, n_b, groups, sizes, links = zip(*windows)
+            counts = counts or (sum(n_a), sum(n_b))
+            done.append((*counts, ";".join(groups), sum(sizes), b"".join(links)))
+        return done
+
+    def _learn(self, words: list[str]) -> dict[str, Spelt]:
+        """Words that were not met lately, each aligned with the space before it."""
+        found = {w: e for w in words if (e := self.earlier.get(w))}
+        fresh = [w for w in words if w not in found]
+        for word, pieces in zip(fresh, self.model.encode(fresh, num_threads=1), strict=True):
+            spaced = f" {word}"
+            said, ids = spaced.encode(), self.encoder.short(spaced)
+            spelt = sum(map(self.a.sizes.__getitem__, ids)) == len(said) and self.b.spell(pieces) == said
+            found[word] = (len(ids), len(pieces), *align(ids, pieces, self.a, self.b)) if spelt else _UNSPELT
+        self.memo.update((w, e) for w, e in found.items() if e[0] + e[1] <= REMEMBERED)
+        self._turn()
+        return found
+
+    def _turn(self) -> None:
+        if len(self.memo) >= MEMO:
+            self.memo, self.earlier = {}, self.memo
+
     def windows(self, a: np.ndarray, b: np.ndarray) -> list[Window]:
         """The aligned windows between anchors: shared ends before a token of either side
         that begins with a space, and the end of the text."""
@@ -150,8 +206,7 @@ class Aligner:
                 if window is None:
                     ids = a[from_a[n] // 4 : to_a[n] // 4], b[from_b[n] // 4 : to_b[n] // 4]
                     found[n] = self._recalled(keys[n], *ids)
-            if len(self.memo) >= MEMO:
-                self.memo, self.earlier = {}, self.memo
+            self._turn()
         return found
 
     def _recalled(self, key: bytes, a: np.ndarray, b: np.ndarray) -> Window:
@@ -173,8 +228,8 @@ def aligned(docs: DataFrame, *, vocabularies: tuple[str, str, str] | None = None
     ``pairs`` holds the row's distinct linked id pairs, b * 2**32 + a, and ``times`` how many
     links hold each. Rows are told apart by nothing but their text: repeated or null ids get a
     row each. Null and empty texts, and texts that either tokenizer does not spell back, have
-    no tokens: zeros, no pairs and an empty hash. A text is one sequence at any length; only
-    its windows are remembered, about twice ``MEMO`` of up to ``REMEMBERED`` ids. ``vocabularies``
+    no tokens: zeros, no pairs and an empty hash. A text is one sequence at any length; only its
+    words or windows are remembered, about twice ``MEMO`` of up to ``REMEMBERED`` ids. ``vocabularies``
     names the byte-level tokenizer, its ranks and the piece model, at one place on all executors.
     """
     files = vocabularies or tuple(map(public_tokenizers.path, (*VOCABULARY, PIECES)))
@@ -184,18 +239,17 @@ def aligned(docs: DataFrame, *, vocabularies: tuple[str, str, str] | None = None
         both, ids = aligner(*files), batch.column("doc_id").to_pylist()
         for at, raws in enumerate(batched(values(batch), TOGETHER)):
             texts = [(raw or b"").decode() for raw in raws]
-            encoded = iter(both.encode([t for t in texts if t]))
+            spelt = iter(both.rows([t for t in texts if t]))
             for key, text in zip(ids[at * TOGETHER :], texts):
-                sides = next(encoded) if text else None
-                if sides is None:
+                found = next(spelt) if text else None
+                if found is None:
                     yield (key, *nothing, *(("",) if with_groups else ()))
                     continue
-                found = both.windows(*sides)
-                groups = ";".join([w[0] for w in found])
-                links = np.frombuffer(b"".join([w[2] for w in found]), np.int64)
+                n_a, n_b, groups, n_groups, raw = found
+                links = np.frombuffer(raw, np.int64)
                 pairs, times = np.unique(links, return_counts=True)
                 sha = hashlib.sha256(groups.encode()).hexdigest()
-                row = (key, len(sides[0]), len(sides[1]), sum([w[1] for w in found]), len(links), sha, pairs, times)
+                row = (key, n_a, n_b, n_groups, len(links), sha, pairs, times)
                 yield (*row, groups) if with_groups else row
 
     types = {
