@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+import threading
+from datetime import datetime
 
 import pytest
 
@@ -11,7 +13,7 @@ from waybill.operators import dimensions, gate
 from waybill.operators.cells import value_cells
 from waybill.operators.fact import trip_fact, trip_measures, with_trip_id
 from waybill.plans import catalog, kpis
-from waybill.sources import orders, manifest, readers
+from waybill.sources import orders, manifest, readers, sinks
 
 DATA = "/root/testdata/sf0.001"
 
@@ -134,6 +136,24 @@ def test_line_items_move_as_stored(spark):
     assert not any(name in columns for columns in moved for name in ("tip_amount", "total_amount", "trip_distance"))
 
 
+def test_attempts_are_written_at_once_and_count_in_turn(spark, make_trips, monkeypatch):
+    passes = trip(
+        tpep_pickup_datetime=datetime(1997, 1, 1, 10), tpep_dropoff_datetime=datetime(1997, 1, 1, 10, 15),
+        PULocationID=3, DOLocationID=4,
+    )
+    work, all_begun, real = catalog.Workbench(spark, ""), threading.Barrier(8), sinks.staged
+    work.trips = make_trips(passes, passes, trip())
+
+    def meeting(df, folder, name, **options):
+        if "/runs/" in folder:
+            all_begun.wait(60)
+        return real(df, folder, name, **options)
+
+    monkeypatch.setattr(sinks, "staged", meeting)
+    found = sorted(map(tuple, work.rerun_replaces().collect()))
+    assert found == [("kept", "clean", 2), ("kept", "quarantine", 1), ("rerun", "clean", 0), ("rerun", "quarantine", 3)]
+
+
 @pytest.mark.parametrize("hot", ["l_orderkey", "l_suppkey"])
 def test_hot_key_is_split(spark, tmp_path, hot):
     """A third of all line items on one order or supplier, tables past any broadcast:

@@ -217,12 +217,22 @@ class Workbench:
         trips = sinks.staged(self.trips, out, "trips")
         none_pass = replace(PROFILE, thresholds=Thresholds(min_distance_miles=1e6))
         tables = {"clean": gate.clean, "quarantine": gate.quarantined}
-        for label, profile, ends in (
-            ("kept", PROFILE, True), ("rerun", PROFILE, True), ("rerun", none_pass, True), ("kept", none_pass, False),
-        ):
-            run = publish.begin(self.spark, out, label)
-            for name, part in tables.items():
-                run.table(part(trips, profile), name)
+        attempts = [
+            (publish.begin(self.spark, out, label), profile, ends)
+            for label, profile, ends in (
+                ("kept", PROFILE, True), ("rerun", PROFILE, True), ("rerun", none_pass, True), ("kept", none_pass, False),
+            )
+        ]
+        # No attempt sees another's folder, so all are written at once; they are committed in turn.
+        monthly._together(
+            self.spark,
+            *(
+                lambda run=run, profile=profile, name=name, part=part: run.table(part(trips, profile), name)
+                for run, profile, _ in attempts
+                for name, part in tables.items()
+            ),
+        )
+        for run, _, ends in attempts:
             if ends:
                 run.commit()
         counts = [
