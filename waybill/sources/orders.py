@@ -57,28 +57,17 @@ def zones(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _narrow(lineitem: DataFrame) -> DataFrame:
-    """What is needed of a line item, in the form that takes least to move: stored values
-    repeat and pack well, figures worked out of several of them do not."""
-    return lineitem.selectExpr(
-        *(c for c in lineitem.columns if c not in ("l_returnflag", "l_linestatus")),
-        "l_returnflag = 'R' AS returned",
-        "l_linestatus = 'F' AS finished",
-    )
-
-
-def _items(joined: DataFrame) -> DataFrame:
-    """What follows from the line item alone, beside the columns of the tables joined to it."""
-    coded = joined.selectExpr(
+def _items(lineitem: DataFrame) -> DataFrame:
+    """What follows from the line item alone, computed before anything is joined."""
+    coded = lineitem.selectExpr(
         "*",
         "CASE WHEN l_orderkey % 7 < 2 THEN 0L ELSE 1 + l_orderkey % 4 END AS pay",
-        "IF(returned AND l_discount > 0.095D, -l_extendedprice / 1000D,"
+        "IF(l_returnflag = 'R' AND l_discount > 0.095D, -l_extendedprice / 1000D,"
         " l_extendedprice / 1000D) AS fare",
     )
     return coded.selectExpr(
-        "o_orderdate",
-        "DOLocationID",
-        "PULocationID",
+        "l_orderkey",
+        "l_suppkey",
         "l_linenumber AS VendorID",
         "CAST((l_orderkey * 997 + l_linenumber * 3571) % 86400 AS INT) AS offset",
         "CAST(CASE WHEN l_partkey % 97 = 0 THEN -300 WHEN l_partkey % 89 = 0 THEN 90000"
@@ -88,7 +77,7 @@ def _items(joined: DataFrame) -> DataFrame:
         "CASE WHEN l_partkey % 83 = 0 THEN 160D WHEN l_partkey % 79 = 0 THEN 0D"
         " ELSE l_quantity / 5D END AS trip_distance",
         "IF(pay <> 0, 1 + l_linenumber % 6, NULL) AS RatecodeID",
-        "IF(pay <> 0, IF(finished, 'Y', 'N'), NULL) AS store_and_fwd_flag",
+        "IF(pay <> 0, IF(l_linestatus = 'F', 'Y', 'N'), NULL) AS store_and_fwd_flag",
         "pay AS payment_type",
         "fare AS fare_amount",
         "IF(pay = 1, fare * l_discount, 0D) AS tip_amount",
@@ -101,8 +90,7 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
     """Line items with their order, customer zone and supplier zone.
 
     Orders meet customers before they meet line items, so the largest table is
-    exchanged once per key it joins on and never for the customer key. It is moved with its
-    stored columns, and the trip is worked out behind the joins. Line items and
+    exchanged once per key it joins on and never for the customer key. Line items and
     orders are both facts, so that join is always a merge join, which spills and whose
     skewed keys adaptive execution splits; the other sides are broadcast while they
     fit the planner's threshold and merge-joined beyond it.
@@ -115,13 +103,10 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
     shippers = _table(spark, folder, "supplier").selectExpr(
         "s_suppkey", "s_nationkey + 1 AS PULocationID"
     )
-    joined = (
-        _narrow(_table(spark, folder, "lineitem"))
+    return (
+        _items(_table(spark, folder, "lineitem"))
         .join(placed.hint("merge"), F.expr("l_orderkey = o_orderkey"))
         .join(shippers, F.expr("l_suppkey = s_suppkey"))
-    )
-    return (
-        _items(joined)
         .selectExpr(
             "VendorID",
             "o_orderdate + offset * INTERVAL '1' SECOND AS tpep_pickup_datetime",
