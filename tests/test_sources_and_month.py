@@ -152,6 +152,134 @@ def test_manifest(spark, tmp_path):
         manifest.verified_trips(spark, str(tmp_path / "none.parquet"))
 
 
+@pytest.fixture
+def small_ranges(spark, monkeypatch):
+    """Files count as large, ranges, turns and parts as full, at sizes that a test can write."""
+    monkeypatch.setattr(manifest, "WHOLE_BYTES", 9_000)
+    monkeypatch.setattr(manifest, "TURN_BYTES", 20_000)
+    monkeypatch.setattr(manifest, "PART_BYTES", 700)
+    conf = {"spark.sql.files.maxPartitionBytes": "6000", "spark.sql.files.openCostInBytes": "1"}
+    before = {key: spark.conf.get(key) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def large_files(path):
+    """Parquet files of unlike sizes, with newlines anywhere and with none over several ranges."""
+    mixed = random.Random(5)
+    for i, (name, rows) in enumerate({"a [1]/{b}": 9_000, "e%20": 4_000, "c d": 2_500, "small": 10}.items()):
+        (path / name).mkdir(parents=True)
+        table = pa.table({
+            "a": [mixed.choice((10, 13, 0x0A0A0A0A, mixed.getrandbits(60))) for _ in range(rows)],
+            "none": [b"\0\r" * 2 if i % 2 else b"\n"] * rows,
+        })
+        pq.write_table(
+            table, path / name / "t.parquet", compression="none", use_dictionary=False, row_group_size=1 + rows // (1 + 40 * (i == 1))
+        )
+    return sorted(path.rglob("*.parquet"))
+
+
+def test_large_files_are_read_by_ranges(spark, tmp_path, small_ranges):
+    paths = large_files(tmp_path / "in")
+    listed = manifest.file_manifest(spark, str(tmp_path / "in"), scratch=str(tmp_path / "scratch"))
+    rows = {r["file_path"].removeprefix("file:"): r for r in listed.collect()}
+    assert sorted(rows) == list(map(str, paths))
+    for path in paths:
+        data, footer, row = path.read_bytes(), pq.ParquetFile(path), rows[str(path)]
+        assert (row["sha256"], row["file_size_bytes"]) == (hashlib.sha256(data).hexdigest(), len(data))
+        assert (row["num_rows"], row["num_row_groups"]) == (footer.metadata.num_rows, footer.metadata.num_row_groups)
+        assert row["schema_columns"] == ["a", "none"]
+    assert sum(len(p.read_bytes()) > manifest.WHOLE_BYTES for p in paths) == 3
+    assert os.listdir(tmp_path / "scratch") == ["large"]
+    footers = manifest.file_manifest(spark, str(tmp_path / "in"), hashed=False).drop("sha256")
+    assert sorted(footers.collect()) == sorted(listed.drop("sha256").collect())
+    checks = manifest.hash_checks(spark, str(tmp_path / "in")).collect()
+    assert len(checks) == 4 and all(r["size_holds"] and r["hash_holds"] for r in checks)
+
+
+def test_no_task_reads_a_large_file_whole(spark, tmp_path, small_ranges, monkeypatch):
+    """Neither of the file nor of the ranges kept does a task read more than a turn and a range."""
+    (tmp_path / "in").mkdir()
+    drawn = random.Random(3)
+    table = pa.table({"a": [drawn.getrandbits(62) for _ in range(20_000)]})
+    pq.write_table(table, tmp_path / "in" / "t.parquet", compression="none", use_dictionary=False)
+    read = []
+
+    def counted(task):
+        def count(batches):
+            import pyarrow as pa
+
+            size = 0
+            for batch in batches:
+                size += sum(len(x or b"") for x in batch.column(batch.num_columns - 1).to_pylist())
+                yield from ()
+            yield pa.record_batch([pa.array([size], pa.int64())], ["size"])
+
+        return count
+
+    # The bytes that reach the two kinds of task, measured in place of the tasks' own work.
+    arrow = type(spark.range(1)).mapInArrow
+
+    def watched(df, task, schema):
+        read.append(max(r["size"] for r in arrow(df, counted(task), "size bigint").collect()))
+        return arrow(df, task, schema)
+
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", watched)
+    manifest.file_manifest(spark, str(tmp_path / "in"), scratch=str(tmp_path / "scratch"))
+    assert (tmp_path / "in" / "t.parquet").stat().st_size > 150_000
+    assert len(read) > 8 and max(read) < 30_000
+
+
+def test_large_files_that_are_no_tables(spark, tmp_path, small_ranges):
+    for data in (b"\n" * 10_000, b"x" * 10_000, b"\xef\xbb\xbf" + b"ab\n" * 4_000):
+        (tmp_path / "t.parquet").write_bytes(data)
+        with pytest.raises(Exception, match="not a Parquet file|bytes has"):
+            manifest.file_manifest(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("native", [True, False])
+def test_a_hash_goes_on_from_its_state(native):
+    """Any cut of any bytes gives the digest of the whole, also beside other files."""
+    drawn = random.Random(7)
+    for length in (0, 1, 55, 56, 63, 64, 65, 119, 128, 1_000, 4_096):
+        datas = [drawn.randbytes(length), drawn.randbytes(length // 2)]
+        states, places = [b"", b""], [0, 0]
+        cuts = sorted(drawn.randrange(length + 1) for _ in range(3)) + [length + 1]
+        for cut in cuts:
+            last = cut > length
+            rows = []
+            for file, data in enumerate(datas):
+                rows.append((file, len(data), places[file], states[file]))
+                # The reader ends each last line, whether the file does or not.
+                more = (data + b"\n" * (file == 0))[places[file] : cut]
+                rows += [(file, None, None, more[i : i + 50]) for i in range(0, len(more), 50)]
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.int64(), pa.binary()))]
+            batch = pa.record_batch(columns, ["file", "length", "done", "bytes"])
+            batches = [batch.slice(i, 7) for i in range(0, len(rows), 7)]
+            out = [r for b in manifest._hasher(last, native)(iter(batches)) for r in b.to_pylist()]
+            states, places = [r["bytes"] for r in out], [r["done"] for r in out]
+            assert last or [r["sha256"] for r in out] == [None, None]
+        assert [r["sha256"] for r in out] == [hashlib.sha256(d).hexdigest() for d in datas]
+
+
+def test_range_tasks_need_no_package(tmp_path):
+    """As below, for the tasks that large files' ranges and hashes pass through."""
+    (tmp_path / "tasks").write_bytes(cloudpickle.dumps((manifest._joiner(4), manifest._hasher(True))))
+    code = (
+        "import pickle, pyarrow as pa; join, hashed = pickle.load(open('tasks', 'rb'));"
+        " lines = pa.record_batch({'file': pa.array([0, 0], pa.int32()), 'start': [0, 0], 'line': [b'abcd', b'e']});"
+        " parts = pa.Table.from_batches(join(iter([lines]))); print(parts['bytes'].to_pylist());"
+        " rows = pa.record_batch({'file': [0, 0], 'length': [3, None], 'done': [0, None], 'bytes': [b'', b'abc']});"
+        " print(next(hashed(iter([rows])))['sha256'][0])"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert run.stdout.split("\n")[:2] == [str([b"abcd", b"\ne\n"]), hashlib.sha256(b"abc").hexdigest()], run.stderr
+
+
 def test_manifest_task_needs_no_package(tmp_path):
     """Executors may run the hashing function without this package on their path."""
     pq.write_table(pa.table({"a": [1, 2]}), tmp_path / "t.parquet")
