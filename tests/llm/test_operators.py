@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import plain
-from waybill.llm import catalog, lm, mixing, neighbours, packing, quality, sharding, simhash
+from waybill.llm import catalog, common, lm, mixing, neighbours, packing, quality, sharding, simhash, substring
 from waybill.llm.common import numbered, text_hashes, word_hashes
 from waybill.llm.components import components
 
@@ -388,6 +388,54 @@ def test_word_hashes_do_not_depend_on_segments():
     assert len(np.unique(word_hashes(raw))) == 3
 
 
+@pytest.mark.parametrize(
+    ("module", "call"),
+    [
+        (quality, lambda docs, to: quality.measured(docs, to)),
+        (simhash, lambda docs, to: simhash.fingerprints(docs)),
+        (substring, lambda docs, to: substring.summaries(docs)),
+        (substring, lambda docs, to: substring.remaining(docs.withColumns({"row": F.lit(0), "spans": F.expr("array(struct(0 AS start, 1 AS end))")}))),
+        (packing, lambda docs, to: packing.pieces(docs)),
+    ],
+    ids=["quality", "simhash", "substring", "remaining", "packing"],
+)
+def test_workers_are_sent_bounded_batches(spark, monkeypatch, tmp_path, module, call):
+    limit, setting, per_batch = 2 * common.BATCH_BYTES, "spark.sql.execution.arrow.maxBytesPerBatch", common.per_batch
+
+    def watched(fn, types):
+        def run(batch):
+            if batch.nbytes > limit:
+                raise ValueError(f"a batch of {batch.nbytes} bytes")
+            yield from fn(batch)
+
+        return per_batch(run, types)
+
+    monkeypatch.setattr(module, "per_batch", watched)
+    spark.conf.unset(setting)
+    docs = spark.range(200, numPartitions=1).select(
+        F.col("id").alias("doc_id"), F.repeat(F.concat(F.col("id").cast("string"), F.lit(" ")), 20_000).alias("text")
+    )
+    assert call(docs, str(tmp_path)).count() >= 200
+    call(docs, str(tmp_path)).write.format("noop").mode("overwrite").save()
+
+
+def test_windows_do_not_depend_on_batches(spark):
+    docs = spark.range(300, numPartitions=1).select(
+        F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("row"),
+        F.expr("array_join(transform(sequence(id % 7, id % 7 + 119), i -> concat('w', i)), ' ')").alias("text"),
+    )
+    anchors = substring.summaries(docs).select("doc_id", F.col("anchors").alias("shared"))
+    setting, found = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    for size in ("1000", str(common.BATCH_BYTES), None):
+        spark.conf.unset(setting)
+        if size:
+            spark.conf.set(setting, size)
+        windows = substring.candidate_windows(docs.join(anchors, "doc_id"))
+        assert spark.conf.get(setting) == (size or str(common.BATCH_BYTES))  # a session's own is kept
+        found.append(sorted(map(tuple, windows.collect())))
+    assert found[0] == found[1] == found[2] and len(found[0]) == 300 * 71
+
+
 def test_pipeline_against_plain_python(spark, rows):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     stage = dict(corpus_pipeline.STAGES)

@@ -13,6 +13,9 @@ from waybill.sources.sinks import staged
 
 #: The bytes that end a word: space and the controls 0x09 to 0x0D.
 SPACE = r"[ \x09-\x0D]+"
+#: Bytes of rows that a Python worker is sent at once; a longer row comes alone.
+BATCH_BYTES = 2 << 20
+_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def values(batch: pa.RecordBatch, name: str = "text", step: int = 128) -> Iterator[bytes | None]:
@@ -26,8 +29,20 @@ def id_type(docs: DataFrame, name: str = "doc_id") -> str:
     return docs.schema[name].dataType.simpleString()
 
 
+def mapped(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``df.mapInArrow`` in batches of some ``BATCH_BYTES``, however long the rows are.
+
+    Spark's own limit is 10,000 rows, which the worker and the JVM beside it hold several times
+    over. It is a setting of the session and stays; one that the session already has is kept.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_LIMIT, None) is None:
+        conf.set(_LIMIT, str(BATCH_BYTES))
+    return df.mapInArrow(fn, schema)
+
+
 def per_batch(fn, types: dict[str, pa.DataType]):
-    """``fn(batch)`` gives tuples; the result is a function for ``mapInArrow``."""
+    """``fn(batch)`` gives tuples; the result is a function for ``mapped``."""
     schema = pa.schema(types)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

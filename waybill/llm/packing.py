@@ -18,7 +18,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm.common import numbered, per_batch, values
+from waybill.llm.common import mapped, numbered, per_batch, values
 from waybill.sources.sinks import scratch_folder, staged
 
 VOCABULARY = ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")
@@ -105,7 +105,7 @@ def pieces(
     if with_ids:
         types["ids"], schema = pa.binary(), f"{schema}, ids binary"
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return narrow.mapInArrow(per_batch(run, types), schema)
+    return mapped(narrow, per_batch(run, types), schema)
 
 
 def fullest(counts: dict[int, int], capacity: int) -> dict[int, int]:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waybill.llm.common import per_batch, values
+from waybill.llm.common import mapped, per_batch, values
 from waybill.sources.sinks import scratch_folder, staged
 
 FEATURES = 256
@@ -108,7 +108,7 @@ def measured(docs: DataFrame, scratch: str) -> DataFrame:
 
     types = {"doc_id": pa.int64(), "stats": pa.list_(pa.float64())}
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return staged(narrow.mapInArrow(per_batch(run, types), "doc_id long, stats array<double>"), scratch, "statistics")
+    return staged(mapped(narrow, per_batch(run, types), "doc_id long, stats array<double>"), scratch, "statistics")
 
 
 def _matrix(batch: pa.RecordBatch) -> np.ndarray:

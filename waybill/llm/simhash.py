@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waybill.llm.common import id_type, per_batch, row_key, values
+from waybill.llm.common import id_type, mapped, per_batch, row_key, values
 from waybill.llm.components import components
 from waybill.sources.sinks import scratch_folder, staged
 
@@ -52,7 +52,7 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
 
     narrow = docs.select("doc_id", row_key().alias("row"), "text")
     types = {"doc_id": _arrow(narrow), "row": pa.int64(), "bits": pa.int64()}
-    return narrow.mapInArrow(per_batch(run, types), f"doc_id {id_type(narrow)}, row long, bits long")
+    return mapped(narrow, per_batch(run, types), f"doc_id {id_type(narrow)}, row long, bits long")
 
 
 def _arrow(docs: DataFrame) -> pa.DataType:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from waybill.llm.common import mixed, per_batch, rolling, row_key, values, word_hashes
+from waybill.llm.common import mapped, mixed, per_batch, rolling, row_key, values, word_hashes
 from waybill.sources.sinks import scratch_folder, staged
 
 WINDOW = 50
@@ -60,8 +60,8 @@ def summaries(docs: DataFrame, width: int = WINDOW) -> DataFrame:
         "doc_id": pa.int64(), "row": pa.int64(), "n_words": pa.int64(), "whole": pa.string(),
         "anchors": pa.list_(pa.int64()),
     }
-    return _texts(docs).mapInArrow(
-        per_batch(run, types), "doc_id long, row long, n_words long, whole string, anchors array<long>"
+    return mapped(
+        _texts(docs), per_batch(run, types), "doc_id long, row long, n_words long, whole string, anchors array<long>"
     )
 
 
@@ -85,9 +85,8 @@ def candidate_windows(suspects: DataFrame, width: int = WINDOW) -> DataFrame:
                     [first[at], check[at], key, row, at], names=["hash", "check", "doc_id", "row", "at"]
                 )
 
-    return suspects.select("doc_id", "row", "text", "shared").mapInArrow(
-        run, "hash long, check long, doc_id long, row long, at long"
-    )
+    narrow = suspects.select("doc_id", "row", "text", "shared")
+    return mapped(narrow, run, "hash long, check long, doc_id long, row long, at long")
 
 
 def repeated_spans(docs: DataFrame, *, width: int = WINDOW, scratch: str | None = None) -> dict[str, DataFrame]:
@@ -159,7 +158,7 @@ def remaining(spans: DataFrame) -> DataFrame:
             yield ids[i].as_py(), rows[i].as_py(), len(kept), b" ".join(kept).decode()
 
     types = {"doc_id": pa.int64(), "row": pa.int64(), "n_kept": pa.int64(), "kept": pa.string()}
-    return spans.mapInArrow(per_batch(run, types), "doc_id long, row long, n_kept long, kept string")
+    return mapped(spans, per_batch(run, types), "doc_id long, row long, n_kept long, kept string")
 
 
 def outcome(found: dict[str, DataFrame]) -> DataFrame:
