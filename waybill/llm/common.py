@@ -14,7 +14,7 @@ from waybill.sources.sinks import staged
 #: The bytes that end a word: space and the controls 0x09 to 0x0D.
 SPACE = r"[ \x09-\x0D]+"
 #: Bytes of rows that a Python worker is sent at once; a longer row comes alone.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19
 _LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
